@@ -210,6 +210,16 @@ class TableSpec:
     stage: Callable[..., DataFrame]              # raw -> staged (with _keep)
     schema: StructType
 
+    def staged(self, raw: DataFrame, as_of=None, wage_year: int = DEFAULT_WAGE_YEAR) -> DataFrame:
+        if self.stage is stage_element_scores:
+            return self.stage(raw, as_of)
+        if self.stage is stage_wages:
+            return self.stage(raw, wage_year)
+        return self.stage(raw)
+
+    def clean(self, raw: DataFrame, as_of=None, wage_year: int = DEFAULT_WAGE_YEAR) -> DataFrame:
+        return finish(self.staged(raw, as_of, wage_year), self.schema)
+
 
 TABLE_SPECS = (
     TableSpec("dim_occupation", "occupation_data", stage_occupations, schemas.DIM_OCCUPATION),

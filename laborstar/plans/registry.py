@@ -10,8 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from laborstar import functions as fn
+from laborstar.operators import cleaning, headers
+from laborstar.operators import transforms as T
+from laborstar.operators import validation as V
+from laborstar.operators.audit import load_audit
 from laborstar.plans import marts
+from laborstar.sources import fixtures as fx
 from laborstar.sources.fixtures import Warehouse
 
 # Occupation code of the profile query (Q6) that exists in the fixtures at
@@ -96,3 +103,274 @@ def r4(spark, sf_dir):
 def r5(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     return marts.r5_tech_knowledge(w.dim_occupation, w.fact_knowledge)
+
+
+# Whole cleaned tables (T1-T7) ----------------------------------------------------
+# Dates are emitted as DATE so that engines agree on the value (the stored
+# column stays a timestamp).
+
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("date_updated", F.to_date("date_updated"))
+
+
+@register("transform_occupations")
+def k_transform_occupations(spark, sf_dir):
+    return Warehouse(spark, sf_dir).dim_occupation
+
+
+@register("transform_skills")
+def k_transform_skills(spark, sf_dir):
+    return _dated(Warehouse(spark, sf_dir).fact_skills)
+
+
+@register("transform_knowledge")
+def k_transform_knowledge(spark, sf_dir):
+    return _dated(Warehouse(spark, sf_dir).fact_knowledge)
+
+
+@register("transform_education")
+def k_transform_education(spark, sf_dir):
+    return Warehouse(spark, sf_dir).fact_education
+
+
+@register("transform_tasks")
+def k_transform_tasks(spark, sf_dir):
+    return Warehouse(spark, sf_dir).fact_tasks
+
+
+@register("transform_wages")
+def k_transform_wages(spark, sf_dir):
+    return Warehouse(spark, sf_dir).fact_wages
+
+
+@register("dim_skill_element")
+def k_dim_skill_element(spark, sf_dir):
+    return T.dim_skill_element(Warehouse(spark, sf_dir).fact_skills)
+
+
+# Sources, headers, filters, scalar functions ---------------------------------
+
+@register("null_tokens")
+def k_null_tokens(spark, sf_dir):
+    raw = fx.raw_tasks(spark, sf_dir).select(
+        F.col("Task ID").alias("task_id"), F.col("Incumbents Responding").alias("incumbents_responding"))
+    return cleaning.null_tokens(raw, ["incumbents_responding"])
+
+
+@register("normalize_headers")
+def k_normalize_headers(spark, sf_dir):
+    return headers.normalize_headers(fx.raw_skills(spark, sf_dir))
+
+
+@register("drop_null_keys")
+def k_drop_null_keys(spark, sf_dir):
+    df = headers.normalize_headers(fx.raw_occupation(spark, sf_dir))
+    return cleaning.drop_null_keys(df, ["onetsoc_code", "title"]).select("onetsoc_code", "title")
+
+
+@register("drop_null_keys_skills")
+def k_drop_null_keys_skills(spark, sf_dir):
+    df = headers.normalize_headers(fx.raw_skills(spark, sf_dir))
+    keys = ["onetsoc_code", "element_id", "element_name"]
+    return cleaning.drop_null_keys(df, keys).select(*keys)
+
+
+@register("optional_defaults")
+def k_optional_defaults(spark, sf_dir):
+    raw = fx.raw_tasks(spark, sf_dir).drop("Task Type", "Incumbents Responding")
+    return T.transform_tasks(raw).select("task_id", "task_type", "incumbents_responding")
+
+
+@register("optional_defaults_education")
+def k_optional_defaults_education(spark, sf_dir):
+    raw = fx.raw_education(spark, sf_dir).drop("Category")
+    return T.transform_education(raw).select("onetsoc_code", "element_name", "category", "data_value")
+
+
+@register("optional_defaults_date")
+def k_optional_defaults_date(spark, sf_dir):
+    raw = fx.raw_skills(spark, sf_dir).drop("Date")
+    return _dated(T.transform_skills(raw, as_of="2024-01-01")).select(
+        "onetsoc_code", "element_id", "date_updated")
+
+
+@register("fill_defaults")
+def k_fill_defaults(spark, sf_dir):
+    return fx.raw_occupation(spark, sf_dir).select(
+        F.col(fx.CODE_HEADER).alias("onetsoc_code"),
+        fn.fill_default("Description", "").alias("description"))
+
+
+@register("fill_defaults_tasks")
+def k_fill_defaults_tasks(spark, sf_dir):
+    return fx.raw_tasks(spark, sf_dir).select(
+        F.col("Task ID").alias("task_id"),
+        fn.fill_default("Task Type", T.DEFAULT_TASK_TYPE).alias("task_type"))
+
+
+@register("strip_text")
+def k_strip_text(spark, sf_dir):
+    return fx.raw_occupation(spark, sf_dir).select(
+        F.col(fx.CODE_HEADER).alias("onetsoc_code"), fn.strip_text("Title").alias("title"))
+
+
+@register("title_case")
+def k_title_case(spark, sf_dir):
+    return fx.raw_occupation(spark, sf_dir).select(
+        F.col(fx.CODE_HEADER).alias("onetsoc_code"),
+        fn.title_case(fn.strip_text("Title")).alias("title"))
+
+
+@register("normalize_soc")
+def k_normalize_soc(spark, sf_dir):
+    return fx.raw_occupation(spark, sf_dir).select(
+        F.col(fx.CODE_HEADER).alias("raw_code"), fn.normalize_soc(fx.CODE_HEADER).alias("onetsoc_code"))
+
+
+@register("soc_group")
+def k_soc_group(spark, sf_dir):
+    code = fn.normalize_soc(fx.CODE_HEADER)
+    return fx.raw_occupation(spark, sf_dir).select(
+        code.alias("onetsoc_code"), fn.soc_group(code).alias("soc_major_group"))
+
+
+@register("normalize_scale")
+def k_normalize_scale(spark, sf_dir):
+    return (fx.raw_skills(spark, sf_dir)
+            .groupBy(F.upper(fn.strip_text("Scale ID")).alias("scale_id"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("coerce_numeric")
+def k_coerce_numeric(spark, sf_dir):
+    return fx.raw_skills(spark, sf_dir).select(
+        F.col("Data Value").alias("value_text"), fn.coerce_numeric("Data Value").alias("data_value"))
+
+
+@register("clip_scale")
+def k_clip_scale(spark, sf_dir):
+    return fx.raw_skills(spark, sf_dir).select(
+        F.col("Data Value").alias("value_text"),
+        fn.clip(fn.coerce_numeric("Data Value"), *T.SCORE_RANGE).alias("data_value"))
+
+
+@register("clip_scale_education")
+def k_clip_scale_education(spark, sf_dir):
+    return fx.raw_education(spark, sf_dir).select(
+        F.col("Data Value").alias("value_text"),
+        fn.clip(fn.coerce_numeric("Data Value"), *T.EDUCATION_RANGE).alias("data_value"))
+
+
+@register("round_value")
+def k_round_value(spark, sf_dir):
+    return fx.raw_education(spark, sf_dir).select(
+        F.col("Data Value").alias("value_text"),
+        fn.round_value(fn.clip(fn.coerce_numeric("Data Value"), *T.EDUCATION_RANGE), 2).alias("data_value"))
+
+
+@register("coerce_date")
+def k_coerce_date(spark, sf_dir):
+    return (fx.raw_skills(spark, sf_dir)
+            .groupBy(F.to_date(fn.coerce_date("Date")).alias("date_updated"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("coerce_int")
+def k_coerce_int(spark, sf_dir):
+    return fx.raw_education(spark, sf_dir).select(
+        F.col("Category").alias("category_text"), fn.coerce_int("Category").alias("category"),
+        F.col("Data Value").alias("value_text"), fn.coerce_int("Data Value").alias("value_int"))
+
+
+def _wage_stage(spark, sf_dir) -> DataFrame:
+    return headers.rename_wage_headers(headers.normalize_headers(fx.raw_wages(spark, sf_dir)))
+
+
+@register("filter_national")
+def k_filter_national(spark, sf_dir):
+    return cleaning.filter_national(_wage_stage(spark, sf_dir)).select("onetsoc_code", "area_type")
+
+
+@register("filter_detailed")
+def k_filter_detailed(spark, sf_dir):
+    df = _wage_stage(spark, sf_dir).where(F.col("onetsoc_code").isNotNull())
+    df = df.select(fn.normalize_soc("onetsoc_code").alias("onetsoc_code"))
+    return cleaning.filter_detailed(df)
+
+
+@register("wage_code_suffix")
+def k_wage_code_suffix(spark, sf_dir):
+    df = _wage_stage(spark, sf_dir).where(F.col("onetsoc_code").isNotNull())
+    return df.select(fn.wage_code_suffix(fn.normalize_soc("onetsoc_code")).alias("onetsoc_code"))
+
+
+# Joins ----------------------------------------------------------------------------
+
+@register("join_inner")
+def k_join_inner(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return (w.dim_occupation.join(w.fact_wages, "onetsoc_code")
+            .select("onetsoc_code", "title", "annual_median_wage"))
+
+
+@register("join_left_wages")
+def k_join_left_wages(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return (w.dim_occupation.join(w.fact_wages, "onetsoc_code", "left")
+            .select("onetsoc_code", "title", "annual_median_wage"))
+
+
+# Validation (V1-V7) on cleaned tables and on staging frames ------------------------
+
+def _checks(wh) -> dict[str, Callable[[], DataFrame]]:
+    return {
+        "v1_null_codes": lambda: V.v1_null_codes(wh["dim_occupation"]),
+        "v2_null_titles": lambda: V.v2_null_titles(wh["dim_occupation"]),
+        "v3_skills_range": lambda: V.v3_skills_range(wh["fact_skills"]),
+        "v4_knowledge_range": lambda: V.v4_knowledge_range(wh["fact_knowledge"]),
+        "v5_negative_wages": lambda: V.v5_negative_wages(wh["fact_wages"]),
+        "v6_orphan_skills": lambda: V.v6_orphan_skills(wh["dim_occupation"], wh["fact_skills"]),
+        "validation_report": lambda: V.validation_report(
+            wh["dim_occupation"], wh["fact_skills"], wh["fact_knowledge"], wh["fact_wages"]),
+    }
+
+
+class _Tables(dict):
+    """Lazy table lookup: builds a table plan only when a check asks for it."""
+
+    def __init__(self, build):
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, key):
+        return self._build(key)
+
+
+def _clean_tables(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return _Tables(lambda name: getattr(w, name))
+
+
+def _staging_tables(spark, sf_dir):
+    return _Tables(lambda name: V.staging_tables(fx.raw_tables(spark, sf_dir))[name])
+
+
+def _register_checks():
+    for name in _checks({}):
+        def clean_fn(spark, sf_dir, _n=name):
+            return _checks(_clean_tables(spark, sf_dir))[_n]()
+
+        def raw_fn(spark, sf_dir, _n=name):
+            return _checks(_staging_tables(spark, sf_dir))[_n]()
+
+        register(name)(clean_fn)
+        raw_key = "validation_report_raw" if name == "validation_report" else name.split("_")[0] + "_raw"
+        register(raw_key)(raw_fn)
+
+
+_register_checks()
+
+
+@register("load_audit")
+def k_load_audit(spark, sf_dir):
+    return load_audit(fx.raw_tables(spark, sf_dir), as_of="2024-01-01")
