@@ -1,0 +1,24 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file is split by row group; a small table written as one row
+    group is read by a single task, and all the per-row cleaning behind the
+    scan would then run on one core. When the scan already has at least
+    ``min_partitions`` splits (the normal case for large inputs) the frame
+    is returned unchanged, so no shuffle is added at scale.
+    """
+    if os.environ.get("LABORSTAR_NO_SPREAD"):
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -29,6 +29,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A raw fixture table (defined once per session and folder)."""
+    return Warehouse.of(spark, sf_dir).raw[name]
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -40,68 +45,68 @@ def register(name: str):
 
 @register("q1_top_paying")
 def q1(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.q1_top_paying(w.dim_occupation, w.fact_wages)
 
 
 @register("q2_skill_by_group")
 def q2(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.q2_skill_by_group(w.dim_occupation, w.fact_skills)
 
 
 @register("q3_critical_thinking")
 def q3(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.q3_critical_thinking(w.dim_occupation, w.fact_skills, w.fact_wages)
 
 
 @register("q4_wage_by_education")
 def q4(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.q4_wage_by_education(w.dim_occupation, w.fact_education, w.fact_wages)
 
 
 @register("q5_tech_knowledge")
 def q5(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.q5_tech_knowledge(w.dim_occupation, w.fact_knowledge)
 
 
 @register("q6_occupation_profile")
 def q6(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.q6_occupation_profile(w.dim_occupation, w.fact_wages, w.fact_skills, w.fact_knowledge,
                                        code=FIXTURE_PROFILE_CODE)
 
 
 @register("r1_top_paying")
 def r1(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.r1_top_paying(w.dim_occupation, w.fact_wages)
 
 
 @register("r2_skill_by_group")
 def r2(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.r2_skill_by_group(w.dim_occupation, w.fact_skills)
 
 
 @register("r3_critical_thinking")
 def r3(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.r3_critical_thinking(w.dim_occupation, w.fact_skills, w.fact_wages)
 
 
 @register("r4_wage_by_education")
 def r4(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.r4_wage_by_education(w.dim_occupation, w.fact_education, w.fact_wages)
 
 
 @register("r5_tech_knowledge")
 def r5(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.r5_tech_knowledge(w.dim_occupation, w.fact_knowledge)
 
 
@@ -115,175 +120,175 @@ def _dated(df: DataFrame) -> DataFrame:
 
 @register("transform_occupations")
 def k_transform_occupations(spark, sf_dir):
-    return Warehouse(spark, sf_dir).dim_occupation
+    return Warehouse.of(spark, sf_dir).dim_occupation
 
 
 @register("transform_skills")
 def k_transform_skills(spark, sf_dir):
-    return _dated(Warehouse(spark, sf_dir).fact_skills)
+    return _dated(Warehouse.of(spark, sf_dir).fact_skills)
 
 
 @register("transform_knowledge")
 def k_transform_knowledge(spark, sf_dir):
-    return _dated(Warehouse(spark, sf_dir).fact_knowledge)
+    return _dated(Warehouse.of(spark, sf_dir).fact_knowledge)
 
 
 @register("transform_education")
 def k_transform_education(spark, sf_dir):
-    return Warehouse(spark, sf_dir).fact_education
+    return Warehouse.of(spark, sf_dir).fact_education
 
 
 @register("transform_tasks")
 def k_transform_tasks(spark, sf_dir):
-    return Warehouse(spark, sf_dir).fact_tasks
+    return Warehouse.of(spark, sf_dir).fact_tasks
 
 
 @register("transform_wages")
 def k_transform_wages(spark, sf_dir):
-    return Warehouse(spark, sf_dir).fact_wages
+    return Warehouse.of(spark, sf_dir).fact_wages
 
 
 @register("dim_skill_element")
 def k_dim_skill_element(spark, sf_dir):
-    return T.dim_skill_element(Warehouse(spark, sf_dir).fact_skills)
+    return T.dim_skill_element(Warehouse.of(spark, sf_dir).fact_skills)
 
 
 # Sources, headers, filters, scalar functions ---------------------------------
 
 @register("null_tokens")
 def k_null_tokens(spark, sf_dir):
-    raw = fx.raw_tasks(spark, sf_dir).select(
+    raw = _raw(spark, sf_dir, "task_statements").select(
         F.col("Task ID").alias("task_id"), F.col("Incumbents Responding").alias("incumbents_responding"))
     return cleaning.null_tokens(raw, ["incumbents_responding"])
 
 
 @register("normalize_headers")
 def k_normalize_headers(spark, sf_dir):
-    return headers.normalize_headers(fx.raw_skills(spark, sf_dir))
+    return headers.normalize_headers(_raw(spark, sf_dir, "skills"))
 
 
 @register("drop_null_keys")
 def k_drop_null_keys(spark, sf_dir):
-    df = headers.normalize_headers(fx.raw_occupation(spark, sf_dir))
+    df = headers.normalize_headers(_raw(spark, sf_dir, "occupation_data"))
     return cleaning.drop_null_keys(df, ["onetsoc_code", "title"]).select("onetsoc_code", "title")
 
 
 @register("drop_null_keys_skills")
 def k_drop_null_keys_skills(spark, sf_dir):
-    df = headers.normalize_headers(fx.raw_skills(spark, sf_dir))
+    df = headers.normalize_headers(_raw(spark, sf_dir, "skills"))
     keys = ["onetsoc_code", "element_id", "element_name"]
     return cleaning.drop_null_keys(df, keys).select(*keys)
 
 
 @register("optional_defaults")
 def k_optional_defaults(spark, sf_dir):
-    raw = fx.raw_tasks(spark, sf_dir).drop("Task Type", "Incumbents Responding")
+    raw = _raw(spark, sf_dir, "task_statements").drop("Task Type", "Incumbents Responding")
     return T.transform_tasks(raw).select("task_id", "task_type", "incumbents_responding")
 
 
 @register("optional_defaults_education")
 def k_optional_defaults_education(spark, sf_dir):
-    raw = fx.raw_education(spark, sf_dir).drop("Category")
+    raw = _raw(spark, sf_dir, "education_training_experience").drop("Category")
     return T.transform_education(raw).select("onetsoc_code", "element_name", "category", "data_value")
 
 
 @register("optional_defaults_date")
 def k_optional_defaults_date(spark, sf_dir):
-    raw = fx.raw_skills(spark, sf_dir).drop("Date")
+    raw = _raw(spark, sf_dir, "skills").drop("Date")
     return _dated(T.transform_skills(raw, as_of="2024-01-01")).select(
         "onetsoc_code", "element_id", "date_updated")
 
 
 @register("fill_defaults")
 def k_fill_defaults(spark, sf_dir):
-    return fx.raw_occupation(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "occupation_data").select(
         F.col(fx.CODE_HEADER).alias("onetsoc_code"),
         fn.fill_default("Description", "").alias("description"))
 
 
 @register("fill_defaults_tasks")
 def k_fill_defaults_tasks(spark, sf_dir):
-    return fx.raw_tasks(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "task_statements").select(
         F.col("Task ID").alias("task_id"),
         fn.fill_default("Task Type", T.DEFAULT_TASK_TYPE).alias("task_type"))
 
 
 @register("strip_text")
 def k_strip_text(spark, sf_dir):
-    return fx.raw_occupation(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "occupation_data").select(
         F.col(fx.CODE_HEADER).alias("onetsoc_code"), fn.strip_text("Title").alias("title"))
 
 
 @register("title_case")
 def k_title_case(spark, sf_dir):
-    return fx.raw_occupation(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "occupation_data").select(
         F.col(fx.CODE_HEADER).alias("onetsoc_code"),
         fn.title_case(fn.strip_text("Title")).alias("title"))
 
 
 @register("normalize_soc")
 def k_normalize_soc(spark, sf_dir):
-    return fx.raw_occupation(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "occupation_data").select(
         F.col(fx.CODE_HEADER).alias("raw_code"), fn.normalize_soc(fx.CODE_HEADER).alias("onetsoc_code"))
 
 
 @register("soc_group")
 def k_soc_group(spark, sf_dir):
     code = fn.normalize_soc(fx.CODE_HEADER)
-    return fx.raw_occupation(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "occupation_data").select(
         code.alias("onetsoc_code"), fn.soc_group(code).alias("soc_major_group"))
 
 
 @register("normalize_scale")
 def k_normalize_scale(spark, sf_dir):
-    return (fx.raw_skills(spark, sf_dir)
+    return (_raw(spark, sf_dir, "skills")
             .groupBy(F.upper(fn.strip_text("Scale ID")).alias("scale_id"))
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
 @register("coerce_numeric")
 def k_coerce_numeric(spark, sf_dir):
-    return fx.raw_skills(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "skills").select(
         F.col("Data Value").alias("value_text"), fn.coerce_numeric("Data Value").alias("data_value"))
 
 
 @register("clip_scale")
 def k_clip_scale(spark, sf_dir):
-    return fx.raw_skills(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "skills").select(
         F.col("Data Value").alias("value_text"),
         fn.clip(fn.coerce_numeric("Data Value"), *T.SCORE_RANGE).alias("data_value"))
 
 
 @register("clip_scale_education")
 def k_clip_scale_education(spark, sf_dir):
-    return fx.raw_education(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "education_training_experience").select(
         F.col("Data Value").alias("value_text"),
         fn.clip(fn.coerce_numeric("Data Value"), *T.EDUCATION_RANGE).alias("data_value"))
 
 
 @register("round_value")
 def k_round_value(spark, sf_dir):
-    return fx.raw_education(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "education_training_experience").select(
         F.col("Data Value").alias("value_text"),
         fn.round_value(fn.clip(fn.coerce_numeric("Data Value"), *T.EDUCATION_RANGE), 2).alias("data_value"))
 
 
 @register("coerce_date")
 def k_coerce_date(spark, sf_dir):
-    return (fx.raw_skills(spark, sf_dir)
+    return (_raw(spark, sf_dir, "skills")
             .groupBy(F.to_date(fn.coerce_date("Date")).alias("date_updated"))
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
 @register("coerce_int")
 def k_coerce_int(spark, sf_dir):
-    return fx.raw_education(spark, sf_dir).select(
+    return _raw(spark, sf_dir, "education_training_experience").select(
         F.col("Category").alias("category_text"), fn.coerce_int("Category").alias("category"),
         F.col("Data Value").alias("value_text"), fn.coerce_int("Data Value").alias("value_int"))
 
 
 def _wage_stage(spark, sf_dir) -> DataFrame:
-    return headers.rename_wage_headers(headers.normalize_headers(fx.raw_wages(spark, sf_dir)))
+    return headers.rename_wage_headers(headers.normalize_headers(_raw(spark, sf_dir, "wages")))
 
 
 @register("filter_national")
@@ -308,14 +313,14 @@ def k_wage_code_suffix(spark, sf_dir):
 
 @register("join_inner")
 def k_join_inner(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return (w.dim_occupation.join(w.fact_wages, "onetsoc_code")
             .select("onetsoc_code", "title", "annual_median_wage"))
 
 
 @register("join_left_wages")
 def k_join_left_wages(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return (w.dim_occupation.join(w.fact_wages, "onetsoc_code", "left")
             .select("onetsoc_code", "title", "annual_median_wage"))
 
@@ -347,12 +352,13 @@ class _Tables(dict):
 
 
 def _clean_tables(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return _Tables(lambda name: getattr(w, name))
 
 
 def _staging_tables(spark, sf_dir):
-    return _Tables(lambda name: V.staging_tables(fx.raw_tables(spark, sf_dir))[name])
+    raw = Warehouse.of(spark, sf_dir).raw
+    return _Tables(lambda name: V.staging_tables(raw)[name])
 
 
 def _register_checks():
@@ -373,4 +379,4 @@ _register_checks()
 
 @register("load_audit")
 def k_load_audit(spark, sf_dir):
-    return load_audit(fx.raw_tables(spark, sf_dir), as_of="2024-01-01")
+    return load_audit(Warehouse.of(spark, sf_dir).raw, as_of="2024-01-01")

@@ -10,10 +10,14 @@ them.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from laborstar.operators import transforms as T
+from laborstar.plans.partitioning import spread
 
 CODE_HEADER = "O*NET-SOC Code"
 
@@ -21,8 +25,19 @@ CODE_HEADER = "O*NET-SOC Code"
 SKILL_NAMES = {1: "Critical Thinking", 2: "Programming", 3: "Writing"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; spread over the cores when the file has too few splits.
+
+    The schema is read once per path and then declared, so later reads of
+    the same table do not start a footer-reading job.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spread(spark.read.schema(_SCHEMAS[path]).parquet(path))
 
 
 def _s(c: Column) -> Column:
@@ -157,41 +172,68 @@ RAW_BUILDERS = {
 }
 
 
+class _LazyRaw(dict):
+    """Logical raw file name -> raw DataFrame, each defined on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self[name] = RAW_BUILDERS[name](self._spark, self._sf_dir)
+        return df
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Logical raw file name -> raw DataFrame (lazy)."""
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+    return _LazyRaw(spark, sf_dir)
 
 
 class Warehouse:
     """The six cleaned tables, built lazily from the raw fixtures.
 
     Each attribute is an independent lazy plan (raw scan -> clean); nothing
-    is cached, so each query scans only the columns it needs.
+    is cached in memory, so each query scans only the columns it needs. The
+    plan objects themselves are defined once per session and input folder
+    (``Warehouse.of``), as one would register the warehouse views once.
     """
 
+    _defined: dict[tuple, "Warehouse"] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = "2024-01-01"):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
 
-    @property
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of: str = "2024-01-01") -> "Warehouse":
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), as_of)
+        if key not in cls._defined:
+            cls._defined[key] = cls(spark, sf_dir, as_of)
+        return cls._defined[key]
+
+    @cached_property
+    def raw(self) -> dict[str, DataFrame]:
+        return raw_tables(self.spark, self.sf_dir)
+
+    @cached_property
     def dim_occupation(self) -> DataFrame:
-        return T.transform_occupations(raw_occupation(self.spark, self.sf_dir))
+        return T.transform_occupations(self.raw["occupation_data"])
 
-    @property
+    @cached_property
     def fact_skills(self) -> DataFrame:
-        return T.transform_skills(raw_skills(self.spark, self.sf_dir), self.as_of)
+        return T.transform_skills(self.raw["skills"], self.as_of)
 
-    @property
+    @cached_property
     def fact_knowledge(self) -> DataFrame:
-        return T.transform_knowledge(raw_knowledge(self.spark, self.sf_dir), self.as_of)
+        return T.transform_knowledge(self.raw["knowledge"], self.as_of)
 
-    @property
+    @cached_property
     def fact_education(self) -> DataFrame:
-        return T.transform_education(raw_education(self.spark, self.sf_dir))
+        return T.transform_education(self.raw["education_training_experience"])
 
-    @property
+    @cached_property
     def fact_tasks(self) -> DataFrame:
-        return T.transform_tasks(raw_tasks(self.spark, self.sf_dir))
+        return T.transform_tasks(self.raw["task_statements"])
 
-    @property
+    @cached_property
     def fact_wages(self) -> DataFrame:
-        return T.transform_wages(raw_wages(self.spark, self.sf_dir))
+        return T.transform_wages(self.raw["wages"])
