@@ -12,9 +12,11 @@ that may carry a third of all rows:
   dimension / wage rows.
 * Top-k queries shrink each input to a provably sufficient top-k **before**
   any fan-out join, so no many-to-many product is ever materialised.
-* No explicit broadcast: AQE broadcasts a join side only when its measured
-  runtime size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-  and otherwise keeps a shuffle join (with skew splitting).
+* Broadcast only what has a proven bound: the outputs of a top-k (at most
+  k rows) are broadcast explicitly; every other join is left to AQE, which
+  broadcasts a side only when its measured runtime size is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps a
+  shuffle join with skewed partitions split.
 
 Result order and ties: the reference sorts without tie-breaks, so every
 query adds deterministic ones (SURVEY 2.9); NULL placement is explicit.
@@ -24,7 +26,7 @@ move a value across a rounding tie.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laborstar.functions import education_label, education_label_short, snap_round, sql_round
@@ -45,6 +47,22 @@ def _one() -> Column:
     return F.count(F.lit(1))
 
 
+def _bounded(df: DataFrame) -> DataFrame:
+    """Broadcast a frame whose size is proven small: the output of a top-k."""
+    return F.broadcast(df)
+
+
+def top_per_code(df: DataFrame, k: int, *order: Column) -> DataFrame:
+    """The first k rows of every code under ``order``.
+
+    ``row_number() <= k`` over a code window is planned with a partial
+    group limit before the shuffle, so a code holding a third of all rows
+    still sends at most k rows per task.
+    """
+    w = Window.partitionBy(CODE).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
+
+
 def _weighted_avg(total: str, count: str, weight: Column) -> Column:
     """AVG over the expanded join = sum(w * per-code sum) / sum(w * per-code count)."""
     return F.try_divide(F.sum(F.col(total) * weight), F.sum(F.col(count) * weight))
@@ -60,16 +78,26 @@ def _code_multiplicity(dim: DataFrame, *extra: str) -> DataFrame:
 def q1_top_paying(dim: DataFrame, wages: DataFrame, k: int = TOP_K) -> DataFrame:
     """Best-paid occupations: dim x wages, top k by median annual wage.
 
-    Physical plan: one equi-join (broadcast by AQE when a side is small,
-    else sort-merge) feeding TakeOrderedAndProject - each task keeps only
-    its own top k, so the final merge sees k rows per task.
+    Each output row is one wage row times one dimension row of its code, and
+    the sort keys of the wage row come first. So (1) the top k wage rows
+    among codes present in the dimension (semi-join, then a distributed
+    top-k that keeps k rows per task) already hold every wage row of the
+    answer. Joining those k rows with the dimension gives at most k rows per
+    dimension row, so a code with millions of dimension and wage rows never
+    produces its full product.
     """
     spread = (F.col("annual_90th_pct") - F.col("annual_10th_pct")).alias("wage_spread")
-    return (dim.join(wages, CODE)
-            .select(CODE, "title", "soc_major_group", "annual_median_wage", "hourly_median_wage", spread)
-            .orderBy(F.col("annual_median_wage").desc_nulls_last(), F.col(CODE).asc_nulls_first(),
-                     F.col("hourly_median_wage").desc_nulls_last(), F.col("wage_spread").desc_nulls_last(),
-                     F.col("title").asc_nulls_first())
+    wage_order = (F.col("annual_median_wage").desc_nulls_last(), F.col(CODE).asc_nulls_first(),
+                  F.col("hourly_median_wage").desc_nulls_last(), F.col("wage_spread").desc_nulls_last())
+    top_wages = (wages.select(CODE, "annual_median_wage", "hourly_median_wage", spread)
+                 .join(dim.select(CODE).distinct(), CODE, "left_semi")
+                 .orderBy(*wage_order).limit(k))
+    # The k wage rows are broadcast and the dimension streams through the
+    # join: every dimension row meets at most k wage rows, and each task
+    # keeps only its own top k of the result.
+    return (_bounded(top_wages).join(dim.select(CODE, "title", "soc_major_group"), CODE)
+            .select(CODE, "title", "soc_major_group", "annual_median_wage", "hourly_median_wage", "wage_spread")
+            .orderBy(*wage_order, F.col("title").asc_nulls_first())
             .limit(k))
 
 
@@ -116,18 +144,24 @@ def q3_critical_thinking(dim: DataFrame, skills: DataFrame, wages: DataFrame,
     more than k copies. The plan therefore aggregates the skill rows to
     (code, score) counts map-side, keeps the groups whose code is in the
     dimension (semi-join), takes the top k groups, re-expands each to
-    min(count, k) rows and only then joins the dimension and the wages.
+    min(count, k) rows and only then joins the wages (cut to k per code)
+    and the dimension.
     """
     s = skills.where((F.col("element_name") == element) & (F.col("scale_id") == IMPORTANCE))
     top_groups = (s.groupBy(CODE, "data_value").agg(_one().alias("_rows"))
-                  .join(dim.select(CODE), CODE, "left_semi")
+                  .join(dim.select(CODE).distinct(), CODE, "left_semi")
                   .orderBy(F.col("data_value").desc_nulls_last(), F.col(CODE).asc_nulls_first())
                   .limit(k)
                   .select(CODE, "data_value",
                           F.explode(F.sequence(F.lit(1), F.least(F.col("_rows"), F.lit(k)).cast("int")))
                           .alias("_copy")))
-    rows = (top_groups.join(dim.select(CODE, "title"), CODE)
-            .join(wages.select(CODE, "annual_median_wage"), CODE, "left"))
+    # At most k codes remain and only the first k wages of each can reach
+    # the answer; the (<= k*k) skill rows with their wages are then broadcast
+    # and the dimension streams through them.
+    codes = _bounded(top_groups.select(CODE).distinct())
+    pay = top_per_code(wages.select(CODE, "annual_median_wage").join(codes, CODE, "left_semi"),
+                       k, F.col("annual_median_wage").desc_nulls_last())
+    rows = _bounded(top_groups.join(pay, CODE, "left")).join(dim.select(CODE, "title"), CODE)
     return (rows.select("title", CODE, F.lit(element).alias("element_name"),
                         F.col("data_value").alias("importance_score"), "annual_median_wage")
             .orderBy(F.col("importance_score").desc_nulls_last(), F.col(CODE).asc_nulls_first(),
@@ -225,10 +259,10 @@ def q6_occupation_profile(dim: DataFrame, wages: DataFrame, skills: DataFrame, k
     The reference joins every skill row with every knowledge row of the
     code and then keeps k. Every sort key belongs to exactly one side, so a
     row whose skill is outside that side's own top k is preceded by at least
-    k rows that differ only in the skill - the same holds for knowledge and
-    for the (dimension x wage) side. Each side is therefore cut to its own
-    top k first (a distributed top-k over a code filter) and at most k^3
-    rows are joined, whatever the size of the code's fact groups.
+    k rows that differ only in the skill - the same holds for knowledge,
+    wages and dimension rows. Each of the four sides is therefore cut to its
+    own top k first (a distributed top-k over a code filter) and at most k^4
+    rows are joined, whatever the size of the code's groups.
     """
     def top(df: DataFrame, *order: Column) -> DataFrame:
         return df.orderBy(*order).limit(k)
@@ -241,12 +275,11 @@ def q6_occupation_profile(dim: DataFrame, wages: DataFrame, skills: DataFrame, k
              .select(CODE, F.col("element_name").alias("top_knowledge"),
                      F.col("data_value").alias("knowledge_importance")),
              F.col("knowledge_importance").desc_nulls_last(), F.col("top_knowledge").asc_nulls_first())
-    ow = top(dim.where(F.col(CODE) == code).select(CODE, "title", "description")
-             .join(wages.where(F.col(CODE) == code)
-                   .select(CODE, "annual_median_wage", "hourly_median_wage"), CODE),
-             F.col("annual_median_wage").desc_nulls_last(), F.col("hourly_median_wage").desc_nulls_last(),
-             F.col("title").asc_nulls_first(), F.col("description").asc_nulls_first())
-    return (ow.join(s, CODE).join(kn, CODE)
+    o = top(dim.where(F.col(CODE) == code).select(CODE, "title", "description"),
+            F.col("title").asc_nulls_first(), F.col("description").asc_nulls_first())
+    w = top(wages.where(F.col(CODE) == code).select(CODE, "annual_median_wage", "hourly_median_wage"),
+            F.col("annual_median_wage").desc_nulls_last(), F.col("hourly_median_wage").desc_nulls_last())
+    return (_bounded(o).join(_bounded(w), CODE).join(_bounded(s), CODE).join(_bounded(kn), CODE)
             .select("title", "description", "annual_median_wage", "hourly_median_wage",
                     "top_skill", "skill_importance", "top_knowledge", "knowledge_importance")
             .orderBy(F.col("skill_importance").desc_nulls_last(), F.col("knowledge_importance").desc_nulls_last(),
