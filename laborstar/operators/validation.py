@@ -113,7 +113,7 @@ def validation_report(dim: DataFrame, skills: DataFrame, knowledge: DataFrame,
         v4_knowledge_range(knowledge),
         v5_negative_wages(wages),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("check")
 
 
 # Staging checks ------------------------------------------------------------------

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch ETL and report set: no streams, event-time windows,
+watermarks, state or late data. The cleaning transforms are map-only column
+expressions, so they would apply unchanged to a ``readStream`` file source,
+but no streaming operator is defined here beyond what the reference does.
+"""

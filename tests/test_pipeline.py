@@ -97,3 +97,14 @@ def test_repartitioned_input_same_result(spark):
     a = marts.q2_skill_by_group(w.dim_occupation, w.fact_skills)
     b = marts.q2_skill_by_group(w.dim_occupation.repartition(3), w.fact_skills.repartition(7, "scale_id"))
     assert rows(a) == rows(b)
+
+
+def test_quoted_newlines_need_multi_line(spark, scratch):
+    """Task texts contain quoted newlines: the opt-in multi-line read keeps them whole."""
+    raw_dir = os.path.join(scratch, "raw")
+    os.makedirs(raw_dir)
+    write_raw(spark, raw_dir)
+    res = run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01", multi_line=True)
+    w = Warehouse.of(spark, SF_SMALL)
+    assert rows(res.warehouse.fact_tasks) == rows(w.fact_tasks)
+    assert [r.check for r in res.report.collect()] == sorted(r.check for r in res.report.collect())
