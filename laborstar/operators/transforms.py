@@ -26,7 +26,6 @@ from laborstar import schemas
 from laborstar.functions import (
     clip,
     coerce_date,
-    coerce_int,
     coerce_long,
     coerce_numeric,
     fill_default,

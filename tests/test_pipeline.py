@@ -4,7 +4,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from laborstar.operators import transforms as T
 from laborstar.plans import marts
