@@ -22,10 +22,25 @@ _NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _SNAP = "decimal(38,12)"
 
 
+# Decimal exponent limit of the reference reader: text whose written
+# exponent, less its fraction digits, exceeds it is out of range (missing),
+# as is any text whose value overflows to infinity.
+_MAX_DECIMAL_EXPONENT = 308
+
+
 def coerce_numeric(c) -> Column:
-    """Text -> double; anything not shaped like a number -> NULL."""
+    """Text -> double; anything not shaped like a number -> NULL.
+
+    Out-of-range text (an overflowing value, or an exponent beyond the
+    reader's decimal range) is missing as well, never +/-Infinity.
+    """
     s = as_col(c).cast("string")
-    return F.when(s.rlike(_NUMBER_SHAPE), s.try_cast("double"))
+    value = s.try_cast("double")
+    scale = (F.regexp_extract(s, r"[eE]([+-]?\d+)", 1).try_cast("double")
+             - F.length(F.regexp_extract(s, r"\.(\d*)", 1)))
+    in_range = F.when(s.contains("e") | s.contains("E"), F.coalesce(scale <= _MAX_DECIMAL_EXPONENT, F.lit(False)))
+    finite = F.abs(value) != F.lit(float("inf"))
+    return F.when(s.rlike(_NUMBER_SHAPE) & F.coalesce(in_range, F.lit(True)) & finite, value)
 
 
 def clip(x, lo: float, hi: float) -> Column:

@@ -49,6 +49,7 @@ AWKWARD = {
     "12": 12.0, " 12 ": 12.0, "-1.5": -1.5, "+3.": 3.0, ".5": 0.5, "1e3": 1000.0, "2E-2": 0.02,
     "NaN": None, "nan": None, "inf": None, "Infinity": None, "-inf": None, "1d": None, "1f": None,
     "1,234": None, "#": None, "*": None, "n/a": None, "": None, "0x1p3": None, "abc": None,
+    "1e309": None, "0e310": None, "1.7e308": 1.7e308, "0.5e309": None, "1e-330": 0.0, "1e-99999999999": 0.0,
 }
 
 
