@@ -15,10 +15,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan would then run on one core. When the scan already has at least
     ``min_partitions`` splits (the normal case for large inputs) the frame
     is returned unchanged, so no shuffle is added at scale.
+    (``LABORSTAR_NO_SPREAD=1`` switches the guard off for experiments.)
     """
     if os.environ.get("LABORSTAR_NO_SPREAD"):
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:      # sessions without RDD access: leave the scan as it is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)

@@ -205,7 +205,7 @@ class Warehouse:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of: str = "2024-01-01") -> "Warehouse":
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), as_of)
+        key = (spark.conf.get("spark.app.id", ""), id(spark), sf_dir.rstrip("/"), as_of)
         if key not in cls._defined:
             cls._defined[key] = cls(spark, sf_dir, as_of)
         return cls._defined[key]
