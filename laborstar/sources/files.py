@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from laborstar.operators.cleaning import null_tokens
 
-# Extensions tried for a logical file name, in order.
-EXTENSIONS = (".csv", ".txt", ".parquet")
+# Extensions tried for a logical file name, in order of
+# preference. A spreadsheet is recognised but not read.
+EXTENSIONS = (".csv", ".xlsx", ".txt", ".parquet")
 UNSUPPORTED = (".xlsx",)
 
 
@@ -33,7 +34,12 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def resolve(spark: SparkSession, raw_dir: str, name: str) -> str:
-    """First existing of name.csv, name.txt, name.parquet under raw_dir."""
+    """First existing of name.csv, name.xlsx, name.txt, name.parquet.
+
+    When the preferred existing file is a spreadsheet the load fails with a
+    message to convert it, rather than silently reading a lower-preference
+    file with possibly different contents.
+    """
     base = name[:-4] if name.endswith(".csv") else name
     root = raw_dir.rstrip("/")
     tried = []
@@ -41,11 +47,10 @@ def resolve(spark: SparkSession, raw_dir: str, name: str) -> str:
         path = f"{root}/{base}{ext}"
         tried.append(path)
         if _path_exists(spark, path):
+            if ext in UNSUPPORTED:
+                raise RawFileNotFound(
+                    f"{path} exists but spreadsheets are not read; convert it to csv, txt or parquet")
             return path
-    for ext in UNSUPPORTED:
-        path = f"{root}/{base}{ext}"
-        if _path_exists(spark, path):
-            raise RawFileNotFound(f"{path} exists but spreadsheets are not read; convert it to csv, txt or parquet")
     raise RawFileNotFound(f"could not find {base} ({', '.join(EXTENSIONS)}) in {root}; tried {tried}")
 
 

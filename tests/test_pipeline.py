@@ -35,6 +35,11 @@ def test_resolve_order_and_errors(spark, scratch):
     open(os.path.join(scratch, "d.xlsx"), "w").close()
     with pytest.raises(files.RawFileNotFound, match="spreadsheet"):
         files.resolve(spark, scratch, "d")
+    open(os.path.join(scratch, "d.txt"), "w").close()      # the spreadsheet is still preferred
+    with pytest.raises(files.RawFileNotFound, match="spreadsheet"):
+        files.resolve(spark, scratch, "d")
+    open(os.path.join(scratch, "d.csv"), "w").close()      # csv wins over both
+    assert files.resolve(spark, scratch, "d").endswith("d.csv")
     with pytest.raises(files.RawFileNotFound):
         files.resolve(spark, scratch, "missing")
 
