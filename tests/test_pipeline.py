@@ -112,3 +112,9 @@ def test_quoted_newlines_need_multi_line(spark, scratch):
     w = Warehouse.of(spark, SF_SMALL)
     assert rows(res.warehouse.fact_tasks) == rows(w.fact_tasks)
     assert [r.check for r in res.report.collect()] == sorted(r.check for r in res.report.collect())
+
+
+def test_checkpoint_dir_respects_the_session_setting(spark):
+    from laborstar.session import checkpoint_dir
+    preset = spark.conf.get("spark.checkpoint.dir", None)
+    assert preset and checkpoint_dir(spark) == preset      # set once, then always read back
