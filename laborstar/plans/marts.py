@@ -82,9 +82,9 @@ def q1_top_paying(dim: DataFrame, wages: DataFrame, k: int = TOP_K) -> DataFrame
     the sort keys of the wage row come first. So (1) the top k wage rows
     among codes present in the dimension (semi-join, then a distributed
     top-k that keeps k rows per task) already hold every wage row of the
-    answer. Joining those k rows with the dimension gives at most k rows per
-    dimension row, so a code with millions of dimension and wage rows never
-    produces its full product.
+    answer, and (2) each of their codes needs at most k dimension rows. Both
+    sides are cut before the join (at most k x k rows), so a code with
+    millions of dimension and wage rows never produces its full product.
     """
     spread = (F.col("annual_90th_pct") - F.col("annual_10th_pct")).alias("wage_spread")
     wage_order = (F.col("annual_median_wage").desc_nulls_last(), F.col(CODE).asc_nulls_first(),
@@ -92,10 +92,13 @@ def q1_top_paying(dim: DataFrame, wages: DataFrame, k: int = TOP_K) -> DataFrame
     top_wages = (wages.select(CODE, "annual_median_wage", "hourly_median_wage", spread)
                  .join(dim.select(CODE).distinct(), CODE, "left_semi")
                  .orderBy(*wage_order).limit(k))
-    # The k wage rows are broadcast and the dimension streams through the
-    # join: every dimension row meets at most k wage rows, and each task
-    # keeps only its own top k of the result.
-    return (_bounded(top_wages).join(dim.select(CODE, "title", "soc_major_group"), CODE)
+    # Per code at most k dimension rows (by title) can follow a wage row, so
+    # the dimension is cut to its first k rows per candidate code before the
+    # join: a code with millions of dimension rows contributes k of them.
+    codes = _bounded(top_wages.select(CODE).distinct())
+    titles = top_per_code(dim.select(CODE, "title", "soc_major_group").join(codes, CODE, "left_semi"),
+                          k, F.col("title").asc_nulls_first())
+    return (_bounded(top_wages).join(titles, CODE)
             .select(CODE, "title", "soc_major_group", "annual_median_wage", "hourly_median_wage", "wage_spread")
             .orderBy(*wage_order, F.col("title").asc_nulls_first())
             .limit(k))
@@ -144,8 +147,8 @@ def q3_critical_thinking(dim: DataFrame, skills: DataFrame, wages: DataFrame,
     more than k copies. The plan therefore aggregates the skill rows to
     (code, score) counts map-side, keeps the groups whose code is in the
     dimension (semi-join), takes the top k groups, re-expands each to
-    min(count, k) rows and only then joins the wages (cut to k per code)
-    and the dimension.
+    min(count, k) rows and only then joins the dimension and the wages,
+    each cut to its first k rows per code.
     """
     s = skills.where((F.col("element_name") == element) & (F.col("scale_id") == IMPORTANCE))
     top_groups = (s.groupBy(CODE, "data_value").agg(_one().alias("_rows"))
@@ -155,13 +158,14 @@ def q3_critical_thinking(dim: DataFrame, skills: DataFrame, wages: DataFrame,
                   .select(CODE, "data_value",
                           F.explode(F.sequence(F.lit(1), F.least(F.col("_rows"), F.lit(k)).cast("int")))
                           .alias("_copy")))
-    # At most k codes remain and only the first k wages of each can reach
-    # the answer; the (<= k*k) skill rows with their wages are then broadcast
-    # and the dimension streams through them.
+    # At most k codes remain; per code only its first k wages and its first
+    # k titles can reach the answer, so both are cut before the joins.
     codes = _bounded(top_groups.select(CODE).distinct())
     pay = top_per_code(wages.select(CODE, "annual_median_wage").join(codes, CODE, "left_semi"),
                        k, F.col("annual_median_wage").desc_nulls_last())
-    rows = _bounded(top_groups.join(pay, CODE, "left")).join(dim.select(CODE, "title"), CODE)
+    titles = top_per_code(dim.select(CODE, "title").join(codes, CODE, "left_semi"),
+                          k, F.col("title").asc_nulls_first())
+    rows = _bounded(top_groups).join(titles, CODE).join(pay, CODE, "left")
     return (rows.select("title", CODE, F.lit(element).alias("element_name"),
                         F.col("data_value").alias("importance_score"), "annual_median_wage")
             .orderBy(F.col("importance_score").desc_nulls_last(), F.col(CODE).asc_nulls_first(),

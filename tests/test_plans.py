@@ -57,3 +57,12 @@ def test_stored_scan_prunes_and_pushes(spark, scratch):
     assert "PushedFilters: [IsNotNull(scale_id), IsNotNull(onetsoc_code), EqualTo(scale_id,IM), StringStartsWith(onetsoc_code,15)" in p \
         or ("StringStartsWith(onetsoc_code,15)" in p and "EqualTo(scale_id,IM)" in p)
     assert "ReadSchema: struct<onetsoc_code:string,element_name:string,scale_id:string,data_value:double>" in p
+
+
+def test_per_code_cut_is_limited_before_the_shuffle(spark):
+    """Q1 and Q3 cut dimension / wage rows per code with a group limit that
+    runs on the map side (a hot code sends at most k rows per task)."""
+    for key in ("q1_top_paying", "q3_critical_thinking"):
+        df = E.queries()[key](spark, SF_SMALL)
+        p = plan(df)
+        assert "WindowGroupLimit" in p and "Partial" in p, key
