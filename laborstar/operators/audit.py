@@ -18,25 +18,27 @@ from pyspark.sql import functions as F
 from laborstar.operators.transforms import KEEP, TABLE_SPECS, finish
 
 
-def _audit_row(table: str, staged: DataFrame) -> DataFrame:
+def _audit_row(table: str, columns_in: int, staged: DataFrame) -> DataFrame:
     return staged.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(~F.col(KEEP)).alias("rows_dropped"),
         F.count_if(F.col(KEEP)).alias("rows_out"),
-    ).select(F.lit(table).alias("table"), "rows_in", "rows_dropped", "rows_out")
+    ).select(F.lit(table).alias("table"), F.lit(columns_in).alias("columns_in"),
+             "rows_in", "rows_dropped", "rows_out")
 
 
 def load_audit(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
-    """(table, rows_in, rows_dropped, rows_out) for the six warehouse tables."""
-    parts = [_audit_row(spec.table, spec.staged(raw[spec.source], as_of)) for spec in TABLE_SPECS]
+    """(table, columns_in, rows_in, rows_dropped, rows_out) for the six warehouse tables."""
+    parts = [_audit_row(spec.table, len(raw[spec.source].columns), spec.staged(raw[spec.source], as_of))
+             for spec in TABLE_SPECS]
     return reduce(DataFrame.unionByName, parts)
 
 
 class ObservedLoad:
     """Attach row counters to a staged frame; read them after the write."""
 
-    def __init__(self, table: str):
-        self.table = table
+    def __init__(self, table: str, columns_in: int):
+        self.table, self.columns_in = table, columns_in
         self.observation = Observation(f"load_{table}")
 
     def clean(self, staged: DataFrame, schema) -> DataFrame:
@@ -47,7 +49,7 @@ class ObservedLoad:
         )
         return finish(counted, schema)
 
-    def row(self) -> tuple[str, int, int, int]:
+    def row(self) -> tuple[str, int, int, int, int]:
         m = self.observation.get
         rows_in, rows_out = int(m["rows_in"]), int(m["rows_out"])
-        return self.table, rows_in, rows_in - rows_out, rows_out
+        return self.table, self.columns_in, rows_in, rows_in - rows_out, rows_out

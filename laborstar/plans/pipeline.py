@@ -22,18 +22,18 @@ from laborstar.session import configure
 from laborstar.sources import files
 from laborstar.sources.warehouse import StoredWarehouse, write_table
 
-AUDIT_SCHEMA = "table string, rows_in bigint, rows_dropped bigint, rows_out bigint"
+AUDIT_SCHEMA = "table string, columns_in int, rows_in bigint, rows_dropped bigint, rows_out bigint"
 
 
 @dataclass
 class EtlResult:
     warehouse: StoredWarehouse
-    audit: DataFrame        # table, rows_in, rows_dropped, rows_out
+    audit: DataFrame        # table, columns_in, rows_in, rows_dropped, rows_out
     report: DataFrame       # check, violations, passed
 
 
 def _load_one(spec: T.TableSpec, raw: DataFrame, warehouse_dir: str, as_of, wage_year: int):
-    load = ObservedLoad(spec.table)
+    load = ObservedLoad(spec.table, len(raw.columns))
     clean = load.clean(spec.staged(raw, as_of, wage_year), spec.schema)
     write_table(clean, warehouse_dir, spec.table)
     return load.row()
