@@ -41,6 +41,8 @@ def main(argv=None) -> None:
                          wage_year=args.wage_year, multi_line=args.multi_line)
         result.audit.show(truncate=False)
         result.report.show(truncate=False)
+        failed = result.report.where("NOT passed").count()     # six rows at most
+        print("All checks passed" if failed == 0 else f"Some checks FAILED ({failed} of 6)")
     else:
         available = reports(StoredWarehouse(spark, args.warehouse_dir), args.profile_code)
         for name in args.names or list(available):
