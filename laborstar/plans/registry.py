@@ -357,8 +357,7 @@ def _clean_tables(spark, sf_dir):
 
 
 def _staging_tables(spark, sf_dir):
-    raw = Warehouse.of(spark, sf_dir).raw
-    return _Tables(lambda name: V.staging_tables(raw)[name])
+    return V.staging_tables(Warehouse.of(spark, sf_dir).raw)
 
 
 def _register_checks():
