@@ -103,3 +103,15 @@ def test_hot_code_really_is_hot():
     for t in ("fact_skills", "fact_wages", "fact_knowledge"):
         assert (pdfs[t]["onetsoc_code"] == HOT).mean() > 0.3
     assert (pdfs["dim_occupation"]["onetsoc_code"] == HOT).sum() == 4
+
+
+def test_reports_invariant_under_repartitioning(spark):
+    """Partitioning of the inputs (including by the hot key) never changes a result."""
+    pdfs = make_warehouse(4)
+    base = spark_tables(spark, pdfs)
+    moved = {t: (df.repartition(5, "onetsoc_code") if i % 2 else df.repartition(3)) for i, (t, df) in
+             enumerate(base.items())}
+    for key, build in REPORTS.items():
+        a = sorted(map(tuple, build(base).collect()), key=repr)
+        b = sorted(map(tuple, build(moved).collect()), key=repr)
+        assert a == b, key
