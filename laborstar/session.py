@@ -47,17 +47,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "laborstar") -> SparkSession:
-    """Build (or reuse) a session for local runs and tests."""
-    master = master or os.environ.get("LABORSTAR_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("LABORSTAR_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.driver.memory", os.environ.get("LABORSTAR_DRIVER_MEMORY", "8g"))
-    )
+    """Build (or reuse) a session.
+
+    Under ``spark-submit`` (PySpark attaches to the launcher's gateway) the
+    cluster's own master and sizing are kept; only the semantic SQL options
+    of ``SQL_CONF`` are applied. Run directly (tests, bench, local use) it
+    starts a local session with small-data defaults.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+    if master or not submitted:
+        parts = shuffle_partitions or int(os.environ.get("LABORSTAR_SHUFFLE_PARTITIONS", "8"))
+        builder = (builder.master(master or os.environ.get("LABORSTAR_MASTER", "local[8]"))
+                   .config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false")
+                   .config("spark.sql.shuffle.partitions", str(parts))
+                   .config("spark.driver.memory", os.environ.get("LABORSTAR_DRIVER_MEMORY", "8g")))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
