@@ -1,4 +1,4 @@
-"""Load audit: rows read, dropped and loaded per table.
+"""Load audit: columns and rows read, rows dropped and loaded per table.
 
 Two forms, both without extra passes over the data:
 

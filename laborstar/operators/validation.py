@@ -79,7 +79,7 @@ def v5_negative_wages(wages: DataFrame) -> DataFrame:
 def v6_orphan_skills(dim: DataFrame, skills: DataFrame) -> DataFrame:
     """Skill rows whose code has no occupation (NULL codes count as orphans)."""
     per_code = skills.groupBy(CODE).agg(F.count(F.lit(1)).alias("_rows"))
-    orphans = per_code.join(dim.select(CODE), CODE, "left_anti")
+    orphans = per_code.join(dim.select(CODE).distinct(), CODE, "left_anti")
     return _report(orphans, v6_orphan_skills=F.sum("_rows"))
 
 
