@@ -73,6 +73,28 @@ def _code_multiplicity(dim: DataFrame, *extra: str) -> DataFrame:
     return dim.groupBy(CODE, *extra).agg(_one().alias("_dim_rows"))
 
 
+# J1 / J2 -----------------------------------------------------------------
+
+def join_inner(dim: DataFrame, wages: DataFrame) -> DataFrame:
+    """Occupations with their wage rows (AQE may split a skewed side)."""
+    return dim.join(wages, CODE).select(CODE, "title", "annual_median_wage")
+
+
+def join_left_wages(dim: DataFrame, wages: DataFrame) -> DataFrame:
+    """Every occupation with its wage rows; NULL wage when it has none.
+
+    A left outer join can only have its preserved side split for skew, so a
+    code holding a third of the wage rows would be joined by one task. The
+    same rows come from the inner join (splittable on either side) plus the
+    occupations without any wage row: an anti-join against the distinct wage
+    codes (combined map-side), padded with a NULL wage. A NULL code never
+    matches, so it lands in the second part, as in the outer join.
+    """
+    unmatched = (dim.join(wages.select(CODE).distinct(), CODE, "left_anti")
+                 .select(CODE, "title", F.lit(None).cast("double").alias("annual_median_wage")))
+    return join_inner(dim, wages).unionByName(unmatched)
+
+
 # Q1 / R1 -----------------------------------------------------------------
 
 def q1_top_paying(dim: DataFrame, wages: DataFrame, k: int = TOP_K) -> DataFrame:

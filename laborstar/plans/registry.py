@@ -314,15 +314,13 @@ def k_wage_code_suffix(spark, sf_dir):
 @register("join_inner")
 def k_join_inner(spark, sf_dir):
     w = Warehouse.of(spark, sf_dir)
-    return (w.dim_occupation.join(w.fact_wages, "onetsoc_code")
-            .select("onetsoc_code", "title", "annual_median_wage"))
+    return marts.join_inner(w.dim_occupation, w.fact_wages)
 
 
 @register("join_left_wages")
 def k_join_left_wages(spark, sf_dir):
     w = Warehouse.of(spark, sf_dir)
-    return (w.dim_occupation.join(w.fact_wages, "onetsoc_code", "left")
-            .select("onetsoc_code", "title", "annual_median_wage"))
+    return marts.join_left_wages(w.dim_occupation, w.fact_wages)
 
 
 # Validation (V1-V7) on cleaned tables and on staging frames ------------------------

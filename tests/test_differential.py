@@ -82,6 +82,8 @@ REPORTS = {
     "r3_critical_thinking": lambda t: marts.r3_critical_thinking(t["dim_occupation"], t["fact_skills"], t["fact_wages"]),
     "r4_wage_by_education": lambda t: marts.r4_wage_by_education(t["dim_occupation"], t["fact_education"], t["fact_wages"]),
     "r5_tech_knowledge": lambda t: marts.r5_tech_knowledge(t["dim_occupation"], t["fact_knowledge"]),
+    "join_inner": lambda t: marts.join_inner(t["dim_occupation"], t["fact_wages"]),
+    "join_left_wages": lambda t: marts.join_left_wages(t["dim_occupation"], t["fact_wages"]),
 }
 
 
