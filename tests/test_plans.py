@@ -66,3 +66,35 @@ def test_per_code_cut_is_limited_before_the_shuffle(spark):
         df = E.queries()[key](spark, SF_SMALL)
         p = plan(df)
         assert "WindowGroupLimit" in p and "Partial" in p, key
+
+
+def test_hot_wage_code_is_split_in_j2(spark):
+    """With a code holding a third of the wage rows, AQE splits it in the
+    rewritten left join (it cannot in a plain left outer join)."""
+    from pyspark.sql import functions as F
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        dim = spark.range(200).select(F.format_string("15-%04d.00", "id").alias("onetsoc_code"),
+                                      F.lit("t").alias("title"))
+        hot = F.when(F.col("id") % 3 == 0, F.lit("15-0007.00")).otherwise(
+            F.format_string("15-%04d.00", F.col("id") % 200))
+        wages = spark.range(60000).select(hot.alias("onetsoc_code"), (F.col("id") * 1.0).alias("annual_median_wage"))
+        rewritten = marts.join_left_wages(dim, wages)
+        plain = dim.join(wages, "onetsoc_code", "left").select("onetsoc_code", "title", "annual_median_wage")
+        assert sorted(map(tuple, rewritten.collect())) == sorted(map(tuple, plain.collect()))
+        assert "AQEShuffleRead skewed" in plan(rewritten)
+        assert "skewed" not in plan(plain)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
