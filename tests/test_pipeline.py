@@ -118,3 +118,14 @@ def test_checkpoint_dir_respects_the_session_setting(spark):
     from laborstar.session import checkpoint_dir
     preset = spark.conf.get("spark.checkpoint.dir", None)
     assert preset and checkpoint_dir(spark) == preset      # set once, then always read back
+
+
+def test_parquet_raw_files_load_like_the_fixtures(spark, scratch):
+    """Raw files may also be Parquet (typed columns); the warehouse is the same."""
+    raw_dir = os.path.join(scratch, "raw")
+    w = Warehouse.of(spark, SF_SMALL)
+    for spec in T.TABLE_SPECS:
+        w.raw[spec.source].write.parquet(os.path.join(raw_dir, spec.source + ".parquet"))
+    res = run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01")
+    for table in ("dim_occupation", "fact_skills", "fact_knowledge", "fact_education", "fact_tasks", "fact_wages"):
+        assert rows(getattr(res.warehouse, table)) == rows(getattr(w, table)), table
