@@ -135,3 +135,14 @@ def test_audit_invariant(spark):
 def test_dim_skill_element_unique(spark):
     out = T.dim_skill_element(fx.Warehouse.of(spark, SF_SMALL).fact_skills)
     assert out.count() == out.select("element_id").distinct().count()
+
+
+def test_blank_title_survives_cleaning_and_fails_v2(spark):
+    """The NULL-key drop runs before trimming, so a blank title is kept as ''
+    and only the V2 check reports it."""
+    from laborstar.operators import validation as V
+    raw = spark.createDataFrame([("11-1011.00", "   ", "d"), ("11-1012.00", "Chief", "d"), ("11-1013.00", None, "d")],
+                                ["O*NET-SOC Code", "Title", "Description"])
+    dim = T.transform_occupations(raw)
+    assert rows(dim.select("title")) == [("",), ("Chief",)]
+    assert V.v2_null_titles(dim).first().violations == 1
