@@ -16,8 +16,12 @@ from laborstar.functions._util import as_col
 # Plane). Derived by rule rather than listed.
 BLANKS = "".join(ch for ch in map(chr, range(0x10000)) if ch.isspace())
 
-# One token = a run of letters or a run of non-letters.
-_LETTER_RUNS = r"(\p{L}+|\P{L}+)"
+# One token = a run of cased characters or a run of anything else. "Cased"
+# is what Python's str.title() tests: the Lowercase, Uppercase or Titlecase
+# property (so CJK ideographs and combining marks separate words, while
+# circled letters and Roman numerals belong to them).
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
+_CASED_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
 
 
 def strip_text(c) -> Column:
@@ -36,12 +40,13 @@ def normalize_soc(c) -> Column:
 
 
 def title_case(c) -> Column:
-    """C4: upper-case the first letter of every letter run, lower the rest.
+    """C4: title-case the first character of every cased run, lower the rest.
 
-    A new word starts after any non-letter (hyphen, apostrophe, bracket,
-    digit), unlike ``F.initcap`` which only starts words after a space.
+    A new word starts after any uncased character (hyphen, apostrophe,
+    bracket, digit, ideograph), unlike ``F.initcap`` which only starts words
+    after a space.
     """
-    runs = F.regexp_extract_all(as_col(c), F.lit(_LETTER_RUNS), F.lit(1))
+    runs = F.regexp_extract_all(as_col(c), F.lit(_CASED_RUNS), F.lit(1))
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
