@@ -10,6 +10,7 @@ Two forms, both without extra passes over the data:
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
@@ -39,7 +40,8 @@ class ObservedLoad:
 
     def __init__(self, table: str, columns_in: int):
         self.table, self.columns_in = table, columns_in
-        self.observation = Observation(f"load_{table}")
+        # unique per load, so concurrent loads of one table never share metrics
+        self.observation = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
 
     def clean(self, staged: DataFrame, schema) -> DataFrame:
         counted = staged.observe(
