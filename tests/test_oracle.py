@@ -39,3 +39,16 @@ def test_checks_have_teeth(spark):
     assert raw["v1_null_codes"] > 0 and raw["v3_skills_range"] > 0 and raw["v4_knowledge_range"] > 0
     assert clean["v1_null_codes"] == clean["v3_skills_range"] == clean["v4_knowledge_range"] == 0
     assert clean["v5_negative_wages"] > 0 and clean["v6_orphan_skills"] > 0
+
+
+def test_counts_recorded_in_fixtures_doc(spark):
+    """The counts FIXTURES.md section 4 records for sf0.01."""
+    from tests.conftest import SF_MID
+    q = E.queries()
+    clean = {r.check: r.violations for r in q["validation_report"](spark, SF_MID).collect()}
+    raw = {r.check: r.violations for r in q["validation_report_raw"](spark, SF_MID).collect()}
+    assert (clean["v5_negative_wages"], clean["v6_orphan_skills"]) == (94, 2560)
+    assert (raw["v1_null_codes"], raw["v2_null_titles"], raw["v3_skills_range"], raw["v4_knowledge_range"]) == \
+        (40, 48, 1313, 3438)
+    audit = {r.table: r.rows_out for r in q["load_audit"](spark, SF_MID).collect()}
+    assert (audit["dim_occupation"], audit["fact_skills"], audit["fact_wages"]) == (1912, 59376, 1174)
