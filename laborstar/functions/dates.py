@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from laborstar.functions._util import as_col
 
-# Accepted date layouts, tried in this order.
-DATE_PATTERNS = ("M/yyyy", "yyyy-M-d[ HH:mm:ss]", "M/d/yyyy")
+# Accepted date layouts, tried in this order (month before day,
+# as the reference's reader assumes).
+DATE_PATTERNS = ("M/yyyy", "yyyy-M-d[ HH:mm:ss]", "M/d/yyyy",
+                 "yyyy-M-d'T'HH:mm:ss", "yyyy/M/d", "yyyy-M")
 
 
 def coerce_date(c) -> Column:

@@ -94,6 +94,13 @@ def test_coerce_long(spark):
     assert run(spark, ["123456789012", "7.9", "x", None], fn.coerce_long("x")) == [123456789012, 7, None, None]
 
 
+def test_coerce_date_more_layouts_like_pandas(spark):
+    import pandas as pd
+    vals = ["2023-08-15T10:11:12", "2023/8/15", "2023-08", "12/31/2023"]
+    want = [pd.to_datetime(v).to_pydatetime() for v in vals]
+    assert run(spark, vals, fn.coerce_date("x")) == want
+
+
 def test_coerce_date_patterns(spark):
     vals = ["08/2023", "8/2023", "2023-08-15", "2023-08-15 10:11:12", "8/15/2023", "unknown", "13/2023", None]
     out = run(spark, vals, fn.coerce_date("x"))
