@@ -2,10 +2,13 @@
 
     python -m laborstar etl RAW_DIR WAREHOUSE_DIR [--as-of YYYY-MM-DD] [--wage-year N]
     python -m laborstar report WAREHOUSE_DIR [NAME ...] [--profile-code CODE]
+    python -m laborstar sql WAREHOUSE_DIR "SELECT ... FROM dim_occupation ..."
 
 ``etl`` replaces the warehouse from the raw files and prints the load audit
 and the validation report; ``report`` prints reports over a stored
-warehouse (all of them when no name is given). Both use the active
+warehouse (all of them when no name is given); ``sql`` runs one ad hoc
+statement over the stored tables, registered as views under their table
+names. All use the active
 session configuration (``spark-submit`` options or the local default).
 """
 
@@ -33,6 +36,10 @@ def main(argv=None) -> None:
     rep.add_argument("warehouse_dir")
     rep.add_argument("names", nargs="*")
     rep.add_argument("--profile-code", default=marts.PROFILE_CODE)
+    adhoc = sub.add_parser("sql", help="run one SQL statement over the stored tables")
+    adhoc.add_argument("warehouse_dir")
+    adhoc.add_argument("statement")
+    adhoc.add_argument("--rows", type=int, default=50)
     args = parser.parse_args(argv)
 
     spark = get_session()
@@ -43,6 +50,9 @@ def main(argv=None) -> None:
         result.report.show(truncate=False)
         failed = result.report.where("NOT passed").count()     # six rows at most
         print("All checks passed" if failed == 0 else f"Some checks FAILED ({failed} of 6)")
+    elif args.command == "sql":
+        StoredWarehouse(spark, args.warehouse_dir).register_views()
+        spark.sql(args.statement).show(args.rows, truncate=50)
     else:
         available = reports(StoredWarehouse(spark, args.warehouse_dir), args.profile_code)
         for name in args.names or list(available):

@@ -9,6 +9,7 @@ groups through min/max statistics.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from laborstar import schemas
@@ -43,7 +44,18 @@ class StoredWarehouse:
             return read_table(self.spark, self.root, table)
         raise AttributeError(table)
 
-    def register_views(self, tables=None) -> None:
-        """Expose the stored tables to ``spark.sql`` under their table names."""
+    def register_views(self, tables=None) -> list[str]:
+        """Expose the stored tables to ``spark.sql`` under their table names.
+
+        Tables not present under the root are skipped; the registered names
+        are returned.
+        """
+        registered = []
         for table in tables or schemas.TABLES:
-            read_table(self.spark, self.root, table).createOrReplaceTempView(table)
+            try:
+                df = read_table(self.spark, self.root, table)
+            except AnalysisException:
+                continue
+            df.createOrReplaceTempView(table)
+            registered.append(table)
+        return registered

@@ -129,3 +129,17 @@ def test_parquet_raw_files_load_like_the_fixtures(spark, scratch):
     res = run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01")
     for table in ("dim_occupation", "fact_skills", "fact_knowledge", "fact_education", "fact_tasks", "fact_wages"):
         assert rows(getattr(res.warehouse, table)) == rows(getattr(w, table)), table
+
+
+def test_cli_etl_report_and_sql(spark, scratch, capsys):
+    from laborstar.__main__ import main
+    raw_dir, wh_dir = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
+    os.makedirs(raw_dir)
+    write_raw(spark, raw_dir)
+    main(["etl", raw_dir, wh_dir, "--as-of", "2024-01-01", "--multi-line"])
+    out = capsys.readouterr().out
+    assert "rows_dropped" in out and ("All checks passed" in out or "Some checks FAILED" in out)
+    main(["report", wh_dir, "q2_skill_by_group"])
+    assert "avg_skill_importance" in capsys.readouterr().out
+    main(["sql", wh_dir, "SELECT COUNT(*) AS n FROM fact_wages"])
+    assert str(Warehouse.of(spark, SF_SMALL).fact_wages.count()) in capsys.readouterr().out
