@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 
 from laborstar import functions as fn
 
-SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=25, deadline=None, derandomize=True,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def spark_map(spark, values, expr):
