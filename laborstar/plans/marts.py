@@ -64,8 +64,14 @@ def top_per_code(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def _weighted_avg(total: str, count: str, weight: Column) -> Column:
-    """AVG over the expanded join = sum(w * per-code sum) / sum(w * per-code count)."""
-    return F.try_divide(F.sum(F.col(total) * weight), F.sum(F.col(count) * weight))
+    """AVG over the expanded join = sum(w * per-code sum) / sum(w * per-code count).
+
+    Weights are applied in double precision: the expanded row count of a hot
+    code times many duplicate rows may exceed a 64-bit integer, and only the
+    ratio is needed.
+    """
+    w = weight.cast("double")
+    return F.try_divide(F.sum(F.col(total) * w), F.sum(F.col(count).cast("double") * w))
 
 
 def _code_multiplicity(dim: DataFrame, *extra: str) -> DataFrame:
