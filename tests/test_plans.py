@@ -98,3 +98,18 @@ def test_hot_wage_code_is_split_in_j2(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spread_only_for_under_split_scans(spark, scratch):
+    """The fixture reader adds a round-robin exchange only when a scan has fewer
+    splits than the cluster has cores; a well-split input is left alone."""
+    from laborstar.plans.partitioning import spread
+    many = os.path.join(scratch, "many")
+    spark.range(0, 80000, numPartitions=16).write.parquet(many)
+    wide = spark.read.parquet(many)
+    assert spread(wide, min_partitions=4) is wide
+    one = os.path.join(scratch, "one")
+    spark.range(0, 1000, numPartitions=1).write.parquet(one)
+    narrow = spark.read.parquet(one)
+    spread_plan = spread(narrow, min_partitions=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 4" in spread_plan
