@@ -143,3 +143,11 @@ def test_cli_etl_report_and_sql(spark, scratch, capsys):
     assert "avg_skill_importance" in capsys.readouterr().out
     main(["sql", wh_dir, "SELECT COUNT(*) AS n FROM fact_wages"])
     assert str(Warehouse.of(spark, SF_SMALL).fact_wages.count()) in capsys.readouterr().out
+
+
+def test_byte_order_mark_in_header(spark, scratch):
+    """A UTF-8 BOM before the first header does not hide the code column."""
+    with open(os.path.join(scratch, "occupation_data.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("O*NET-SOC Code,Title,Description\n 15-1252.00 ,software developers,Writes code\n")
+    dim = T.transform_occupations(files.extract(spark, scratch, "occupation_data"))
+    assert rows(dim) == [("15-1252.00", "Software Developers", "Writes code", "15")]
