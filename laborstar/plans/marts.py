@@ -123,7 +123,7 @@ def q1_top_paying(dim: DataFrame, wages: DataFrame, k: int = TOP_K) -> DataFrame
     # Per code at most k dimension rows (by title) can follow a wage row, so
     # the dimension is cut to its first k rows per candidate code before the
     # join: a code with millions of dimension rows contributes k of them.
-    codes = _bounded(top_wages.select(CODE).distinct())
+    codes = _bounded(top_wages.select(CODE))   # <= k rows; repeats are harmless in a semi-join
     titles = top_per_code(dim.select(CODE, "title", "soc_major_group").join(codes, CODE, "left_semi"),
                           k, F.col("title").asc_nulls_first())
     return (_bounded(top_wages).join(titles, CODE)
@@ -188,7 +188,7 @@ def q3_critical_thinking(dim: DataFrame, skills: DataFrame, wages: DataFrame,
                           .alias("_copy")))
     # At most k codes remain; per code only its first k wages and its first
     # k titles can reach the answer, so both are cut before the joins.
-    codes = _bounded(top_groups.select(CODE).distinct())
+    codes = _bounded(top_groups.select(CODE))   # <= k*k rows; repeats are harmless in a semi-join
     pay = top_per_code(wages.select(CODE, "annual_median_wage").join(codes, CODE, "left_semi"),
                        k, F.col("annual_median_wage").desc_nulls_last())
     titles = top_per_code(dim.select(CODE, "title").join(codes, CODE, "left_semi"),
