@@ -2,6 +2,8 @@
 joins, distributed top-k, pushdown into stored Parquet."""
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 
 import __spark_entry__ as E
@@ -11,8 +13,22 @@ from laborstar.sources.warehouse import write_table, StoredWarehouse
 from tests.conftest import SF_SMALL
 
 
+def explain(df, mode: str = "extended") -> str:
+    """The text of ``df.explain(mode)`` (public API; printed by PySpark)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Physical plan (final adaptive plan once the frame has been executed)."""
+    return explain(df, "formatted")
+
+
+def optimized(df) -> str:
+    text = explain(df, "extended")
+    return text[text.index("== Optimized Logical Plan =="):text.index("== Physical Plan ==")]
 
 
 def test_no_python_evaluation_anywhere(spark):
@@ -25,13 +41,12 @@ def test_no_python_evaluation_anywhere(spark):
 def test_top_k_is_take_ordered(spark):
     for key in ("q1_top_paying", "q3_critical_thinking", "q6_occupation_profile"):
         df = E.queries()[key](spark, SF_SMALL)
-        assert "TakeOrderedAndProject" in df._jdf.queryExecution().optimizedPlan().toString() or \
-               "TakeOrderedAndProject" in plan(df) or "GlobalLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+        assert "TakeOrderedAndProject" in plan(df) and "GlobalLimit" in optimized(df), key
 
 
 def test_facts_are_aggregated_before_the_join(spark):
     w = Warehouse.of(spark, SF_SMALL)
-    opt = marts.q2_skill_by_group(w.dim_occupation, w.fact_skills)._jdf.queryExecution().optimizedPlan().toString()
+    opt = optimized(marts.q2_skill_by_group(w.dim_occupation, w.fact_skills))
     # The join's inputs are Aggregates (per-code summaries), not raw fact rows.
     join_at = opt.index("Join Inner")
     assert opt.count("Aggregate", join_at) >= 2
@@ -41,8 +56,8 @@ def test_q6_never_joins_whole_fact_groups(spark):
     w = Warehouse.of(spark, SF_SMALL)
     df = marts.q6_occupation_profile(w.dim_occupation, w.fact_wages, w.fact_skills, w.fact_knowledge,
                                      code="15-1002.00")
-    opt = df._jdf.queryExecution().optimizedPlan().toString()
-    # three per-side limits feed the joins
+    opt = optimized(df)
+    # four per-side limits feed the joins, plus the final one
     assert opt.count("GlobalLimit 10") >= 4
 
 
@@ -90,8 +105,8 @@ def test_hot_wage_code_is_split_in_j2(spark):
         rewritten = marts.join_left_wages(dim, wages)
         plain = dim.join(wages, "onetsoc_code", "left").select("onetsoc_code", "title", "annual_median_wage")
         assert sorted(map(tuple, rewritten.collect())) == sorted(map(tuple, plain.collect()))
-        assert "AQEShuffleRead skewed" in plan(rewritten)
-        assert "skewed" not in plan(plain)
+        assert "AQEShuffleRead skewed" in explain(rewritten, "simple")
+        assert "skewed" not in explain(plain, "simple")
     finally:
         for k, v in saved.items():
             if v is None:
@@ -111,5 +126,5 @@ def test_spread_only_for_under_split_scans(spark, scratch):
     one = os.path.join(scratch, "one")
     spark.range(0, 1000, numPartitions=1).write.parquet(one)
     narrow = spark.read.parquet(one)
-    spread_plan = spread(narrow, min_partitions=4)._jdf.queryExecution().optimizedPlan().toString()
+    spread_plan = optimized(spread(narrow, min_partitions=4))
     assert "Repartition 4" in spread_plan

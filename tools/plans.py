@@ -8,6 +8,8 @@ filters pushed into the scans.
 """
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -18,7 +20,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def final_plan(df) -> str:
     df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()        # after execution: the final adaptive plan
+    text = buf.getvalue().replace("== Physical Plan ==", "").strip()
     # keep the final adaptive plan; drop expression ids, plan ids and paths
     text = text.split("+- == Initial Plan ==")[0]
     text = re.sub(r"#\d+L?", "", text)
