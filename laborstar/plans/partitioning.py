@@ -7,6 +7,11 @@ import os
 from pyspark.sql import DataFrame
 
 
+# A scan with at least this many splits is never reshuffled, whatever the
+# cluster size: at 128 MB per split this bounds the extra exchange to ~8 GB.
+MAX_SPREAD_SPLITS = 64
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 
@@ -14,13 +19,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     group is read by a single task, and all the per-row cleaning behind the
     scan would then run on one core. When the scan already has at least
     ``min_partitions`` splits (the normal case for large inputs) the frame
-    is returned unchanged, so no shuffle is added at scale.
+    is returned unchanged, so no shuffle is added at scale; and a scan with
+    ``MAX_SPREAD_SPLITS`` splits or more is never reshuffled, so a medium
+    table on a very large cluster is not copied through an exchange either.
     (``LABORSTAR_NO_SPREAD=1`` switches the guard off for experiments.)
     """
     if os.environ.get("LABORSTAR_NO_SPREAD"):
         return df
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD_SPLITS)
         splits = df.rdd.getNumPartitions()
     except Exception:      # sessions without RDD access: leave the scan as it is
         return df

@@ -115,7 +115,7 @@ def test_hot_wage_code_is_split_in_j2(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_only_for_under_split_scans(spark, scratch):
+def test_spread_only_for_under_split_scans(spark, scratch, monkeypatch):
     """The fixture reader adds a round-robin exchange only when a scan has fewer
     splits than the cluster has cores; a well-split input is left alone."""
     from laborstar.plans.partitioning import spread
@@ -123,6 +123,11 @@ def test_spread_only_for_under_split_scans(spark, scratch):
     spark.range(0, 80000, numPartitions=16).write.parquet(many)
     wide = spark.read.parquet(many)
     assert spread(wide, min_partitions=4) is wide
+    # however many cores the cluster has, a scan with at least MAX_SPREAD_SPLITS splits is left alone
+    import laborstar.plans.partitioning as P
+    monkeypatch.setattr(P, "MAX_SPREAD_SPLITS", 4)
+    assert spread(wide, min_partitions=1000) is wide
+    monkeypatch.undo()
     one = os.path.join(scratch, "one")
     spark.range(0, 1000, numPartitions=1).write.parquet(one)
     narrow = spark.read.parquet(one)
