@@ -52,3 +52,10 @@ def test_counts_recorded_in_fixtures_doc(spark):
         (40, 48, 1313, 3438)
     audit = {r.table: r.rows_out for r in q["load_audit"](spark, SF_MID).collect()}
     assert (audit["dim_occupation"], audit["fact_skills"], audit["fact_wages"]) == (1912, 59376, 1174)
+
+
+def test_schemas_are_stable_across_calls(spark):
+    q = E.queries()
+    for key, fn in q.items():
+        assert fn(spark, SF_SMALL).schema == fn(spark, SF_SMALL).schema, key
+    assert E.entry(spark).schema == E.entry(spark).schema
