@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laborstar.llm import linededup, quality
+from laborstar.llm import decontam, linededup, mixing, quality, simhash
 from laborstar.llm._store import stored
 from laborstar.llm.queries import table
 
@@ -24,7 +24,23 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linededup.dedup(docs)
 
 
-STAGES = [("quality", quality_stage), ("line_dedup", line_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays."""
+    return simhash.keep_first(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.report(docs)
+
+
+STAGES = [("quality", quality_stage), ("line_dedup", line_stage), ("near_duplicates", near_duplicate_stage),
+          ("decontamination", decontamination_stage), ("mixing", mixing_stage)]
 ORACLE_SQL = None      # the classifier is not SQL; tests compare every stage with a brute-force version
 
 
