@@ -21,6 +21,19 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
+OP6 = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
+k AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS key FROM p),
+f AS (SELECT key, min(doc_id) AS first FROM k GROUP BY key),
+g AS (SELECT DISTINCT doc_id, q FROM (SELECT k.doc_id, unnest(range(p, p + 50)) AS q FROM k JOIN f ON k.key = f.key WHERE k.doc_id > f.first)),
+e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+m AS (SELECT e.*, g.q IS NOT NULL AS gone FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.q = g.q),
+s AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY q) FILTER (WHERE NOT gone) AS kept FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+"""
+
 OP10 = f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
@@ -33,4 +46,4 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-ORACLE = {"op2_benchmark_decontamination": OP2, "op10_line_dedup": OP10}
+ORACLE = {"op2_benchmark_decontamination": OP2, "op6_substring_dedup": OP6, "op10_line_dedup": OP10}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laborstar.llm import decontam, linededup, mixing, quality, simhash
+from laborstar.llm import decontam, linededup, mixing, quality, simhash, substring
 
 # Records of an Arrow batch: texts may be long, so batches have few rows.
 ARROW_ROWS = "1000"
@@ -22,6 +22,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_simhash_near_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_simhash_near_dedup, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
 
 
 def queries() -> dict:
