@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laborstar.llm import decontam, linededup, mixing, quality, simhash, substring
+from laborstar.llm import decontam, langid, linededup, mixing, quality, simhash, substring
 
 # Records of an Arrow batch: texts may be long, so batches have few rows.
 ARROW_ROWS = "1000"
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,7 +42,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_simhash_near_dedup, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_benchmark_decontamination, op3_simhash_near_dedup,
+                                  op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
 
 
 def queries() -> dict:
