@@ -21,6 +21,33 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
+_ESCAPED = "replace({}, '\\', '\\\\')"
+for _s in ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"):
+    _ESCAPED = f"replace({_ESCAPED}, '{_s}', '{_s[0]}\\{_s[1:]}')"
+
+# Characters of the windows: every turn once, and the turns that later windows repeat.
+OP4 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, '<|turn|>' || {_ESCAPED.format("role")} || '<|text|>' || {_ESCAPED.format("text")} || '<|end|>' || chr(10) AS f,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
+n AS (SELECT *, len(regexp_extract_all(f, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]')) AS n, pos = 1 AND role = 'system' AS sys FROM f),
+s AS (SELECT *, bool_or(sys) OVER (PARTITION BY conv_id) AS has, CASE WHEN sys THEN 0 ELSE n END AS c,
+             greatest(1, floor((512 - 128 - sum(CASE WHEN sys THEN n ELSE 0 END) OVER (PARTITION BY conv_id)) / 2)) AS step,
+             sum(CASE WHEN sys THEN length(f) ELSE 0 END) OVER (PARTITION BY conv_id) AS sys_chars FROM n),
+p AS (SELECT *, 2 * sum(CAST(c > step AS INT)) OVER w - CAST(c > step AS INT) AS a, floor((sum(c) OVER w - c) / step) AS b,
+             lag(n, 1) OVER w AS n1, lag(n, 2) OVER w AS n2, length(lag(f, 1) OVER w) AS l1, length(lag(f, 2) OVER w) AS l2
+      FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+v AS (SELECT *, (NOT has OR pos > 2) AND pos > 1 AND (a, b) <> lag((a, b)) OVER (PARTITION BY conv_id ORDER BY pos) AS cut FROM p),
+r AS (SELECT *, CASE WHEN cut THEN sys_chars + CASE WHEN n1 <= 128 AND NOT (has AND pos - 1 = 1) THEN l1 ELSE 0 END
+                    + CASE WHEN n1 + n2 <= 128 AND NOT (has AND pos - 2 = 1) THEN l2 ELSE 0 END ELSE 0 END AS repeated FROM v)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(f) + repeated) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
 OP6 = """
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
@@ -46,4 +73,4 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-ORACLE = {"op2_benchmark_decontamination": OP2, "op6_substring_dedup": OP6, "op10_line_dedup": OP10}
+ORACLE = {"op2_benchmark_decontamination": OP2, "op4_chat_formatting": OP4, "op6_substring_dedup": OP6, "op10_line_dedup": OP10}
