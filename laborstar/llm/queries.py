@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laborstar.llm import chat, decontam, langid, linededup, mixing, quality, simhash, substring
+from laborstar.llm import chat, decontam, fingerprint, langid, linededup, mixing, quality, simhash, substring
 
 # Records of an Arrow batch: texts may be long, so batches have few rows.
 ARROW_ROWS = "1000"
@@ -30,6 +30,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_benchmark_decontamination, op3_simhash_near_dedup,
-                                  op4_chat_formatting, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
+                                  op4_chat_formatting, op5_document_fingerprints, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
 
 
 def queries() -> dict:
