@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from laborstar.llm._sample import smallest
 from laborstar.llm._tokens import mix, words
 
 DIMS = 1 << 18
@@ -112,9 +113,9 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray:
     """Weights from at most ``max_rows`` labelled rows outside the held-out fold."""
     sample = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("y"))
-              .where("id is not null and y in (0, 1)").where(~held_out(F.col("id")))
-              .withColumn("order", F.xxhash64("id")).orderBy("order", "id", "y").limit(max_rows))
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(sample), "id")   # <= max_rows labels
+              .where("id is not null and y in (0, 1)").where(~held_out(F.col("id"))))
+    rows = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(smallest(sample, "id", max_rows)), "id")
+    rows = rows.withColumn("order", F.xxhash64("id"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["order", "id", "y"], kind="stable")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laborstar.llm import chat, decontam, fingerprint, langid, linededup, mixing, quality, simhash, substring
+from laborstar.llm import chat, decontam, fingerprint, langid, linededup, lm, mixing, quality, simhash, substring
 
 # Records of an Arrow batch: texts may be long, so batches have few rows.
 ARROW_ROWS = "1000"
@@ -46,12 +46,16 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_benchmark_decontamination, op3_simhash_near_dedup,
-                                  op4_chat_formatting, op5_document_fingerprints, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op10_line_dedup)}
+                                  op4_chat_formatting, op5_document_fingerprints, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op9_lm_scoring, op10_line_dedup)}
 
 
 def queries() -> dict:
