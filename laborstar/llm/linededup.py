@@ -84,12 +84,17 @@ class Runs:
             self._forget(old)
 
     def merged(self, level: int | None = None) -> DataFrame:
-        """All runs, or those of a level, as one row per key."""
+        """All runs, or those of a level, merged to one row per key.
+
+        Merge joins of the sorted buckets; a union would not keep equal buckets together.
+        """
         names = [n for i, names in enumerate(self.levels) for n in names if level in (None, i)]
         runs = self.spark.table(names[0])
         for name in names[1:]:
-            runs = runs.unionByName(self.spark.table(name))
-        return runs.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("holder").alias("holder"))
+            more = self.spark.table(name).withColumnsRenamed({"n": "more_n", "holder": "more_holder"})
+            runs = runs.join(more, KEY, "full_outer").select(
+                *KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("more_n", F.lit(0))).alias("n"), F.greatest("holder", "more_holder").alias("holder"))
+        return runs
 
     def add(self, batch: DataFrame) -> None:
         """Anti-join a batch of (key, n, holder) with the keys that are settled, and add the rest."""
@@ -131,18 +136,20 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept`` (the text that stays) added."""
+    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept`` (the text that stays) added.
+
+    Texts are split before the join, so that the lines are a column there and are not split again for each.
+    """
     gone = dropped_positions(docs, **options).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("gone").alias("__gone"))
-    text = docs["text"]
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(text) == gone["__h"]), "left")
-    all_lines = lines(F.col("text"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("__gone"))
-    kept = F.when(F.col("__gone").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(
+    split = docs.withColumns({"__lines": lines(F.col("text")), "__none": F.col("text").isNull(), "__hash": F.xxhash64("text")}).drop("text")
+    joined = split.join(gone, split["doc_id"].eqNullSafe(gone["__id"]) & (split["__hash"] == gone["__h"]), "left")
+    whole = F.array_join("__lines", "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
+    kept = F.when(F.col("__gone").isNull(), whole).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n"))
-    return (joined.withColumn("__lines", all_lines)
-            .withColumns({"__kept": kept, "__n_lines": F.size("__lines"),
-                          "__n_dropped": F.coalesce(F.size("__gone"), F.lit(0))})
-            .drop("__id", "__h", "__gone", "__lines"))
+    added = {"text": F.when(~F.col("__none"), whole), "__kept": kept, "__n_lines": F.size("__lines"),
+             "__n_dropped": F.coalesce(F.size("__gone"), F.lit(0))}
+    return joined.withColumns(added).select(*[F.col(f"`{c}`") for c in docs.columns], "__kept", "__n_lines", "__n_dropped")
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
