@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ASCII white space (\x20 and \x09-\x0D) and the letters A-Z.
@@ -26,6 +26,14 @@ def blank_words(c: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def rows_of(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few given rows as a table of literals."""
+    names, kinds = zip(*(field.split(" ", 1) for field in schema.split(", ")))
+    each = [F.struct(*[F.lit(x).cast(kind).alias(name) for x, name, kind in zip(row, names, kinds)]) for row in rows]
+    whole = F.array(*each).cast(f"array<struct<{', '.join(f'{n}:{k}' for n, k in zip(names, kinds))}>>")
+    return spark.range(1).select(F.inline(whole))
+
+
 def like(df: DataFrame, schema_of: DataFrame) -> DataFrame:
     """The columns of ``schema_of``, in its order."""
     return df.select(*[F.col(f"`{c}`") for c in schema_of.columns])

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laborstar.llm._columns import rows_of
+
 # The template, and the strings that texts must not contain unescaped.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -121,6 +123,6 @@ def report(conversations: DataFrame) -> DataFrame:
 
 def with_probe(conversations: DataFrame) -> DataFrame:
     """The table plus conversation -7, whose texts are control strings of another template."""
-    probe = conversations.sparkSession.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)],
-                                                       "conv_id long, turn long, role string, text string")
+    probe = rows_of(conversations.sparkSession, [(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)],
+                    "conv_id long, turn long, role string, text string")
     return conversations.select("conv_id", "turn", "role", "text").unionByName(probe)

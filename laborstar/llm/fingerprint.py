@@ -34,44 +34,57 @@ LAST = (1 << 31) - 1        # positions are stored as LAST - position, so that t
 RANGES = 4
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it and wherever the plan moves it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _halves(values: Column, apart: int, join) -> Column:
     """join(v[i], v[i + apart]) for all i that have both."""
-    n = F.greatest(F.size(values) - apart, F.lit(0))
-    return F.zip_with(F.slice(values, 1, n), F.slice(values, apart + 1, n), join)
+    def pairs(v: Column) -> Column:
+        n = F.greatest(F.size(v) - apart, F.lit(0))
+        return F.zip_with(F.slice(v, 1, n), F.slice(v, apart + 1, n), join)
+
+    return let(values, pairs)
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with ``name``: the packed choices of column ``text``, in text order."""
-    x, g, v = f"__{name}_x", f"__{name}_g", f"__{name}_v"
-    words = F.array_remove(F.split(F.lower(F.trim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANKS))), r"[\x20\x09-\x0D]+"), "")
-    df = df.withColumn(x, F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(PRIME - 1))))
-    power = 1
-    df = df.withColumn(g, F.col(x))
+def _roll(factor: int):
+    return lambda a, b: (a * F.lit(factor) + b) % F.lit(PRIME)
+
+
+def _grams(x: Column) -> Column:
+    """Rolling hashes of GRAM consecutive word hashes; of all words if they are fewer."""
+    whole = F.array(F.xxhash64(x).bitwiseAND(F.lit(PRIME - 1)))
+    rolled, power = x, 1
     while power < GRAM:                                     # hashes of 1, 2, 4, ... words
-        df = df.withColumn(g, _halves(F.col(g), power, _roll(pow(BASE, power, PRIME))))
+        rolled = _halves(rolled, power, _roll(pow(BASE, power, PRIME)))
         power *= 2
-    few = F.size(x) < GRAM
-    df = df.withColumn(g, F.when(~few, F.col(g)).when(F.size(x) > 0, F.array(F.xxhash64(x).bitwiseAND(F.lit(PRIME - 1)))).otherwise(F.slice(F.col(x), 1, 0)))
-    df = df.withColumn(v, F.transform(g, lambda h, i: h * F.lit(1 << 31) + (F.lit(LAST) - i)))
-    df = df.withColumn(name, F.col(v))
-    apart = 1
+    return F.when(F.size(x) >= GRAM, rolled).when(F.size(x) > 0, whole).otherwise(x)
+
+
+def _choices(v: Column) -> Column:
+    """Distinct minima of all windows of packed values, in text order."""
+    least, apart = v, 1
     while apart < WINDOW:
-        df = df.withColumn(name, _halves(F.col(name), apart, lambda a, b: F.least(a, b)))
+        least = _halves(least, apart, lambda a, b: F.least(a, b))
         apart *= 2
-    return df.withColumn(name, F.when(F.size(v) >= WINDOW, F.array_distinct(name)).when(F.size(v) > 0, F.array(F.array_min(v)))
-                         .otherwise(F.col(v))).drop(x, g, v)
+    return F.when(F.size(v) >= WINDOW, F.array_distinct(least)).when(F.size(v) > 0, F.array(F.array_min(v))).otherwise(v)
 
 
-def _roll(factor: int):
-    return lambda a, b: (a * F.lit(factor) + b) % F.lit(PRIME)
+def packed(text: Column) -> Column:
+    """The packed choices of a text, in text order."""
+    words = F.array_remove(F.split(F.lower(F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))), r"[\x20\x09-\x0D]+"), "")
+    x = F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(PRIME - 1)))
+    v = F.transform(let(x, _grams), lambda h, i: h * F.lit(1 << 31) + (F.lit(LAST) - i))
+    return let(v, _choices)
 
 
-def hashes(packed: Column) -> Column:
-    return F.transform(packed, lambda v: F.shiftright(v, 31))
+def hashes(choices: Column) -> Column:
+    return F.transform(choices, lambda v: F.shiftright(v, 31))
 
 
-def readable(packed: Column) -> Column:
-    return F.array_join(F.transform(packed, lambda v: F.concat(
+def readable(choices: Column) -> Column:
+    return F.array_join(F.transform(choices, lambda v: F.concat(
         F.lower(F.hex(F.shiftright(v, 31))), F.lit("@"), (F.lit(LAST) - v.bitwiseAND(F.lit(LAST))).cast("string"))), " ")
 
 
@@ -83,14 +96,15 @@ def likeness(a: Column, b: Column) -> Column:
 
 def with_next(docs: DataFrame, build) -> DataFrame:
     """Rows (doc_id, text, ...) with ``next``: the struct of the columns that ``build`` made for the next document."""
-    spark = docs.sparkSession
-    n = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("at")).first()["at"] or []
     bounds = F.array(*[F.lit(b) for b in sorted(set(at))]).cast("array<long>")
     part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda b: F.col("doc_id") > b)))
     ranged = docs.withColumn("part", part)
-    heads = [tuple(r) for r in ranged.groupBy("part").agg(F.max("doc_id").alias("head")).orderBy(F.col("part").desc()).collect()]   # one row per range
-    guests = spark.createDataFrame([(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)], "head long, guest int")
+    heads = ranged.groupBy("part").agg(F.max("doc_id").alias("head"))                  # one row per range
+    down = Window.orderBy(F.col("part").desc())
+    every = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    guests = heads.select("head", F.coalesce(F.lag("part").over(down), F.min("part").over(every)).alias("guest"))   # the first row follows the last range
     rows = build(ranged.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")), "left")).drop("head")
     places = F.array_compact(F.array(F.struct("part", F.lit(False).alias("guest")),
                                      F.when(F.col("guest").isNotNull(), F.struct(F.col("guest").alias("part"), F.lit(True).alias("guest")))))
@@ -102,12 +116,12 @@ def with_next(docs: DataFrame, build) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(rows, lambda df: with_fingerprint(df, "text", "own"))
+    rows = with_next(rows, lambda df: df.withColumn("own", packed(F.col("text"))))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
     rows = rows.withColumns({"n_chars": n.cast("long"), "edited": edited}).select("doc_id", "n_chars", "own", "edited", F.col("next.own").alias("next_own"))
-    rows = with_fingerprint(rows, "edited", "other")
+    rows = rows.withColumn("other", packed(F.col("edited")))
     rows = rows.withColumns({"a": hashes(F.col("own")), "b": hashes(F.col("other")), "c": hashes(F.col("next_own"))})
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), readable(F.col("own")).alias("fingerprint"),
                        readable(F.col("other")).alias("edited_fingerprint"), likeness(F.col("a"), F.col("b")).alias("near_edited"),

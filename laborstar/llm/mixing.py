@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laborstar.llm._columns import blank_words
+from laborstar.llm._columns import blank_words, rows_of
 from laborstar.llm._store import stored
 
 BLOCK = 64
@@ -108,8 +108,8 @@ def slots(spark, sources: list[dict], shard: int = SHARD) -> DataFrame:
 def streams(sizes: DataFrame, sources: list[dict]) -> DataFrame:
     """Every document with its place in its source's stream: rank, bucket, nth, offset."""
     spark = sizes.sparkSession
-    known = spark.createDataFrame([(s["source"], s["rank"], s["words"], s["target"]) for s in sources],
-                                  "src string, rank int, source_size long, target double")
+    known = rows_of(spark, [(s["source"], s["rank"], s["words"], s["target"]) for s in sources],
+                    "src string, rank int, source_size long, target double")
     docs = sizes.join(F.broadcast(known), sizes["source"].eqNullSafe(known["src"])).drop("source", "src")   # one row per source
     buckets = 1 + sizes.count() // BUCKET_DOCS
     docs = docs.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "id", "h"), F.lit(buckets)).cast("int"))

@@ -1,0 +1,278 @@
+"""Chat formatting, document fingerprints, mixing, the pipeline and the registered queries."""
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+from collections import Counter, defaultdict
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline
+from laborstar.llm import chat, fingerprint, mixing, queries, simhash
+from laborstar.llm._store import stored
+from tests.conftest import SF_SMALL
+from tests.llm import cases
+from tools.compare import compare
+
+ROWS = cases.corpus(n=30)
+
+TALK = [(1, 0, "system", "be kind <|end|>\n"), (1, 1, "user", "hi </s> \\ [INST]"), (1, 2, "assistant", "yes <|turn|>x<|text|>"),
+        (1, 3, "user", None), (1, 4, "assistant", "a \\<| b " * 30), (1, 5, "assistant", ""), (1, 6, "user", "more words here ok"),
+        (1, 7, "assistant", "é 漢字 \U0001f600 \\"), (2, 0, "user", "x"), (2, 0, "assistant", "x"), (2, 0, "user", "x"),
+        (None, 1, "assistant", "null id"), (None, None, None, None), (3, 0, "assistant", "long " * 500), (3, 1, "user", "long " * 400),
+        (3, 2, "assistant", "\\\\[/INST]<<SYS>>"), (4, 0, "system", "only")] + [(5, i, ("user", "assistant")[i % 2], f"turn {i} says so") for i in range(40)]
+
+
+def talk(spark):
+    return cases.frame(spark, TALK, "conv_id long, turn long, role string, text string")
+
+
+def ordered(rows):
+    low = lambda x: (x is not None, x if x is not None else 0)
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        by[c].append((low(t), r or "", x or ""))
+    return {c: [(r, x) for _, r, x in sorted(v)] for c, v in by.items()}
+
+
+@pytest.mark.parametrize("budget", [40, 200, 4000])
+def test_chat_windows_read_back(spark, budget):
+    formatted = chat.windows(talk(spark), budget=budget, history_tokens=20)
+    back = chat.read_loss(chat.read_turns(formatted)).orderBy("conv_id", "window").collect()
+    turns, targets, windows = defaultdict(list), defaultdict(list), Counter()
+    for r in back:
+        turns[r["conv_id"]] += [(t["role"], t["text"]) for t in r["turns"]]
+        targets[r["conv_id"]] += r["targets"]
+        windows[r["conv_id"]] += 1
+        assert r["text"].count("<|turn|>") == r["text"].count("<|end|>\n") == r["n_repeated"] + len(r["turns"])
+    want = ordered(TALK)
+    assert dict(turns) == want
+    assert dict(targets) == {c: [x for r, x in v if r == "assistant"] for c, v in want.items()}
+    assert (windows[5] > 3) == (budget < 4000)
+
+
+def test_chat_windows_keep_the_budget_and_repeat_history(spark):
+    budget = 60
+    rows = chat.windows(talk(spark), budget=budget, history_tokens=20).withColumn("n", chat.tokens(F.col("text"))).collect()
+    for r in rows:
+        fresh = r["text"].count("<|turn|>") - r["n_repeated"]
+        assert r["n"] <= budget or fresh == 1
+        if r["window"] > 1:
+            assert r["n_repeated"] >= (1 if r["conv_id"] in (1, 5) else 0) and r["n_repeated"] <= 3
+        if r["conv_id"] == 1:
+            assert r["text"].startswith("<|turn|>system<|text|>be kind")
+
+
+def test_chat_report_and_probe(spark):
+    got = {r["conv_id"]: r for r in chat.report(chat.with_probe(talk(spark))).collect()}
+    want = ordered(TALK + [(-7, 0, "user", chat.PROBE), (-7, 1, "assistant", chat.PROBE)])
+    assert set(got) == set(want)
+    for c, v in want.items():
+        loss = "".join(x for r, x in v if r == "assistant")
+        assert got[c]["n_turns"] == len(v) and got[c]["turns_sha256"] == cases.sha("".join(f"{r}\n{x}\n" for r, x in v))
+        assert got[c]["loss_chars"] == len(loss) and got[c]["loss_sha256"] == cases.sha(loss)
+    assert chat.report(talk(spark).limit(0)).count() == 0
+
+
+# ---- winnowing --------------------------------------------------------------------------------
+
+def winnow(text):
+    x = [xxhash.xxh64_intdigest(w.encode(), 42) & (fingerprint.PRIME - 1) for w in cases.SPACES.findall((text or "").lower())]
+    k, p = fingerprint.GRAM, fingerprint.PRIME
+    if len(x) < k:
+        return None
+    g = [sum(x[i + j] * pow(fingerprint.BASE, k - 1 - j, p) for j in range(k)) % p for i in range(len(x) - k + 1)]
+    w = min(fingerprint.WINDOW, len(g))
+    found = dict.fromkeys(min(range(i, i + w), key=lambda q: (g[q], -q)) for i in range(len(g) - w + 1))
+    return [(g[q], q) for q in found]
+
+
+def test_fingerprints_equal_brute_force(spark):
+    rows = [r for r in ROWS if r[0] != 1 or r == ROWS[0]]
+    rows = list(dict.fromkeys(r for r in rows if r[0] is not None)) + [(None, "the last one of all " * 9, "en", "a", 1)]
+    got = {r["doc_id"]: r for r in fingerprint.report(cases.frame(spark, rows)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    near = lambda a, b: len(a & b) / len(a | b)
+    seen = 0
+    for r, after in zip(order, order[1:] + order[:1]):
+        text, following = r[1] or "", after[1] or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + following[:half]
+        x = got[r[0]]
+        assert x["n_chars"] == len(text) and x["edited_sha256"] == cases.sha(edited)
+        a, b, c = winnow(text), winnow(edited), winnow(following)
+        if a is not None:
+            assert x["fingerprint"] == " ".join(f"{h:x}@{q}" for h, q in a)
+        if None not in (a, b, c):
+            seen += 1
+            sets = [{h for h, _ in s} for s in (a, b, c)]
+            assert x["near_edited"] == pytest.approx(near(sets[0], sets[1])) and x["near_next"] == pytest.approx(near(sets[0], sets[2]))
+    assert seen > 20 and got[701]["fingerprint"] == got[700]["fingerprint"] == "" and got[701]["near_edited"] == 1.0
+
+
+def test_equal_texts_have_equal_fingerprints(spark):
+    by = defaultdict(set)
+    text = defaultdict(set)
+    for r in ROWS:
+        text[r[0]].add(r[1] or "")
+    for r in fingerprint.report(cases.frame(spark, ROWS)).collect():
+        if len(text[r["doc_id"]]) == 1:
+            by[min(text[r["doc_id"]])].add(r["fingerprint"])
+    assert all(len(v) == 1 for v in by.values())
+    got = fingerprint.report(cases.frame(spark, ROWS))
+    assert got.count() == len(ROWS) and got.where("near_edited < 0 or near_edited > 1 or near_next < 0 or near_next > 1").count() == 0
+
+
+def test_winnowing_guarantee(spark):
+    """Two texts that share WINDOW + GRAM - 1 words in a row share a chosen hash."""
+    shared = " ".join(f"s{i}" for i in range(fingerprint.WINDOW + fingerprint.GRAM - 1))
+    rows = [(i, f"{' '.join(f'a{i}x{j}' for j in range(i * 3))} {shared} {' '.join(f'b{i}x{j}' for j in range(50 - i))}", "en", "a", 1) for i in range(12)]
+    df = cases.frame(spark, rows).select(fingerprint.hashes(fingerprint.packed(F.col("text"))).alias("x"))
+    chosen = [set(r["x"]) for r in df.collect()]
+    assert all(a & b for a in chosen for b in chosen)
+
+
+def test_single_and_no_document(spark):
+    one = fingerprint.report(cases.frame(spark, [(5, "abcd", "en", "a", 4)])).collect()
+    assert one[0]["edited_sha256"] == cases.sha("abab") and one[0]["near_next"] == 1.0
+    assert fingerprint.report(cases.frame(spark, [])).count() == 0
+
+
+# ---- mixing -----------------------------------------------------------------------------------
+
+def fill(sizes, weights, times=3):
+    """Targets by repeated sharing of the excess."""
+    total, target, open_ = sum(sizes), [0.0] * len(sizes), set(range(len(sizes)))
+    left = float(total)
+    while open_ and left > 1e-9:
+        w, share = sum(weights[i] for i in open_), left
+        left = 0.0
+        for i in list(open_):
+            target[i] += share * weights[i] / w
+            if target[i] >= times * sizes[i]:
+                left += target[i] - times * sizes[i]
+                target[i] = float(times * sizes[i])
+                open_.discard(i)
+    return target
+
+
+def many(n=400):
+    import random
+    rng = random.Random(4)
+    return [(i, cases.prose(rng, rng.randint(0, 300)), "en", ("a", "a", "a", "B", "é", None, "tiny")[rng.randint(0, 5) if i % 97 else 6], 0) for i in range(n)]
+
+
+def test_mixing_targets_and_sizes(spark):
+    rows = many() + ROWS
+    got = mixing.report(cases.frame(spark, rows)).collect()
+    size = lambda r: len(cases.SPACES.findall(r[1] or ""))
+    names = sorted({r[3] for r in rows if r[3] is not None}) + [None]
+    sizes = [sum(size(r) for r in rows if r[3] == s) for s in names]
+    target = dict(zip(names, fill(sizes, [(1, 2, 3)[i % 3] for i in range(len(names))])))
+    assert Counter((r["doc_id"], r["size"], r["source_size"], round(r["target"], 3)) for r in got) == Counter(
+        (r[0], size(r), dict(zip(names, sizes))[r[3]], round(target[r[3]], 3)) for r in rows)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    taken = Counter()
+    for r in got:
+        taken[r["source_size"]] += r["taken"]
+    for name, n in zip(names, sizes):
+        assert abs(taken[n] - target[name]) <= max(0.02 * target[name], 2 * mixing.BLOCK)
+    again = mixing.report(cases.frame(spark, rows).repartition(3)).collect()
+    assert Counter(again) == Counter(got)
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 5, 0, 1000], [0, 0], [7], [5, 1, 1, 1, 1, 1, 90]])
+def test_water_level(spark, sizes):
+    rows = [(f"s{i}", n) for i, n in enumerate(sizes)]
+    got = mixing.targets(spark.createDataFrame(rows, "source string, size long"))
+    assert [s["target"] for s in got] == pytest.approx(fill(sizes, [(1, 2, 3)[i % 3] for i in range(len(sizes))]))
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
+def test_permutation_is_a_bijection(spark, n):
+    got = [r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3), F.lit(1))).collect()]
+    assert sorted(got) == list(range(n)) and (n < 64 or got != sorted(got))
+
+
+def test_shards_follow_the_targets(spark):
+    sources = [{"target": t, "blocks": b, "words": b * mixing.BLOCK} for t, b in ((64_000.0, 2000), (12_345.0, 500), (900.0, 30))]
+    rows = mixing.shard_counts(spark, sources, shard=100).collect()
+    expected = sum(s["target"] for s in sources) / mixing.BLOCK
+    per_shard, per_source = Counter(), Counter()
+    for r in rows:
+        per_shard[r["shard"]] += r["n"]
+        per_source[r["rank"]] += r["n"]
+    assert len(per_shard) == round(expected / 100) and all(99 <= n <= 102 for n in per_shard.values())
+    for i, s in enumerate(sources):
+        assert abs(per_source[i] - s["target"] / mixing.BLOCK) <= 2 * len(per_shard) ** 0.5 + 1
+
+
+def test_mixed_blocks_hold_the_words_that_are_taken(spark):
+    df = cases.frame(spark, [r for r in many(60) if r[1]])
+    blocks = mixing.mixed_blocks(df, shard=50).collect()
+    taken = sum(r["taken"] for r in mixing.report(df).collect())
+    assert all(0 < len(b["text"].split()) <= mixing.BLOCK for b in blocks)
+    # Shards of another size draw other remainders, so the totals agree within a block per shard and source.
+    assert abs(sum(len(b["text"].split()) for b in blocks) - taken) <= mixing.BLOCK * 5 * (1 + len(blocks) // 50)
+
+
+def test_mixing_of_nothing(spark):
+    assert mixing.report(cases.frame(spark, [])).count() == 0
+    assert [tuple(r) for r in mixing.report(cases.frame(spark, [(1, None, "x", None, None)])).collect()] == [(1, 0, 0, 0.0, 0)]
+
+
+# ---- pipeline and registration ----------------------------------------------------------------
+
+def test_pipeline_stages(spark):
+    """Every stage returns the columns of documents, and works on what the stage before it kept."""
+    docs = queries.table(spark, SF_SMALL, "documents")
+    labels = {r[0]: r[1] for r in queries.table(spark, SF_SMALL, "labels").select("doc_id", "quality").collect()}
+    items = [tuple(r) for r in queries.table(spark, SF_SMALL, "benchmark").select("item_id", "text").collect()]
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stored(stage(spark, docs, SF_SMALL))
+        got = {r["doc_id"]: r for r in out.collect()}
+        before = [(i, r["text"], None, None) for i, r in rows.items()]
+        if name != "mixing":
+            assert out.columns == docs.columns and set(got) <= set(rows)
+        if name == "quality":
+            assert all(labels.get(i, 0) == 0 for i in set(rows) - set(got)) or len(rows) - len(got) < 40
+            assert sum(labels[i] == 1 and i not in got for i in labels) <= 2
+        elif name == "line_dedup":
+            want = {d: t for d, _, _, t in cases.dedup_lines(before)}
+            assert {i: r["text"] for i, r in got.items()} == want
+        elif name == "near_duplicates":
+            group = cases.components([cases.fingerprint(r[1]) for r in before])
+            assert set(got) == {min(r[0] for r, x in zip(before, group) if x == g) for g in set(group)}
+        elif name == "decontamination":
+            bad = {w[0] for w in cases.decontaminate(before, items) if w[5]}
+            assert set(got) == set(rows) - bad and bad
+        else:
+            assert set(got) == set(rows) and sum(r["taken"] for r in got.values()) > 0
+        docs, rows = out, got
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "decontamination", "mixing"]
+
+
+def test_registered_queries_match_their_sql(spark):
+    keys = [k for k in E.queries() if re.match(r"op\d+_", k) and k in E.oracle_sql()]
+    found = compare(spark, SF_SMALL, keys, verbose=False)
+    assert keys and all(v["match"] for v in found.values()), found
+
+
+def test_native_operators_run_no_python(spark):
+    """The operators that must be DataFrame operations have no Python node in any plan they return."""
+    for name in ("op2_benchmark_decontamination", "op4_chat_formatting", "op5_document_fingerprints", "op7_source_mixing", "op10_line_dedup"):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            E.queries()[name](spark, SF_SMALL).explain("formatted")
+        assert not re.search("Python|Pandas|Arrow", buf.getvalue()), name
+
+
+def test_ten_operators_and_a_pipeline_are_registered():
+    names = list(E.queries())
+    assert [sum(k.startswith(f"op{i}_") for k in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert simhash.MAX_BITS == 2 and simhash.SHINGLE == 3
