@@ -62,14 +62,14 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def seeds(wins: DataFrame, counts: DataFrame) -> DataFrame:
-    """Per window that can occur: its terms, and its rarest and second rarest term with their offsets."""
+    """Per window that can occur: its number (a hash) and terms, and its two rarest terms with their offsets."""
     at = wins.select("win", "terms", F.posexplode("terms").alias("offset", "term"))
     ranked = (at.join(counts, "term").groupBy("win", "terms")
               .agg(F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("by")))     # at most ten
-    found = ranked.where(F.size("by") == F.size("terms")).select(
-        "win", "terms", F.get("by", F.lit(0)).alias("a"), F.coalesce(F.get("by", F.lit(1)), F.get("by", F.lit(0))).alias("b"))
-    return found.select("win", "terms", F.col("a.term").alias("term"), F.col("a.offset").alias("offset"),
-                        F.col("b.term").alias("term2"), F.col("b.offset").alias("offset2"))
+    rarest, second = F.get("by", F.lit(0)), F.coalesce(F.get("by", F.lit(1)), F.get("by", F.lit(0)))
+    return ranked.where(F.size("by") == F.size("terms")).select(
+        F.xxhash64("win").alias("w"), "win", "terms", rarest["term"].alias("term"), rarest["offset"].alias("offset"),
+        second["term"].alias("term2"), second["offset"].alias("offset2"))
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -79,14 +79,35 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def candidates(index: DataFrame, seed: DataFrame, slop: int = 0) -> DataFrame:
-    """Offset-adjusted intersection of the lists of the two rarest terms: (id, h, win, start)."""
-    first = (index.join(small(seed, SMALL), "term").where(F.col("pos") >= F.col("offset"))
-             .select("id", "h", "win", "terms", (F.col("pos") - F.col("offset")).alias("start"), "term2", "offset2"))
+    """Offset-adjusted intersection of the lists of the two rarest terms: (id, h, w, start)."""
+    lookup = small(seed.select("w", "term", "offset", "term2", "offset2"), SMALL)
+    first = (index.join(lookup, "term").where(F.col("pos") >= F.col("offset"))
+             .select("id", "h", "w", (F.col("pos") - F.col("offset")).alias("start"), "term2", "offset2"))
     second = index.select("id", "h", F.col("term").alias("term2"), F.col("pos").alias("pos2"))
     shifts = F.array(*[F.lit(s) for s in range(-slop, slop + 1)])
     both = (first.withColumn("shift", F.explode(shifts)).withColumn("pos2", F.col("start") + F.col("offset2") + F.col("shift"))
             .join(second, ["id", "h", "term2", "pos2"], "left_semi"))
-    return both.select("id", "h", "win", "terms", "start").distinct()
+    return both.select("id", "h", "w", "start").distinct()
+
+
+def verified(rows: DataFrame, found: DataFrame, seed: DataFrame, slop: int = 0) -> DataFrame:
+    """The candidates whose other terms are in place too: (id, h, win, start, len, exact).
+
+    Only documents with a candidate are shuffled: their keys (16 bytes each) are broadcast up to SMALL rows.
+    """
+    starts = stored(found.groupBy(*ROW).agg(F.collect_list(F.struct("w", "start")).alias("found")), "candidates")
+    texts = rows.join(small(starts.select(*ROW), SMALL), ROW, "left_semi").join(starts, ROW)
+    each = texts.select("id", "h", words(F.col("text")).alias("text"), F.explode("found").alias("m"))
+    start, room = F.col("m.start"), F.greatest(F.col("m.start") - slop, F.lit(0))
+    # Ten words, and ``slop`` more on both sides: a short window reads its first words of them.
+    cut = each.select("id", "h", "m.w", start.alias("start"), F.slice("text", start + 1, WINDOW).alias("there"),
+                      F.slice("text", room + 1, WINDOW + slop + start - room).alias("around"))
+    both = cut.join(small(seed.select("w", "win", "terms"), SMALL), "w")
+    size = F.size("terms")
+    exact = F.slice("there", 1, size) == F.col("terms")
+    near = F.size(F.array_except("terms", F.slice("around", 1, size + slop + F.least(F.col("start"), F.lit(slop))))) == 0
+    both = both.withColumn("exact", exact)
+    return both.where("exact" if slop == 0 else F.col("exact") | near).select("id", "h", "win", "start", size.alias("len"), "exact").distinct()
 
 
 def matches(docs: DataFrame, items: DataFrame, slop: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -98,16 +119,7 @@ def matches(docs: DataFrame, items: DataFrame, slop: int = 0) -> tuple[DataFrame
     seed = stored(seeds(wins, counts), "seeds")
     rare = stored(seed.select(F.explode(F.array("term", "term2")).alias("term")).distinct(), "rare-terms")
     index = stored(postings(rows, rare), "postings")
-    found = candidates(index, seed, slop).groupBy(*ROW).agg(F.collect_list(F.struct("win", "terms", "start")).alias("found"))
-    found = small(stored(found, "candidates"), SMALL)
-    checked = rows.join(found, ROW).select("id", "h", words(F.col("text")).alias("w"), F.explode("found").alias("m"))
-    size = F.size("m.terms")
-    exact = F.slice("w", F.col("m.start") + 1, size) == F.col("m.terms")
-    low = F.greatest(F.col("m.start") - slop, F.lit(0))
-    around = F.slice("w", low + 1, F.col("m.start") + size + slop - low)
-    ok = exact if slop == 0 else exact | (F.size(F.array_except("m.terms", around)) == 0)
-    checked = checked.where(ok).select("id", "h", "m.win", "m.start", size.alias("len"), exact.alias("exact")).distinct()
-    return stored(checked, "matches"), owners
+    return stored(verified(rows, candidates(index, seed, slop), seed, slop), "matches"), owners
 
 
 def hits(found: DataFrame, owners: DataFrame) -> DataFrame:
