@@ -36,7 +36,7 @@ MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 ROUNDS = 16
 SEED = 7
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 1_000
 
 
 def targets(sizes: DataFrame) -> list[dict]:
@@ -142,7 +142,8 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
     placed, sources = plan(docs)
     copies = slots(docs.sparkSession, sources).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("copies"))
-    taken = (pieces(placed).join(copies, ["rank", "block"]).groupBy("rank", "bucket", "nth")
+    # A merge join: the planner knows the generated slots by the size of their range only and would broadcast them.
+    taken = (pieces(placed).join(copies.hint("merge"), ["rank", "block"]).groupBy("rank", "bucket", "nth")
              .agg(F.sum(F.col("words") * F.col("copies")).alias("taken")))
     return placed.join(taken, ["rank", "bucket", "nth"], "left").select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -159,4 +160,4 @@ def mixed_blocks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     block = cut.groupBy("rank", "block").agg(F.array_join(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("offset", "w"))), lambda x: x["w"])), " ").alias("text"))      # BLOCK words at most
     names = F.get(F.array(*[F.lit(s["source"]) for s in sources]).cast("array<string>"), F.col("rank"))
-    return slots(spark, sources, shard).join(block, ["rank", "block"]).select("shard", "slot", names.alias("source"), "block", "text")
+    return slots(spark, sources, shard).hint("merge").join(block, ["rank", "block"]).select("shard", "slot", names.alias("source"), "block", "text")
