@@ -5,9 +5,7 @@ from laborstar.functions.labels import education_label, education_label_short
 from laborstar.functions.numeric import (
     clip,
     coerce_int,
-    coerce_long,
     coerce_numeric,
-    round_avg,
     round_value,
     snap_round,
     sql_round,
@@ -23,8 +21,8 @@ from laborstar.functions.text import (
 )
 
 __all__ = [
-    "clip", "coerce_date", "coerce_int", "coerce_long", "coerce_numeric",
+    "clip", "coerce_date", "coerce_int", "coerce_numeric",
     "education_label", "education_label_short", "fill_default", "last_two",
-    "load_date", "normalize_soc", "round_avg", "round_value", "snap_round",
+    "load_date", "normalize_soc", "round_value", "snap_round",
     "soc_group", "sql_round", "strip_text", "title_case", "wage_code_suffix",
 ]

@@ -9,19 +9,34 @@ from pyspark.sql import functions as F
 
 from laborstar.functions._util import as_col
 
-# Accepted date layouts, tried in this order (month before day,
-# as the reference's reader assumes).
-DATE_PATTERNS = ("M/yyyy", "yyyy-M-d[ HH:mm:ss]", "M/d/yyyy",
-                 "yyyy-M-d'T'HH:mm:ss", "yyyy/M/d", "yyyy-M")
+# Accepted date layouts (month before day, as the reference's
+# reader assumes).
+MONTH_YEAR, US_DATE, SLASH_DATE = "M/yyyy", "M/d/yyyy", "yyyy/M/d"
+ISO_DATE, ISO_TIME, YEAR_MONTH = "yyyy-M-d[ HH:mm:ss]", "yyyy-M-d'T'HH:mm:ss", "yyyy-M"
+DATE_PATTERNS = (MONTH_YEAR, ISO_DATE, US_DATE, ISO_TIME, SLASH_DATE, YEAR_MONTH)
 
 
 def coerce_date(c) -> Column:
     """Text -> timestamp at midnight; unparsable -> NULL.
 
-    'MM/yyyy' (month precision) becomes the first of that month.
+    'MM/yyyy' (month precision) becomes the first of that month. The
+    separators tell which layout a text can have, so every value is parsed
+    at most once, and a text without separators not at all.
     """
     s = as_col(c).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in DATE_PATTERNS])
+    first = F.substring_index(s, "/", 1)
+
+    def parsed(pattern: str) -> Column:
+        return F.try_to_timestamp(s, F.lit(pattern))
+
+    slashes = F.length(s) - F.length(F.replace(s, F.lit("/"), F.lit("")))
+    dashes = F.length(s) - F.length(F.replace(s, F.lit("-"), F.lit("")))
+    return (F.when(slashes == 1, parsed(MONTH_YEAR))
+            .when((slashes == 2) & (F.length(first) >= 4), parsed(SLASH_DATE))
+            .when(slashes == 2, parsed(US_DATE))
+            .when(dashes == 1, parsed(YEAR_MONTH))
+            .when((dashes >= 2) & s.contains("T"), parsed(ISO_TIME))
+            .when(dashes >= 2, parsed(ISO_DATE)))
 
 
 def load_date(as_of: dt.date | str | None = None) -> Column:

@@ -57,15 +57,12 @@ def round_value(x, digits: int = 2) -> Column:
     return F.bround(as_col(x), digits)
 
 
-def coerce_int(c) -> Column:
-    """Number -> int, truncating toward zero; bad or too large -> NULL."""
-    return coerce_numeric(c).try_cast("int")
-
-
-def coerce_long(c) -> Column:
-    """Integer identifier: exact for integer text, truncated for decimal text."""
-    c = as_col(c)
-    return F.coalesce(c.cast("string").try_cast("bigint"), coerce_numeric(c).try_cast("bigint"))
+def coerce_int(c, default: int | None = None) -> Column:
+    """Number -> int, truncating toward zero; bad -> ``default`` (NULL); too large -> NULL."""
+    value = coerce_numeric(c)
+    if default is not None:
+        value = F.coalesce(value, F.lit(float(default)))
+    return value.try_cast("int")
 
 
 def sql_round(x, digits: int) -> Column:
@@ -74,10 +71,10 @@ def sql_round(x, digits: int) -> Column:
 
 
 def snap_round(x, digits: int) -> Column:
-    """ROUND(value, n) applied to an average: snap to 12 decimals first."""
-    return F.round(as_col(x).cast(_SNAP), digits).cast("double")
-
+    """ROUND(value, n) applied to an average: snap to 12 decimals first.
 
-def round_avg(x, digits: int) -> Column:
-    """ROUND(AVG(x), n) with the snap; usable inside ``agg``."""
-    return snap_round(F.avg(as_col(x)), digits)
+    A value too large for the snap (1e26 and more, or infinite) has no such
+    decimals; it is rounded as it is.
+    """
+    x = as_col(x)
+    return F.coalesce(F.round(x.try_cast(_SNAP), digits).cast("double"), F.round(x, digits))

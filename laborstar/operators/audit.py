@@ -1,11 +1,8 @@
-"""Load audit: columns and rows read, rows dropped and loaded per table.
+"""Load audit: columns and rows read, rows dropped, malformed and loaded per table.
 
-Two forms, both without extra passes over the data:
-
-* ``load_audit`` - a plain aggregate over the staged frames (one scan per
-  table, using the ``_keep`` flag the transform computes anyway);
-* ``ObservedLoad`` - ``DataFrame.observe`` metrics attached to the write
-  itself, read after the write action (used by the file pipeline).
+Two forms: ``load_audit``, a table of aggregates over the staged frames, and
+``measure``, the row of one load for the file pipeline, which stops at
+malformed rows before it writes.
 """
 
 from __future__ import annotations
@@ -16,42 +13,42 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from laborstar.operators.transforms import KEEP, TABLE_SPECS, finish
+from laborstar.operators.transforms import DEFAULT_WAGE_YEAR, KEEP, TABLE_SPECS, TableSpec
+from laborstar.sources.files import MALFORMED
 
 
-def _audit_row(table: str, columns_in: int, staged: DataFrame) -> DataFrame:
-    return staged.agg(
+def _audit_row(table: str, raw: DataFrame, staged: DataFrame) -> DataFrame:
+    counted = staged.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(~F.col(KEEP)).alias("rows_dropped"),
         F.count_if(F.col(KEEP)).alias("rows_out"),
-    ).select(F.lit(table).alias("table"), F.lit(columns_in).alias("columns_in"),
-             "rows_in", "rows_dropped", "rows_out")
+    )
+    bad = raw.agg(F.count_if(MALFORMED).alias("n")).first()["n"] if MALFORMED in raw.columns else 0
+    return counted.select(F.lit(table).alias("table"), F.lit(len(columns(raw))).alias("columns_in"),
+                          "rows_in", F.lit(bad).cast("bigint").alias("rows_malformed"), "rows_dropped", "rows_out")
+
+
+def columns(raw: DataFrame) -> list[str]:
+    """The columns of a raw file, without the reader's flag."""
+    return [c for c in raw.columns if c != MALFORMED]
 
 
 def load_audit(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
-    """(table, columns_in, rows_in, rows_dropped, rows_out) for the six warehouse tables."""
-    parts = [_audit_row(spec.table, len(raw[spec.source].columns), spec.staged(raw[spec.source], as_of))
+    """(table, columns_in, rows_in, rows_malformed, rows_dropped, rows_out) for the six warehouse tables."""
+    parts = [_audit_row(spec.table, raw[spec.source], spec.staged(raw[spec.source], as_of))
              for spec in TABLE_SPECS]
     return reduce(DataFrame.unionByName, parts)
 
 
-class ObservedLoad:
-    """Attach row counters to a staged frame; read them after the write."""
-
-    def __init__(self, table: str, columns_in: int):
-        self.table, self.columns_in = table, columns_in
-        # unique per load, so concurrent loads of one table never share metrics
-        self.observation = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
-
-    def clean(self, staged: DataFrame, schema) -> DataFrame:
-        counted = staged.observe(
-            self.observation,
-            F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(F.col(KEEP)).alias("rows_out"),
-        )
-        return finish(counted, schema)
+def measure(spec: TableSpec, raw: DataFrame, as_of=None, wage_year: int = DEFAULT_WAGE_YEAR) -> tuple[str, int, int, int, int, int]:
+    """The audit row of one load, from one pass over the raw file before anything is written.
 
-    def row(self) -> tuple[str, int, int, int, int]:
-        m = self.observation.get
-        rows_in, rows_out = int(m["rows_in"]), int(m["rows_out"])
-        return self.table, self.columns_in, rows_in, rows_in - rows_out, rows_out
+    The malformed rows are observed below the staging in the same job. (The
+    write itself is no place to observe: its range partitioning samples the
+    input in a job of its own and would count rows twice.)
+    """
+    read = Observation(f"read_{spec.table}_{uuid.uuid4().hex[:12]}")       # unique, so concurrent loads never share it
+    flag = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(False)
+    watched = raw.observe(read, F.count_if(flag).alias("rows_malformed")).drop(MALFORMED)
+    m = spec.staged(watched, as_of, wage_year).agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(KEEP).alias("rows_out")).first()
+    return (spec.table, len(columns(raw)), m["rows_in"], int(read.get["rows_malformed"]), m["rows_in"] - m["rows_out"], m["rows_out"])

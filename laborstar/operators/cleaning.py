@@ -47,7 +47,7 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"key column(s) {missing} not in {df.columns}")
-    return df.dropna(how="any", subset=keys)
+    return df.where(keys_present(keys))
 
 
 def national_rows(df: DataFrame, column: str = "area_type") -> Column:

@@ -26,7 +26,7 @@ from laborstar import schemas
 from laborstar.functions import (
     clip,
     coerce_date,
-    coerce_long,
+    coerce_int,
     coerce_numeric,
     fill_default,
     load_date,
@@ -135,7 +135,7 @@ def stage_education(raw: DataFrame) -> DataFrame:
         _text("element_id").alias("element_id"),
         _text("element_name").alias("element_name"),
         F.upper(strip_text(_text("scale_id"))).alias("scale_id"),
-        fill_default(coerce_numeric(category), 0.0).try_cast("int").alias("category"),
+        coerce_int(category, 0).alias("category"),
         _score("data_value", *EDUCATION_RANGE).alias("data_value"),
     )
 
@@ -154,10 +154,10 @@ def stage_tasks(raw: DataFrame) -> DataFrame:
     return df.select(
         keys_present(["onetsoc_code", "task_id", "task"]).alias(KEEP),
         normalize_soc(_text("onetsoc_code")).alias("onetsoc_code"),
-        coerce_long(F.col("task_id")).alias("task_id"),
+        _text("task_id").alias("task_id"),                     # kept as read: an id need not be a number
         strip_text(_text("task")).alias("task"),
         fill_default(task_type.cast("string"), DEFAULT_TASK_TYPE).alias("task_type"),
-        fill_default(coerce_numeric(incumbents), 0.0).try_cast("int").alias("incumbents_responding"),
+        coerce_int(incumbents, 0).alias("incumbents_responding"),
     )
 
 

@@ -13,7 +13,7 @@ that may carry a third of all rows:
 * Top-k queries shrink each input to a provably sufficient top-k **before**
   any fan-out join, so no many-to-many product is ever materialised.
 * Broadcast only what has a proven bound: the outputs of a top-k (at most
-  k rows) are broadcast explicitly; every other join is left to AQE, which
+  k or k * k rows, with k checked) are broadcast explicitly; every other join is left to AQE, which
   broadcasts a side only when its measured runtime size is under
   ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps a
   shuffle join with skewed partitions split.
@@ -41,6 +41,13 @@ MAJORITY_SHARE = 50
 TECH_GROUP = "15"
 PROFILE_CODE = "15-1252.00"
 TOP_K = 10
+MAX_K = 1_000        # k * k rows may be broadcast
+
+
+def _checked(k: int) -> int:
+    if not 1 <= k <= MAX_K:
+        raise ValueError(f"k must be between 1 and {MAX_K}, not {k}")
+    return k
 
 
 def _one() -> Column:
@@ -107,26 +114,22 @@ def q1_top_paying(dim: DataFrame, wages: DataFrame, k: int = TOP_K) -> DataFrame
     """Best-paid occupations: dim x wages, top k by median annual wage.
 
     Each output row is one wage row times one dimension row of its code, and
-    the sort keys of the wage row come first. So (1) the top k wage rows
-    among codes present in the dimension (semi-join, then a distributed
-    top-k that keeps k rows per task) already hold every wage row of the
-    answer, and (2) each of their codes needs at most k dimension rows. Both
-    sides are cut before the join (at most k x k rows), so a code with
-    millions of dimension and wage rows never produces its full product.
+    the sort keys of the wage row come first. So the top k wage rows among
+    codes present in the dimension already hold every wage row of the answer.
+    Wages are cut to k rows per code first (map-side), so a code with a third
+    of all rows sends at most k rows per task to the semi-join. The k wage
+    rows are then broadcast to the dimension: a dimension row meets at most
+    k of them, and every task keeps its best k.
     """
+    k = _checked(k)
     spread = (F.col("annual_90th_pct") - F.col("annual_10th_pct")).alias("wage_spread")
-    wage_order = (F.col("annual_median_wage").desc_nulls_last(), F.col(CODE).asc_nulls_first(),
-                  F.col("hourly_median_wage").desc_nulls_last(), F.col("wage_spread").desc_nulls_last())
-    top_wages = (wages.select(CODE, "annual_median_wage", "hourly_median_wage", spread)
+    keys = (F.col("annual_median_wage").desc_nulls_last(), F.col("hourly_median_wage").desc_nulls_last(),
+            F.col("wage_spread").desc_nulls_last())
+    wage_order = (keys[0], F.col(CODE).asc_nulls_first(), *keys[1:])
+    top_wages = (top_per_code(wages.select(CODE, "annual_median_wage", "hourly_median_wage", spread), k, *keys)
                  .join(dim.select(CODE).distinct(), CODE, "left_semi")
                  .orderBy(*wage_order).limit(k))
-    # Per code at most k dimension rows (by title) can follow a wage row, so
-    # the dimension is cut to its first k rows per candidate code before the
-    # join: a code with millions of dimension rows contributes k of them.
-    codes = _bounded(top_wages.select(CODE))   # <= k rows; repeats are harmless in a semi-join
-    titles = top_per_code(dim.select(CODE, "title", "soc_major_group").join(codes, CODE, "left_semi"),
-                          k, F.col("title").asc_nulls_first())
-    return (_bounded(top_wages).join(titles, CODE)
+    return (dim.select(CODE, "title", "soc_major_group").join(_bounded(top_wages), CODE)
             .select(CODE, "title", "soc_major_group", "annual_median_wage", "hourly_median_wage", "wage_spread")
             .orderBy(*wage_order, F.col("title").asc_nulls_first())
             .limit(k))
@@ -175,9 +178,10 @@ def q3_critical_thinking(dim: DataFrame, skills: DataFrame, wages: DataFrame,
     more than k copies. The plan therefore aggregates the skill rows to
     (code, score) counts map-side, keeps the groups whose code is in the
     dimension (semi-join), takes the top k groups, re-expands each to
-    min(count, k) rows and only then joins the dimension and the wages,
-    each cut to its first k rows per code.
+    min(count, k) rows and broadcasts them to the dimension. The wages are
+    cut to their first k rows per code; the final top-k keeps k rows a task.
     """
+    k = _checked(k)
     s = skills.where((F.col("element_name") == element) & (F.col("scale_id") == IMPORTANCE))
     top_groups = (s.groupBy(CODE, "data_value").agg(_one().alias("_rows"))
                   .join(dim.select(CODE).distinct(), CODE, "left_semi")
@@ -186,14 +190,10 @@ def q3_critical_thinking(dim: DataFrame, skills: DataFrame, wages: DataFrame,
                   .select(CODE, "data_value",
                           F.explode(F.sequence(F.lit(1), F.least(F.col("_rows"), F.lit(k)).cast("int")))
                           .alias("_copy")))
-    # At most k codes remain; per code only its first k wages and its first
-    # k titles can reach the answer, so both are cut before the joins.
     codes = _bounded(top_groups.select(CODE))   # <= k*k rows; repeats are harmless in a semi-join
     pay = top_per_code(wages.select(CODE, "annual_median_wage").join(codes, CODE, "left_semi"),
                        k, F.col("annual_median_wage").desc_nulls_last())
-    titles = top_per_code(dim.select(CODE, "title").join(codes, CODE, "left_semi"),
-                          k, F.col("title").asc_nulls_first())
-    rows = _bounded(top_groups).join(titles, CODE).join(pay, CODE, "left")
+    rows = dim.select(CODE, "title").join(_bounded(top_groups), CODE).join(_bounded(pay), CODE, "left")   # k codes, k wages each
     return (rows.select("title", CODE, F.lit(element).alias("element_name"),
                         F.col("data_value").alias("importance_score"), "annual_median_wage")
             .orderBy(F.col("importance_score").desc_nulls_last(), F.col(CODE).asc_nulls_first(),
@@ -228,7 +228,7 @@ def _education_by_wage(dim: DataFrame, education: DataFrame, wages: DataFrame,
         e = e.where(F.col("data_value") > min_share)
     per_code = e.groupBy(CODE, "category").agg(_one().alias("_edu_rows"))
     joined = per_code.join(_code_multiplicity(dim), CODE).join(_wage_summary(wages), CODE)
-    w = F.col("_edu_rows") * F.col("_dim_rows")
+    w = F.col("_edu_rows").cast("double") * F.col("_dim_rows").cast("double")
     return joined.groupBy("category").agg(
         _one().alias("occupations"),     # (code, category) unique -> distinct codes
         snap_round(_weighted_avg("_sa", "_na", w), 0).alias("avg_median_wage"),
@@ -258,13 +258,9 @@ def r4_wage_by_education(dim: DataFrame, education: DataFrame, wages: DataFrame)
 def q5_tech_knowledge(dim: DataFrame, knowledge: DataFrame, group: str = TECH_GROUP) -> DataFrame:
     """Knowledge domains ranked for one SOC major group.
 
-    ``soc_major_group`` is by contract the first two characters of the code
-    (T1), so codes of the group start with it; that prefix test is applied
-    to the knowledge rows before aggregating (it reaches the Parquet scan of
-    a stored fact as a StringStartsWith filter). The join with the filtered
-    dimension still decides membership exactly.
+    Membership is decided by the dimension's group alone, through the join.
     """
-    k = knowledge.where((F.col("scale_id") == IMPORTANCE) & F.col(CODE).startswith(group))
+    k = knowledge.where(F.col("scale_id") == IMPORTANCE)
     per_code = _score_summary(k, CODE, "element_name")
     joined = per_code.join(_code_multiplicity(dim.where(F.col("soc_major_group") == group)), CODE)
     w = F.col("_dim_rows")
@@ -293,9 +289,12 @@ def q6_occupation_profile(dim: DataFrame, wages: DataFrame, skills: DataFrame, k
     row whose skill is outside that side's own top k is preceded by at least
     k rows that differ only in the skill - the same holds for knowledge,
     wages and dimension rows. Each of the four sides is therefore cut to its
-    own top k first (a distributed top-k over a code filter) and at most k^4
-    rows are joined, whatever the size of the code's groups.
+    own top k first (a distributed top-k over a code filter). The sides are
+    joined one after the other in the order of their sort keys and cut to k
+    after every join, so no join sees more than k * k rows.
     """
+    k = _checked(k)
+
     def top(df: DataFrame, *order: Column) -> DataFrame:
         return df.orderBy(*order).limit(k)
 
@@ -311,11 +310,11 @@ def q6_occupation_profile(dim: DataFrame, wages: DataFrame, skills: DataFrame, k
             F.col("title").asc_nulls_first(), F.col("description").asc_nulls_first())
     w = top(wages.where(F.col(CODE) == code).select(CODE, "annual_median_wage", "hourly_median_wage"),
             F.col("annual_median_wage").desc_nulls_last(), F.col("hourly_median_wage").desc_nulls_last())
-    return (_bounded(o).join(_bounded(w), CODE).join(_bounded(s), CODE).join(_bounded(kn), CODE)
-            .select("title", "description", "annual_median_wage", "hourly_median_wage",
-                    "top_skill", "skill_importance", "top_knowledge", "knowledge_importance")
-            .orderBy(F.col("skill_importance").desc_nulls_last(), F.col("knowledge_importance").desc_nulls_last(),
-                     F.col("top_skill").asc_nulls_first(), F.col("top_knowledge").asc_nulls_first(),
-                     F.col("annual_median_wage").desc_nulls_last(), F.col("hourly_median_wage").desc_nulls_last(),
-                     F.col("title").asc_nulls_first(), F.col("description").asc_nulls_first())
-            .limit(k))
+    by_skill = (F.col("skill_importance").desc_nulls_last(), F.col("knowledge_importance").desc_nulls_last(),
+                F.col("top_skill").asc_nulls_first(), F.col("top_knowledge").asc_nulls_first())
+    by_wage = (*by_skill, F.col("annual_median_wage").desc_nulls_last(), F.col("hourly_median_wage").desc_nulls_last())
+    found = top(s.join(_bounded(kn), CODE), *by_skill)
+    found = top(found.join(_bounded(w), CODE), *by_wage)
+    return top(found.join(_bounded(o), CODE), *by_wage, F.col("title").asc_nulls_first(), F.col("description").asc_nulls_first()).select(
+        "title", "description", "annual_median_wage", "hourly_median_wage",
+        "top_skill", "skill_importance", "top_knowledge", "knowledge_importance")

@@ -1,8 +1,9 @@
 """End-to-end load: extract -> clean -> load, then validate.
 
 For each of the six raw files: resolve and read it (all STRING), clean it
-with the table's transform, and replace the warehouse table. Row counts for
-the audit are observed during the write itself. The element dimension is
+with the table's transform, and replace the warehouse table. Rows are counted
+for the audit, and malformed ones stop the load, before anything is written.
+The element dimension is
 derived from the *stored* skills table, and the checks run on the stored
 tables, so every later step starts from Parquet rather than re-running the
 cleaning lineage (a lost executor only recomputes from files).
@@ -16,27 +17,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from laborstar.operators import transforms as T
-from laborstar.operators.audit import ObservedLoad
+from laborstar.operators.audit import measure
 from laborstar.operators.validation import validation_report
 from laborstar.session import configure
 from laborstar.sources import files
-from laborstar.sources.warehouse import StoredWarehouse, write_table
+from laborstar.sources.warehouse import StoredWarehouse, publish, write_table, write_version
 
-AUDIT_SCHEMA = "table string, columns_in int, rows_in bigint, rows_dropped bigint, rows_out bigint"
+AUDIT_SCHEMA = "table string, columns_in int, rows_in bigint, rows_malformed bigint, rows_dropped bigint, rows_out bigint"
 
 
 @dataclass
 class EtlResult:
     warehouse: StoredWarehouse
-    audit: DataFrame        # table, columns_in, rows_in, rows_dropped, rows_out
+    audit: DataFrame        # table, columns_in, rows_in, rows_malformed, rows_dropped, rows_out
     report: DataFrame       # check, violations, passed
 
 
 def _load_one(spec: T.TableSpec, raw: DataFrame, warehouse_dir: str, as_of, wage_year: int):
-    load = ObservedLoad(spec.table, len(raw.columns))
-    clean = load.clean(spec.staged(raw, as_of, wage_year), spec.schema)
-    write_table(clean, warehouse_dir, spec.table)
-    return load.row()
+    row = measure(spec, raw, as_of, wage_year)
+    if row[3]:
+        raise files.MalformedFile(f"{spec.source}: {row[3]} of {row[2]} rows have more fields than the header; nothing was loaded")
+    return row, write_version(spec.clean(raw, as_of, wage_year), warehouse_dir, spec.table)
 
 
 def load_tables(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir: str,
@@ -45,26 +46,29 @@ def load_tables(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir: s
 
     The six loads are independent jobs (no table reads another), so they are
     submitted together from a small thread pool and share the cluster; a
-    small table does not wait for the largest fact to finish. Each load is
-    still its own full replace, exactly as when run one by one.
+    small table does not wait for the largest fact to finish. The new
+    versions are published when all six are written, so a load that fails
+    leaves every table as it was.
     """
     if parallel:
         with ThreadPoolExecutor(max_workers=len(T.TABLE_SPECS)) as pool:
             futures = [pool.submit(_load_one, spec, raw[spec.source], warehouse_dir, as_of, wage_year)
                        for spec in T.TABLE_SPECS]
-            rows = [f.result() for f in futures]
+            loads = [f.result() for f in futures]
     else:
-        rows = [_load_one(spec, raw[spec.source], warehouse_dir, as_of, wage_year) for spec in T.TABLE_SPECS]
+        loads = [_load_one(spec, raw[spec.source], warehouse_dir, as_of, wage_year) for spec in T.TABLE_SPECS]
+    for spec, (_, version) in zip(T.TABLE_SPECS, loads):       # only after all six were written
+        publish(spark, warehouse_dir, spec.table, version)
     stored = StoredWarehouse(spark, warehouse_dir)
     write_table(T.dim_skill_element(stored.fact_skills), warehouse_dir, "dim_skill_element")
-    return spark.createDataFrame(rows, AUDIT_SCHEMA)
+    return spark.createDataFrame([row for row, _ in loads], AUDIT_SCHEMA)
 
 
 def run_etl(spark: SparkSession, raw_dir: str, warehouse_dir: str, as_of=None,
-            wage_year: int = T.DEFAULT_WAGE_YEAR, multi_line: bool = False) -> EtlResult:
+            wage_year: int = T.DEFAULT_WAGE_YEAR, splittable: bool = False) -> EtlResult:
     """Full replace of the warehouse from the raw files in ``raw_dir``."""
     configure(spark)
-    raw = {spec.source: files.extract(spark, raw_dir, spec.source, multi_line) for spec in T.TABLE_SPECS}
+    raw = {spec.source: files.extract(spark, raw_dir, spec.source, splittable) for spec in T.TABLE_SPECS}
     audit = load_tables(spark, raw, warehouse_dir, as_of, wage_year)
     wh = StoredWarehouse(spark, warehouse_dir)
     report = validation_report(wh.dim_occupation, wh.fact_skills, wh.fact_knowledge, wh.fact_wages)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -19,6 +18,8 @@ from pyspark.sql.types import (
 )
 
 
+# Names, order and types of the columns are the contract.
+
 def _schema(*fields) -> StructType:
     return StructType([StructField(name, typ, True) for name, typ in fields])
 
@@ -53,7 +54,7 @@ FACT_EDUCATION = _schema(
 
 FACT_TASKS = _schema(
     ("onetsoc_code", StringType()),
-    ("task_id", LongType()),
+    ("task_id", StringType()),
     ("task", StringType()),
     ("task_type", StringType()),
     ("incumbents_responding", IntegerType()),

@@ -8,7 +8,6 @@ and ``get_session`` is a convenience for tests, the bench and scripts.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,44 +25,26 @@ SQL_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply ``SQL_CONF`` to the caller's session; this changes its time zone to UTC for all that follows."""
     for key, value in SQL_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting names a shared file store and is used as is.
-    Only when it is unset (tests, local runs) a fresh local folder is taken.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="laborstar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
-
-
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "laborstar") -> SparkSession:
     """Build (or reuse) a session.
 
-    Under ``spark-submit`` (PySpark attaches to the launcher's gateway) the
-    cluster's own master and sizing are kept; only the semantic SQL options
-    of ``SQL_CONF`` are applied. Run directly (tests, bench, local use) it
-    starts a local session with small-data defaults.
+    Master and sizing come from the configuration (``spark-submit`` options,
+    ``spark-defaults.conf``); without any, Spark starts ``local[*]``. The
+    arguments override them (tests, bench). Only the semantic SQL options of
+    ``SQL_CONF`` are always applied.
     """
-    builder = SparkSession.builder.appName(app_name)
-    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
-    if master or not submitted:
-        parts = shuffle_partitions or int(os.environ.get("LABORSTAR_SHUFFLE_PARTITIONS", "8"))
-        builder = (builder.master(master or os.environ.get("LABORSTAR_MASTER", "local[8]"))
-                   .config("spark.ui.enabled", "false")
-                   .config("spark.ui.showConsoleProgress", "false")
-                   .config("spark.sql.shuffle.partitions", str(parts))
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if master:
+        builder = (builder.master(master).config("spark.ui.showConsoleProgress", "false")
                    .config("spark.driver.memory", os.environ.get("LABORSTAR_DRIVER_MEMORY", "8g")))
-    elif shuffle_partitions:
+    if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)

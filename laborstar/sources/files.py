@@ -1,15 +1,19 @@
 """Raw file sources.
 
 Files are read as text, every column a STRING (no schema inference: one
-pass, and types are decided by the cleaning rules, not by sampling). The
-reader is splittable, so a large raw file is read by many tasks in
-parallel; paths may live on any file system Spark can read.
+pass, and types are decided by the cleaning rules, not by sampling). Quoted
+fields are read whole, also across line breaks; ``splittable`` reads files
+without such fields in parallel, and stops at the first sign of one. Paths
+may live on any file system Spark can read.
 """
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laborstar.operators.cleaning import null_tokens
 
@@ -17,12 +21,20 @@ from laborstar.operators.cleaning import null_tokens
 # preference. A spreadsheet is recognised but not read.
 EXTENSIONS = (".csv", ".xlsx", ".txt", ".parquet")
 UNSUPPORTED = (".xlsx",)
+# Raw frames of delimited files carry this flag: the row has more fields
+# than the header, so a reader that drops the surplus would damage it.
+MALFORMED = "_malformed"
+_RECORD = "_record"
 
 
 class RawFileNotFound(FileNotFoundError):
     pass
 
 
+class MalformedFile(ValueError):
+    pass
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path).schema  # resolves the path only
@@ -54,30 +66,66 @@ def resolve(spark: SparkSession, raw_dir: str, name: str) -> str:
     raise RawFileNotFound(f"could not find {base} ({', '.join(EXTENSIONS)}) in {root}; tried {tried}")
 
 
-def sniff_separator(spark: SparkSession, path: str) -> str:
-    """Tab if the first line has a tab, else comma (reads one line)."""
+def first_line(spark: SparkSession, path: str) -> str:
+    """The header line of a file, without a byte-order mark."""
     first = spark.read.text(path).limit(1).collect()
-    return "\t" if first and "\t" in first[0][0] else ","
+    return first[0][0].lstrip("\ufeff") if first else ""
+
+
+def separator_of(line: str) -> str:
+    """Tab if the first line has a tab, else comma."""
+    return "\t" if "\t" in line else ","
+
+
+def header_names(line: str, sep: str) -> list[str]:
+    """Column names of a header line; an empty or repeated name gets its position."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([line], delimiter=sep), [])):
+        names.append(name if name and name not in names else f"{name or 'column'}.{i}")
+    return names
+
+
+def _surplus(record: Column, sep: str, fields: int) -> Column:
+    """The record has more fields than the header (separators inside quotes do not count)."""
+    outside = sep.replace("\t", r"\t") + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    return record.isNotNull() & (F.size(F.split(record, outside)) > fields)
+
+
+def require_whole_lines(spark: SparkSession, path: str) -> None:
+    """Fail if a line has an unclosed quote: its record goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    n = spark.read.text(path).agg(F.count_if(quotes % 2 == 1).alias("n")).first()["n"]
+    if n:
+        raise MalformedFile(f"{path}: {n} lines have an unclosed quote; read it without --splittable")
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None,
-                   multi_line: bool = False) -> DataFrame:
+                   splittable: bool = False) -> DataFrame:
     """Header row, all columns STRING, missing-value tokens -> NULL.
 
-    Invalid UTF-8 bytes are replaced by U+FFFD by the reader. ``multi_line``
-    allows quoted newlines but makes each file a single split, so it is off
-    by default.
+    Invalid UTF-8 bytes are replaced by U+FFFD by the reader. Short rows are
+    filled with NULL; rows with surplus fields are flagged in ``_malformed``
+    and stop the load. By default a quoted field may span lines (a file is
+    one split then); ``splittable`` reads line by line after checking, in one
+    scan, that every line closes its quotes.
     """
-    sep = sep or sniff_separator(spark, path)
-    df = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
-          .option("escape", '"').option("inferSchema", False).option("multiLine", multi_line)
+    line = first_line(spark, path)
+    sep = sep or separator_of(line)
+    names = header_names(line, sep)
+    if splittable:
+        require_whole_lines(spark, path)
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, _RECORD])
+    df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", '"')
+          .option("escape", '"').option("multiLine", not splittable).option("columnPruning", False)
+          .option("enforceSchema", True).option("columnNameOfCorruptRecord", _RECORD)
           .option("mode", "PERMISSIVE").option("encoding", "UTF-8").csv(path))
-    return null_tokens(df)
+    flagged = df.withColumn(MALFORMED, _surplus(F.col(_RECORD), sep, len(names))).drop(_RECORD)
+    return null_tokens(flagged, names)
 
 
-def extract(spark: SparkSession, raw_dir: str, name: str, multi_line: bool = False) -> DataFrame:
+def extract(spark: SparkSession, raw_dir: str, name: str, splittable: bool = False) -> DataFrame:
     """Resolve a logical raw file name and read it."""
     path = resolve(spark, raw_dir, name)
     if path.endswith(".parquet"):
         return null_tokens(spark.read.parquet(path))
-    return read_delimited(spark, path, multi_line=multi_line)
+    return read_delimited(spark, path, splittable=splittable)

@@ -14,10 +14,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from laborstar.operators import transforms as T
-from laborstar.plans.partitioning import spread
 
 CODE_HEADER = "O*NET-SOC Code"
 
@@ -25,19 +23,9 @@ CODE_HEADER = "O*NET-SOC Code"
 SKILL_NAMES = {1: "Critical Thinking", 2: "Programming", 3: "Writing"}
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; spread over the cores when the file has too few splits.
-
-    The schema is read once per path and then declared, so later reads of
-    the same table do not start a footer-reading job.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spread(spark.read.schema(_SCHEMAS[path]).parquet(path))
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -193,22 +181,15 @@ class Warehouse:
     """The six cleaned tables, built lazily from the raw fixtures.
 
     Each attribute is an independent lazy plan (raw scan -> clean); nothing
-    is cached in memory, so each query scans only the columns it needs. The
-    plan objects themselves are defined once per session and input folder
-    (``Warehouse.of``), as one would register the warehouse views once.
+    is cached in memory, so each query scans only the columns it needs.
     """
 
-    _defined: dict[tuple, "Warehouse"] = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = "2024-01-01"):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of: str = "2024-01-01") -> "Warehouse":
-        key = (spark.conf.get("spark.app.id", ""), id(spark), sf_dir.rstrip("/"), as_of)
-        if key not in cls._defined:
-            cls._defined[key] = cls(spark, sf_dir, as_of)
-        return cls._defined[key]
+        return cls(spark, sf_dir, as_of)
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:

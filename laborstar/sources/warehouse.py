@@ -1,36 +1,71 @@
 """Warehouse storage: Parquet tables under one root.
 
-A load is a full replace of one table directory (idempotent: running a load
-twice leaves the same rows). Fact tables are sorted by occupation code
-*within* each write task - no shuffle - so every Parquet row group covers a
-narrow code range and single-code or code-prefix queries skip most row
-groups through min/max statistics.
+A load writes a table into a folder of its own (``<table>/<version>``) and
+then appends one row to the table's version list (``versions/<table>``),
+which is what readers look up. So a load that fails leaves the table as it
+was, and a reader never meets a half-written one. Superseded folders stay
+until their owner deletes them.
+
+Tables are range-partitioned by the occupation code and a second column and
+sorted, so every file and row group covers a narrow range: single-code and
+code-prefix reads skip the others, and a code with a third of all rows is
+spread over several files.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laborstar import schemas
 
 CLUSTER_COLUMN = "onetsoc_code"
+# The column that splits a large code.
+SECOND_COLUMN = {
+    "dim_occupation": "title", "fact_skills": "element_id", "fact_knowledge": "element_id",
+    "fact_education": "element_id", "fact_tasks": "task_id", "fact_wages": "annual_median_wage",
+}
+VERSION_SCHEMA = "version string, loaded_at timestamp"
+
+
+def _versions(warehouse_dir: str, table: str) -> str:
+    return f"{warehouse_dir.rstrip('/')}/versions/{table}"
+
+
+def table_path(spark: SparkSession, warehouse_dir: str, table: str) -> str:
+    """Folder of the current version of a table."""
+    rows = spark.read.schema(VERSION_SCHEMA).parquet(_versions(warehouse_dir, table))
+    current = rows.agg(F.max_by("version", "loaded_at").alias("v")).first()["v"]
+    return f"{warehouse_dir.rstrip('/')}/{table}/{current}"
+
+
+def write_version(df: DataFrame, warehouse_dir: str, table: str) -> str:
+    """Write the rows into a new folder; readers do not see it before ``publish``."""
+    if table in SECOND_COLUMN:
+        keys = [CLUSTER_COLUMN, SECOND_COLUMN[table]]
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{warehouse_dir.rstrip('/')}/{table}/{version}")
+    return version
 
 
-def table_path(warehouse_dir: str, table: str) -> str:
-    return f"{warehouse_dir.rstrip('/')}/{table}"
+def publish(spark: SparkSession, warehouse_dir: str, table: str, version: str) -> None:
+    """Make a written version the current one."""
+    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("loaded_at"))
+    row.write.mode("append").parquet(_versions(warehouse_dir, table))
 
 
-def write_table(df: DataFrame, warehouse_dir: str, table: str, mode: str = "overwrite") -> None:
-    """Replace (or append to) one warehouse table."""
-    if CLUSTER_COLUMN in df.columns:
-        df = df.sortWithinPartitions(CLUSTER_COLUMN)
-    df.write.mode(mode).parquet(table_path(warehouse_dir, table))
+def write_table(df: DataFrame, warehouse_dir: str, table: str) -> None:
+    """Replace one warehouse table."""
+    publish(df.sparkSession, warehouse_dir, table, write_version(df, warehouse_dir, table))
 
 
 def read_table(spark: SparkSession, warehouse_dir: str, table: str) -> DataFrame:
     """One stored table, with its contract schema."""
-    return spark.read.schema(schemas.TABLES[table]).parquet(table_path(warehouse_dir, table))
+    return spark.read.schema(schemas.TABLES[table]).parquet(table_path(spark, warehouse_dir, table))
 
 
 class StoredWarehouse:

@@ -83,15 +83,17 @@ def test_sql_round_half_away_from_zero(spark):
 def test_snap_round_absorbs_float_noise(spark):
     # 48.695 computed as a float average sits just below the tie
     df = spark.createDataFrame([(48.69,), (48.70,)], "x double")
-    assert df.agg(fn.round_avg("x", 2)).first()[0] == 48.70
+    assert df.agg(fn.snap_round(F.avg("x"), 2)).first()[0] == 48.70
 
 
-def test_coerce_int_truncates(spark):
-    assert run(spark, ["3.7", "-3.7", "12", "n/a", "1e20", None], fn.coerce_int("x")) == [3, -3, 12, None, None, None]
+def test_snap_round_of_large_values(spark):
+    got = run(spark, [1e30, -3e26, float("inf"), 2.345, None], fn.snap_round("x", 2), "double")
+    assert got == [1e30, -3e26, float("inf"), 2.35, None]
 
 
-def test_coerce_long(spark):
-    assert run(spark, ["123456789012", "7.9", "x", None], fn.coerce_long("x")) == [123456789012, 7, None, None]
+def test_coerce_int_truncates(spark):
+    assert run(spark, ["3.7", "-3.7", "12", "n/a", "1e20", None], fn.coerce_int("x")) == [3, -3, 12, None, None, None]
+    assert run(spark, ["3.7", "n/a", "1e20", None], fn.coerce_int("x", 0)) == [3, 0, None, 0]
 
 
 def test_coerce_date_more_layouts_like_pandas(spark):
@@ -125,3 +127,18 @@ def test_education_labels(spark):
 
 def test_fill_default(spark):
     assert run(spark, ["a", None], fn.fill_default("x", "Core")) == ["a", "Core"]
+
+
+def test_dates_equal_all_layouts_tried_in_turn(spark):
+    """One parse per value gives what trying every layout in turn gives."""
+    import random
+
+    from laborstar.functions.dates import DATE_PATTERNS
+    rng = random.Random(5)
+    texts = ["03/2021", "3/2021", "13/2021", "2021-03-04", "2021-3-4 01:02:03", "3/4/2021", "13/4/2021", "2021-03-04T05:06:07",
+             "2021/3/4", "2021-03", "unknown", "", " ", None, "1/2/3/4", "--", "-", "/", "T", "2021-03-04T", "2021", "03-2021", "03-04-2021"]
+    texts += ["".join(rng.choice("0123/-T :2") for _ in range(rng.randint(4, 11))) for _ in range(3000)]
+    x = spark.createDataFrame([(t,) for t in texts], "x string")
+    old = F.coalesce(*[F.try_to_timestamp("x", F.lit(p)) for p in DATE_PATTERNS])
+    assert x.where(~old.eqNullSafe(fn.coerce_date("x"))).collect() == []
+    assert x.where(fn.coerce_date("x").isNotNull()).count() >= 9

@@ -10,6 +10,7 @@ from laborstar.plans import marts
 from laborstar.plans.pipeline import run_etl
 from laborstar.sources import files
 from laborstar.sources.fixtures import Warehouse
+from laborstar.sources.warehouse import StoredWarehouse
 from tests.conftest import SF_SMALL
 
 
@@ -51,8 +52,8 @@ def test_csv_and_tsv_give_equal_frames(spark, scratch):
             f.write(text.format(s=sep))
     c = files.extract(spark, scratch, "c")
     t = files.extract(spark, scratch, "t")
-    assert c.schema == t.schema and all(f.dataType.simpleString() == "string" for f in c.schema)
-    assert rows(c) == rows(t) == [("11-1011", "Chief, Exec", None), ("15-1252", "Dev", None)]
+    assert c.schema == t.schema and all(f.dataType.simpleString() == "string" for f in c.schema if f.name != files.MALFORMED)
+    assert rows(c) == rows(t) == [("11-1011", "Chief, Exec", None, False), ("15-1252", "Dev", None, False)]
 
 
 def test_invalid_utf8_is_replaced(spark, scratch):
@@ -78,7 +79,7 @@ def test_etl_end_to_end_twice(spark, scratch):
     # The file path gives the same warehouse as the in-memory fixture path.
     w = Warehouse.of(spark, SF_SMALL)
     assert rows(first.warehouse.dim_occupation) == rows(w.dim_occupation)
-    assert rows(first.warehouse.fact_wages) == rows(w.fact_wages)
+    assert rows(first.warehouse.fact_tasks) == rows(w.fact_tasks)
     for r in first.audit.collect():
         assert r.rows_in == r.rows_out + r.rows_dropped
     # Reports run on the stored tables.
@@ -103,21 +104,58 @@ def test_repartitioned_input_same_result(spark):
     assert rows(a) == rows(b)
 
 
-def test_quoted_newlines_need_multi_line(spark, scratch):
-    """Task texts contain quoted newlines: the opt-in multi-line read keeps them whole."""
+def test_default_load_equals_the_fixtures(spark, scratch):
+    """Task texts contain quoted newlines; the default read keeps them whole, in all six tables."""
     raw_dir = os.path.join(scratch, "raw")
     os.makedirs(raw_dir)
     write_raw(spark, raw_dir)
-    res = run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01", multi_line=True)
+    res = run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01")
     w = Warehouse.of(spark, SF_SMALL)
-    assert rows(res.warehouse.fact_tasks) == rows(w.fact_tasks)
-    assert [r.check for r in res.report.collect()] == sorted(r.check for r in res.report.collect())
+    for spec in T.TABLE_SPECS:
+        assert rows(getattr(res.warehouse, spec.table)) == rows(getattr(w, spec.table)), spec.table
+    assert {r.rows_malformed for r in res.audit.collect()} == {0}
+    with pytest.raises(files.MalformedFile, match="task_statements.*unclosed quote"):
+        run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01", splittable=True)
+
+
+def csv_file(scratch, name, text):
+    with open(os.path.join(scratch, name), "w") as f:
+        f.write(text)
+
+
+def test_quoted_newlines_short_and_surplus_rows(spark, scratch):
+    csv_file(scratch, "a.csv", 'x,y,z\n1,"two\nlines, ""quoted""",3\n4,5\n6,7,8,9\n"a,b",c,d\n')
+    got = files.extract(spark, scratch, "a")
+    assert got.columns == ["x", "y", "z", files.MALFORMED]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        ("1", 'two\nlines, "quoted"', "3", False), ("4", "5", None, False), ("6", "7", "8", True), ("a,b", "c", "d", False)], key=repr)
+    with pytest.raises(files.MalformedFile, match="a.csv: 2 lines"):
+        files.extract(spark, scratch, "a", splittable=True)
+    csv_file(scratch, "b.csv", 'x,y\n"1, one",2\n3,4,5\n')
+    flagged = {r["x"]: r[files.MALFORMED] for r in files.extract(spark, scratch, "b", splittable=True).collect()}
+    assert flagged == {"1, one": False, "3": True}
+
+
+def test_surplus_field_stops_the_load_and_keeps_the_old_tables(spark, scratch):
+    raw_dir, wh_dir = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
+    os.makedirs(raw_dir)
+    write_raw(spark, raw_dir)
+    before = run_etl(spark, raw_dir, wh_dir, as_of="2024-01-01")
+    want = {t: rows(getattr(before.warehouse, t)) for t in ("dim_occupation", "fact_wages")}
+    with open(os.path.join(raw_dir, "wages.csv"), "a") as f:
+        f.write("11-1011,1,2,3,4,5,6,7\n")
+    with open(os.path.join(raw_dir, "occupation_data.csv"), "a") as f:
+        f.write("99-9999.00,New,New\n")
+    with pytest.raises(files.MalformedFile, match="wages: 1 of"):
+        run_etl(spark, raw_dir, wh_dir, as_of="2024-01-01")
+    after = StoredWarehouse(spark, wh_dir)
+    for t, r in want.items():
+        assert rows(getattr(after, t)) == r
 
 
-def test_checkpoint_dir_respects_the_session_setting(spark):
-    from laborstar.session import checkpoint_dir
-    preset = spark.conf.get("spark.checkpoint.dir", None)
-    assert preset and checkpoint_dir(spark) == preset      # set once, then always read back
+def test_task_ids_are_kept_as_read(spark):
+    raw = spark.createDataFrame([("15-1252.00", "A-7", "t"), ("15-1252.00", "12", "u")], ["O*NET-SOC Code", "Task ID", "Task"])
+    assert {r["task_id"] for r in T.transform_tasks(raw).collect()} == {"A-7", "12"}
 
 
 def test_parquet_raw_files_load_like_the_fixtures(spark, scratch):
@@ -136,11 +174,18 @@ def test_cli_etl_report_and_sql(spark, scratch, capsys):
     raw_dir, wh_dir = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
     os.makedirs(raw_dir)
     write_raw(spark, raw_dir)
-    main(["etl", raw_dir, wh_dir, "--as-of", "2024-01-01", "--multi-line"])
+    main(["etl", raw_dir, wh_dir, "--as-of", "2024-01-01"])
     out = capsys.readouterr().out
     assert "rows_dropped" in out and ("All checks passed" in out or "Some checks FAILED" in out)
     main(["report", wh_dir, "q2_skill_by_group"])
     assert "avg_skill_importance" in capsys.readouterr().out
+    main(["sql", wh_dir, "SELECT id FROM range(60)"])
+    assert len(capsys.readouterr().out.split()) == 61             # every row
+    main(["sql", wh_dir, "SELECT id FROM range(60)", "--rows", "5"])
+    assert len(capsys.readouterr().out.split()) == 6
+    main(["report", wh_dir, "q1_top_paying", "--output", os.path.join(scratch, "out")])
+    assert spark.read.parquet(os.path.join(scratch, "out", "q1_top_paying")).count() == 10
+    capsys.readouterr()
     main(["sql", wh_dir, "SELECT COUNT(*) AS n FROM fact_wages"])
     assert str(Warehouse.of(spark, SF_SMALL).fact_wages.count()) in capsys.readouterr().out
 

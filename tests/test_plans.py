@@ -6,8 +6,11 @@ import contextlib
 import io
 import os
 
+import pytest
+
 import __spark_entry__ as E
 from laborstar.plans import marts
+from laborstar.plans.registry import QUERIES
 from laborstar.sources.fixtures import Warehouse
 from laborstar.sources.warehouse import write_table, StoredWarehouse
 from tests.conftest import SF_SMALL
@@ -32,7 +35,8 @@ def optimized(df) -> str:
 
 
 def test_no_python_evaluation_anywhere(spark):
-    for key, fn in E.queries().items():
+    for key in QUERIES:
+        fn = E.queries()[key]
         p = plan(fn(spark, SF_SMALL))
         for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
             assert node not in p, (key, node)
@@ -57,8 +61,30 @@ def test_q6_never_joins_whole_fact_groups(spark):
     df = marts.q6_occupation_profile(w.dim_occupation, w.fact_wages, w.fact_skills, w.fact_knowledge,
                                      code="15-1002.00")
     opt = optimized(df)
-    # four per-side limits feed the joins, plus the final one
-    assert opt.count("GlobalLimit 10") >= 4
+    # four per-side limits feed the joins, and every join is cut again
+    assert opt.count("GlobalLimit 10") == 7
+
+
+def test_q1_scans_wages_once(spark):
+    w = Warehouse.of(spark, SF_SMALL)
+    opt = optimized(marts.q1_top_paying(w.dim_occupation, w.fact_wages))
+    assert opt.count("c_custkey") and opt.count("Relation [c_custkey") == 1
+
+
+def test_k_is_checked(spark):
+    w = Warehouse.of(spark, SF_SMALL)
+    for k in (0, marts.MAX_K + 1):
+        with pytest.raises(ValueError, match="between"):
+            marts.q1_top_paying(w.dim_occupation, w.fact_wages, k)
+
+
+def test_q5_takes_the_group_from_the_dimension(spark):
+    """A code that does not start with its group counts too."""
+    dim = spark.createDataFrame([("15-1.00", "15"), ("99-1.00", "15"), ("15-2.00", "11")], "onetsoc_code string, soc_major_group string")
+    known = spark.createDataFrame([("15-1.00", "Law", "IM", 2.0), ("99-1.00", "Law", "IM", 4.0), ("15-2.00", "Law", "IM", 7.0)],
+                                  "onetsoc_code string, element_name string, scale_id string, data_value double")
+    assert [tuple(r) for r in marts.q5_tech_knowledge(dim, known).collect()] == [("Law", 2, 3.0, 4.0)]
+    assert [tuple(r) for r in marts.r5_tech_knowledge(dim, known).collect()] == [("Law", 2, 3.0)]
 
 
 def test_stored_scan_prunes_and_pushes(spark, scratch):
@@ -67,15 +93,48 @@ def test_stored_scan_prunes_and_pushes(spark, scratch):
     write_table(w.fact_knowledge, wh, "fact_knowledge")
     write_table(w.dim_occupation, wh, "dim_occupation")
     s = StoredWarehouse(spark, wh)
-    df = marts.q5_tech_knowledge(s.dim_occupation, s.fact_knowledge)
-    p = plan(df)
-    assert "PushedFilters: [IsNotNull(scale_id), IsNotNull(onetsoc_code), EqualTo(scale_id,IM), StringStartsWith(onetsoc_code,15)" in p \
-        or ("StringStartsWith(onetsoc_code,15)" in p and "EqualTo(scale_id,IM)" in p)
+    p = plan(marts.q5_tech_knowledge(s.dim_occupation, s.fact_knowledge))
+    assert "EqualTo(scale_id,IM)" in p and "EqualTo(soc_major_group,15)" in p
     assert "ReadSchema: struct<onetsoc_code:string,element_name:string,scale_id:string,data_value:double>" in p
 
 
+def test_stored_files_hold_disjoint_ranges(spark, scratch):
+    """Shuffled rows, a third of them on one code: files cover disjoint (code, element) ranges and the code is split."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    from laborstar import schemas
+    from laborstar.sources.warehouse import table_path
+
+    hot = F.when(F.col("id") % 3 == 0, F.lit("15-0500.00")).otherwise(F.format_string("15-%04d.00", F.col("id") % 1000))
+    facts = (spark.range(30_000).select(hot.alias("onetsoc_code"), F.format_string("e%05d", F.col("id")).alias("element_id"))
+             .orderBy(F.rand(1)).repartition(7))
+    facts = facts.select(*[F.col(f.name) if f.name in facts.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in schemas.FACT_SKILLS.fields])
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        write_table(facts, os.path.join(scratch, "wh"), "fact_skills")
+    finally:
+        spark.conf.set(conf, "true")
+    folder = table_path(spark, os.path.join(scratch, "wh"), "fact_skills")
+    spans = []
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            t = pq.read_table(os.path.join(folder, name), columns=["onetsoc_code", "element_id"]).to_pylist()
+            keys = [(r["onetsoc_code"], r["element_id"]) for r in t]
+            assert keys == sorted(keys)
+            if keys:
+                spans.append((keys[0], keys[-1]))
+            groups = pq.ParquetFile(os.path.join(folder, name)).metadata
+            stats = [groups.row_group(g).column(0).statistics for g in range(groups.num_row_groups)]
+            assert all(x.max <= keys[-1][0] and x.min >= keys[0][0] for x in stats)
+    spans.sort()
+    assert len(spans) == 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert sum(a[0] <= "15-0500.00" <= b[0] for a, b in spans) >= 2
+
+
 def test_per_code_cut_is_limited_before_the_shuffle(spark):
-    """Q1 and Q3 cut dimension / wage rows per code with a group limit that
+    """Q1 and Q3 cut wage rows per code with a group limit that
     runs on the map side (a hot code sends at most k rows per task)."""
     for key in ("q1_top_paying", "q3_critical_thinking"):
         df = E.queries()[key](spark, SF_SMALL)
@@ -113,23 +172,3 @@ def test_hot_wage_code_is_split_in_j2(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-
-
-def test_spread_only_for_under_split_scans(spark, scratch, monkeypatch):
-    """The fixture reader adds a round-robin exchange only when a scan has fewer
-    splits than the cluster has cores; a well-split input is left alone."""
-    from laborstar.plans.partitioning import spread
-    many = os.path.join(scratch, "many")
-    spark.range(0, 80000, numPartitions=16).write.parquet(many)
-    wide = spark.read.parquet(many)
-    assert spread(wide, min_partitions=4) is wide
-    # however many cores the cluster has, a scan with at least MAX_SPREAD_SPLITS splits is left alone
-    import laborstar.plans.partitioning as P
-    monkeypatch.setattr(P, "MAX_SPREAD_SPLITS", 4)
-    assert spread(wide, min_partitions=1000) is wide
-    monkeypatch.undo()
-    one = os.path.join(scratch, "one")
-    spark.range(0, 1000, numPartitions=1).write.parquet(one)
-    narrow = spark.read.parquet(one)
-    spread_plan = optimized(spread(narrow, min_partitions=4))
-    assert "Repartition 4" in spread_plan

@@ -78,8 +78,8 @@ def test_tasks_defaults(spark):
     ], ["O*NET-SOC Code", "Task ID", "Task", "Task Type", "Incumbents Responding"])
     out = T.transform_tasks(raw)
     assert same_types(out, schemas.FACT_TASKS)
-    assert rows(out) == [("15-1252.00", 101, "Write code", "Core", 0),
-                         ("15-1252.00", 102, "Test", "Supplemental", 7)]
+    assert rows(out) == [("15-1252.00", "101", "Write code", "Core", 0),
+                         ("15-1252.00", "102", "Test", "Supplemental", 7)]
     bare = T.transform_tasks(raw.drop("Task Type", "Incumbents Responding"))
     assert rows(bare.select("task_type", "incumbents_responding")) == [("Core", 0), ("Core", 0)]
 

@@ -1,6 +1,6 @@
 """Write PLANS.md: the executed physical plan of every headline query.
 
-Usage: python tools/plans.py [sf_dir] [out_file]
+Usage: python tools/plans.py [sf_dir] [out_file] [warehouse_dir]
 
 Each query is run once (so AQE's final plan is shown) over the stored
 warehouse, which is the production shape: multi-file Parquet tables,
@@ -13,6 +13,7 @@ import io
 import os
 import re
 import sys
+import tempfile
 import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -35,14 +36,15 @@ def final_plan(df) -> str:
 def main() -> None:
     from laborstar.plans.pipeline import load_tables
     from laborstar.plans.reports import reports
-    from laborstar.session import checkpoint_dir, get_session
+    from laborstar.session import get_session
     from laborstar.sources.fixtures import Warehouse
     from laborstar.sources.warehouse import StoredWarehouse
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else "PLANS.md"
-    spark = get_session()
-    wh_dir = f"{checkpoint_dir(spark).rstrip('/')}/plans-warehouse-{uuid.uuid4().hex}"
+    spark = get_session(master="local[8]", shuffle_partitions=8)
+    parent = sys.argv[3] if len(sys.argv) > 3 else tempfile.mkdtemp(prefix="laborstar-plans-")
+    wh_dir = f"{parent.rstrip('/')}/warehouse-{uuid.uuid4().hex}"
     load_tables(spark, Warehouse.of(spark, sf_dir).raw, wh_dir, as_of="2024-01-01")
     rep = reports(StoredWarehouse(spark, wh_dir), profile_code="15-1002.00")
     lines = ["# Executed plans of the reports", "",
