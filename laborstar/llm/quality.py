@@ -34,6 +34,7 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.001, 0.005
 SCALE = 20.0
 THRESHOLD = 0.3
+CHUNK = 100             # texts whose features are held at once
 FOLDS = 5
 
 _CLASS = np.full(256, 2, np.uint8)                 # 0 lower, 1 upper, 2 other sign, 3 digit, 4 beyond ASCII
@@ -81,14 +82,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def ftrl(column: pa.Array, labels: np.ndarray) -> np.ndarray:
-    """Weights after EPOCHS passes of FTRL-proximal, one text at a time in the given order."""
+def _rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse rows of some texts: bounds, places and values."""
     places, n = _features(column)
     doc = np.concatenate([d for d, _ in places])
     code, count = np.unique(doc * (DIMS + 1) + np.concatenate([a for _, a in places]), return_counts=True)
     doc, at = np.divmod(code, DIMS + 1)
-    bounds = np.searchsorted(doc, np.arange(len(n) + 1))
     value = SCALE * count / np.maximum(n, 1)[doc]
+    return np.searchsorted(doc, np.arange(len(n) + 1)), at.astype(np.int32), value.astype(np.float32)
+
+
+def ftrl(column: pa.Array, labels: np.ndarray) -> np.ndarray:
+    """Weights after EPOCHS passes of FTRL-proximal, one text at a time in the given order."""
+    bounds, at, value = [np.zeros(1, np.int64)], [], []
+    for i in range(0, len(column), CHUNK):
+        b, a, v = _rows(column.slice(i, CHUNK))
+        bounds.append(b[1:] + bounds[-1][-1])
+        at.append(a)
+        value.append(v)
+    bounds, at, value = np.concatenate(bounds), np.concatenate(at), np.concatenate(value)
     z, g2 = np.zeros(DIMS + 1), np.zeros(DIMS + 1)
 
     def solve(zi: np.ndarray, gi: np.ndarray) -> np.ndarray:
@@ -136,7 +148,7 @@ def score(spark, weights: np.ndarray):
     @F.arrow_udf("double")
     def quality_score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            few = [sigmoid(dot(part.slice(i, 500), shared.value)) for i in range(0, len(part), 500)]
+            few = [sigmoid(dot(part.slice(i, CHUNK), shared.value)) for i in range(0, len(part), CHUNK)]
             yield pa.array(np.concatenate(few or [np.zeros(0)]), pa.float64())
 
     return quality_score
