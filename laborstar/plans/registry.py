@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborstar import functions as fn
-from laborstar.operators import cleaning, headers
+from laborstar.operators import cleaning, headers, releases
 from laborstar.operators import transforms as T
 from laborstar.operators import validation as V
 from laborstar.operators.audit import load_audit
@@ -377,3 +377,26 @@ _register_checks()
 @register("load_audit")
 def k_load_audit(spark, sf_dir):
     return load_audit(Warehouse.of(spark, sf_dir).raw, as_of="2024-01-01")
+
+
+# Releases and dimensions over all facts ---------------------------
+
+@register("snapshot_diff")
+def k_snapshot_diff(spark, sf_dir):
+    """What cleaning changed: the raw occupations (renamed only) against the dimension, by code."""
+    w = Warehouse.of(spark, sf_dir)
+    raw = headers.normalize_headers(w.raw["occupation_data"])
+    return releases.snapshot_diff(raw.select("onetsoc_code", "title", "description"),
+                                  w.dim_occupation.select("onetsoc_code", "title", "description"), ["onetsoc_code"])
+
+
+@register("dim_scale")
+def k_dim_scale(spark, sf_dir):
+    w = Warehouse.of(spark, sf_dir)
+    return releases.dim_scale(w.fact_skills, w.fact_knowledge, w.fact_education)
+
+
+@register("dim_element")
+def k_dim_element(spark, sf_dir):
+    w = Warehouse.of(spark, sf_dir)
+    return releases.dim_element(skills=w.fact_skills, knowledge=w.fact_knowledge, education=w.fact_education)
