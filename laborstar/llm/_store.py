@@ -29,4 +29,4 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
 
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` (a stored table) with a broadcast hint if it has at most ``rows`` rows; a join of a larger one is shuffled."""
-    return df.hint("broadcast") if df.limit(rows + 1).count() <= rows else df
+    return df.hint("broadcast") if df.count() <= rows else df

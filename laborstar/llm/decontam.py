@@ -56,9 +56,12 @@ def windows(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Occurrences of the terms in all documents."""
+    """Occurrences of the terms in all documents: a few terms are looked up first, many after counting."""
     tokens = docs.select(F.explode(words(F.col("text"))).alias("term"))
-    return tokens.join(small(terms, SMALL), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    count = F.count(F.lit(1)).alias("n")
+    if terms.count() <= SMALL:
+        return tokens.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(count)
+    return tokens.groupBy("term").agg(count).join(terms, "term", "left_semi")
 
 
 def seeds(wins: DataFrame, counts: DataFrame) -> DataFrame:

@@ -97,7 +97,7 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, build) -> DataFrame:
     """Rows (doc_id, text, ...) with ``next``: the struct of the columns that ``build`` made for the next document."""
     n = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("at")).first()["at"] or []
+    at = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n).alias("at")).first()["at"] or []
     bounds = F.array(*[F.lit(b) for b in sorted(set(at))]).cast("array<long>")
     part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda b: F.col("doc_id") > b)))
     ranged = docs.withColumn("part", part)

@@ -186,7 +186,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their spans."""
     for batch in batches:
         n, gone, kept = [], [], []
-        for text, spans in zip(batch.column("text"), batch.column("spans")):
+        for text, spans in zip(batch.column("text"), batch.column("__spans")):
             found = (text.as_py() or "").encode().split()
             stay = np.ones(len(found), bool)
             for s in spans.as_py() or ():
@@ -194,7 +194,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(found))
             gone.append(int((~stay).sum()))
             kept.append(b" ".join(w for w, k in zip(found, stay) if k) if gone[-1] else b" ".join(found))
-        names = [c for c in batch.schema.names if c != "spans"]
+        names = [c for c in batch.schema.names if c != "__spans"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
                                           pa.array([k.decode() for k in kept], pa.string()),
                                           pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())],
@@ -203,10 +203,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_removed``, ``__kept`` (the words that stay, joined by a space) and its SHA-256."""
-    spans = stored(repeated_spans(docs, group), "spans").select(F.col("id").alias("__id"), F.col("h").alias("__h"), "spans")
+    spans = stored(repeated_spans(docs, group), "spans").select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__h": F.xxhash64("text")})
     keys = small(spans.select("__id", "__h"), SMALL)
-    plain = marked.join(keys, ["__id", "__h"], "left_anti").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    plain = marked.join(keys, ["__id", "__h"], "left_anti").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     some = marked.join(keys, ["__id", "__h"], "left_semi").join(spans, ["__id", "__h"])
     both = plain.unionByName(some).drop("__id", "__h")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),

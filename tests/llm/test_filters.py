@@ -22,6 +22,7 @@ def test_line_dedup_keeps_columns_and_null_texts(spark):
     df = cases.frame(spark, ROWS)
     out = linededup.dedup(df)
     assert out.columns == df.columns and dict(out.dtypes) == dict(df.dtypes)
+    assert out.select(*cases.CLASHING).distinct().collect() == df.select(*cases.CLASHING).distinct().collect()
     want = Counter((d, t if r[1] is not None else None) for r, (d, _, _, t) in zip(ROWS, cases.dedup_lines(ROWS)))
     assert cases.rows_of(out.select("doc_id", "text")) == want
     assert out.where("n_chars <> char_length(text)").count() == 0
@@ -78,6 +79,7 @@ def test_simhash_keeps_one_document_of_each_group(spark):
     df = cases.frame(spark, ROWS)
     out = simhash.keep_first(df)
     assert out.columns == df.columns
+    assert out.select(*cases.CLASHING).distinct().collect() == df.select(*cases.CLASHING).distinct().collect()
     group = cases.components([cases.fingerprint(r[1]) for r in ROWS])
     kept = out.select("doc_id", "text").collect()
     assert len(kept) == len(set(group))
@@ -114,6 +116,7 @@ def test_decontamination_drops_contaminated_documents_only(spark):
     out = decontam.keep_clean(df, cases.frame(spark, ITEMS, "item_id long, text string"))
     want = Counter((r[0], r[1]) for r, w in zip(ROWS, cases.decontaminate(ROWS, ITEMS)) if not w[5])
     assert out.columns == df.columns and cases.rows_of(out.select("doc_id", "text")) == want
+    assert out.select(*cases.CLASHING).distinct().collect() == df.select(*cases.CLASHING).distinct().collect()
 
 
 def test_proximity_matches(spark):
@@ -142,6 +145,7 @@ def test_substring_dedup_keeps_columns(spark):
     df = cases.frame(spark, ROWS)
     out = substring.dedup(df)
     assert out.columns == df.columns and out.count() == len(ROWS)
+    assert out.select(*cases.CLASHING).distinct().collect() == df.select(*cases.CLASHING).distinct().collect()
     untouched = Counter((r[0], r[1]) for r, w in zip(ROWS, cases.remove_repeats(ROWS)) if not w[2])
     assert untouched - cases.rows_of(out.select("doc_id", "text")) == Counter()
 
