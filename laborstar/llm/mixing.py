@@ -98,6 +98,8 @@ def slots(spark, sources: list[dict], shard: int = SHARD) -> DataFrame:
     upto = Window.partitionBy("rank").orderBy("shard")
     blocks = F.get(F.array(*[F.lit(s["blocks"]) for s in sources]).cast("array<long>"), F.col("rank"))
     numbered = counts.select("shard", "rank", "n", (F.sum("n").over(upto) - F.col("n")).alias("from"), blocks.alias("blocks"))
+    # Few rows that become very many: dealt out by number, or adaptive execution would put them into one task.
+    numbered = numbered.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "rank")
     each = (numbered.select("shard", "rank", "blocks", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("slot"))
             .where(F.col("slot") < MAX_EPOCHS * F.col("blocks")))
     epoch = F.floor(F.col("slot") / F.col("blocks"))
