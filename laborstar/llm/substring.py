@@ -40,7 +40,7 @@ from laborstar.llm._tokens import mix, powers, words
 
 SIZE = 50
 PREFIX = 16
-GROUP = 1_000
+GROUP = 5_000
 SMALL = 500_000
 NO_ID = (1 << 63) - 1
 ROW = ["id", "h"]
