@@ -8,22 +8,24 @@ sum of the conditional log-probabilities scores the text.
 * Network: hidden = tanh(sum over places of an embedding per place and symbol + bias); a softmax over ``CLASSES``
   classes of symbols; inside a class a symbol has its corpus frequency (plus one). Classes have about
   equal shares of the square roots of the counts, so P(symbol | both sides) sums to one.
-* Training: minibatch Adagrad in numpy over at most ``MAX_ROWS`` documents (smallest hashes of the id), one bounded
-  task; scoring covers every word of every text, in pieces of bounded size.
+* Training: ``EPOCHS`` rounds over all documents. In a round every partition runs minibatch Adagrad in numpy over its
+  texts, from the network of the round before; every parameter row becomes the mean of the partitions' rows,
+  weighted by how many words of a partition used it. Scoring covers every word of every text, in pieces of bounded size.
 
-The driver holds the symbol counts (VOCAB + RARE rows) and the network (its size is fixed), which are broadcast.
+The driver holds the symbol counts (VOCAB + RARE rows) and the network (its size is fixed), which are broadcast; a
+partition sends the rows it used, so at most one network.
 
 Edge cases: null and empty texts have 0 words, log_prob 0 and mean 0; an empty table trains nothing and
-returns no rows; ties in counts go to the smaller hash; repeated rows are scored alike; other columns are ignored.
+returns no rows; ties in counts go to the smaller hash; repeated rows are scored alike; other columns are ignored;
+the network depends a little on how the input is split into partitions.
 """
 
 from __future__ import annotations
 
-import pickle
+import copy
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +39,11 @@ RARE = 4_096
 CLASSES = 64
 SIDE = 2
 HIDDEN = 32
-MAX_ROWS = 1_200
 EPOCHS = 2
 BATCH = 4_096
 RATE = 0.02
 PIECE = 1 << 12
+ROWS = 256                # embeddings of a message between the partitions and the combining tasks
 PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
 
 
@@ -78,10 +80,15 @@ class Model:
         self.inside = np.log((counts + 1) / total[self.classes])
         self.share = np.log(np.maximum(total, 1e-9) / total.sum())
         rng = np.random.default_rng(0)
-        self.embed = [(rng.standard_normal((self.size + 1, HIDDEN)) * 0.1).astype(np.float32) for _ in PLACES]
+        self.embed = (rng.standard_normal((len(PLACES), self.size + 1, HIDDEN)) * 0.1).astype(np.float32)
         self.bias = np.zeros(HIDDEN, np.float32)
         self.out = (rng.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32)
         self.base = self.share.astype(np.float32).copy()
+        # Adagrad's sums of squares: a row of ``embed`` or ``out`` has one, ``bias`` and ``base`` one each.
+        self.seen = {"embed": np.full(self.embed.shape[:2], 1e-6, np.float32), "out": np.full(HIDDEN, 1e-6, np.float32),
+                     "bias": np.full(1, 1e-6, np.float32), "base": np.full(1, 1e-6, np.float32)}
+        self.used = np.zeros(self.embed.shape[:2], np.float32)      # words that used a row, since the round began
+        self.learned = 0
 
     def symbols(self, word: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocab, word), max(len(self.vocab) - 1, 0))
@@ -111,36 +118,67 @@ class Model:
         return h, z
 
     def fit(self, column: pa.Array) -> None:
+        rng = np.random.default_rng(1)
+        for _ in range(EPOCHS):
+            self.learn(column, rng)
+
+    def learn(self, column: pa.Array, rng: np.random.Generator) -> None:
+        """One pass over the words of some texts, in random order."""
         found = words(column, lower=True)
         symbol = self.symbols(found.hash.view(np.int64))
         around = self.contexts(symbol, found.first)
         target = self.classes[symbol]
-        rng = np.random.default_rng(1)
-        seen = {id(x): np.full(x.shape[0], 1e-6, np.float32) for x in [*self.embed, self.out]} | {"bias": 1e-6, "base": 1e-6}
-        for _ in range(EPOCHS):
-            order = rng.permutation(len(symbol))
-            for i in range(0, len(order), BATCH):
-                at = order[i:i + BATCH]
-                h, z = self.forward(around[:, at])
-                d = np.exp(z)
-                d[np.arange(len(at)), target[at]] -= 1
-                d /= len(at) ** 0.5
-                back = (d @ self.out.T) * (1 - h * h)
-                self._step(self.out, np.arange(HIDDEN), h.T @ d, seen)
-                for e, a in zip(self.embed, around[:, at]):
-                    used, place = np.unique(a, return_inverse=True)
-                    g = np.zeros((len(used), HIDDEN), np.float32)
-                    np.add.at(g, place, back)
-                    self._step(e, used, g, seen)
-                for name, g in (("bias", back.sum(0)), ("base", d.sum(0))):
-                    seen[name] += float((g * g).mean())
-                    getattr(self, name).__isub__(RATE * g / np.sqrt(seen[name]))
+        order = rng.permutation(len(symbol))
+        self.learned += len(symbol)
+        for i in range(0, len(order), BATCH):
+            at = order[i:i + BATCH]
+            h, z = self.forward(around[:, at])
+            d = np.exp(z)
+            d[np.arange(len(at)), target[at]] -= 1
+            d /= np.float32(len(at) ** 0.5)
+            back = (d @ self.out.T) * (1 - h * h)
+            self._step(self.out, self.seen["out"], np.arange(HIDDEN), h.T @ d)
+            for e, seen, used, a in zip(self.embed, self.seen["embed"], self.used, around[:, at]):
+                a = a.astype(np.uint16 if self.size < 1 << 16 else np.int64)      # short integers have a radix sort
+                by = np.argsort(a, kind="stable")
+                a = a[by]
+                first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+                rows = a[first].astype(np.int64)
+                used[rows] += np.diff(np.append(first, len(a)))
+                self._step(e, seen, rows, np.add.reduceat(back[by], first, axis=0))
+            for x, seen, g in ((self.bias, self.seen["bias"], back.sum(0)), (self.base, self.seen["base"], d.sum(0))):
+                seen += (g * g).mean()
+                x -= RATE * g / np.sqrt(seen)
 
     @staticmethod
-    def _step(x: np.ndarray, rows: np.ndarray, g: np.ndarray, seen: dict) -> None:
-        sums = seen[id(x)]
-        sums[rows] += (g * g).mean(1)
-        x[rows] -= RATE * g / np.sqrt(sums[rows])[:, None]
+    def _step(x: np.ndarray, seen: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
+        seen[rows] += (g * g).mean(1)
+        x[rows] -= RATE * g / np.sqrt(seen[rows])[:, None]
+
+    def _dense(self) -> list[np.ndarray]:
+        return [self.out, self.bias, self.base, self.seen["out"], self.seen["bias"], self.seen["base"]]
+
+    def messages(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """What the round has changed: block, rows, words that used each row, values. Block -1 has all but the embeddings."""
+        if self.learned:
+            yield -1, np.zeros(1, np.int64), np.array([self.learned], float), np.concatenate([x.ravel() for x in self._dense()])[None]
+        used = self.used.ravel()
+        for block in range(0, -(-len(used) // ROWS)):
+            rows = block * ROWS + np.flatnonzero(used[block * ROWS:(block + 1) * ROWS])
+            if len(rows):
+                values = np.concatenate([self.embed.reshape(-1, HIDDEN)[rows], self.seen["embed"].reshape(-1)[rows, None]], axis=1)
+                yield block, rows, used[rows].astype(float), values
+
+    def take(self, block: int, rows: np.ndarray, values: np.ndarray) -> None:
+        """The other end of ``messages``."""
+        if block >= 0:
+            values = values.reshape(len(rows), HIDDEN + 1)
+            self.embed.reshape(-1, HIDDEN)[rows] = values[:, :HIDDEN]
+            self.seen["embed"].reshape(-1)[rows] = values[:, HIDDEN]
+            return
+        for x in self._dense():
+            x[...] = values[:x.size].reshape(x.shape)
+            values = values[x.size:]
 
     def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of words and summed log-probability of every text."""
@@ -155,24 +193,65 @@ class Model:
         return np.diff(found.first), total
 
 
-def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Counts over all documents; the network from a bounded sample."""
-    vocab, counts = symbol_counts(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, counts))
-    ids = smallest(docs.select("doc_id"), "doc_id", max_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").withColumn("one", F.lit(1))     # max_rows rows
+MESSAGE = pa.schema([("block", pa.int32()), ("rows", pa.binary()), ("used", pa.binary()), ("x", pa.binary())])
+
+
+def _sent(block: int, rows: np.ndarray, used: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"block": block, "rows": rows.astype(np.int64).tobytes(), "used": used.astype(float).tobytes(),
+                                        "x": x.astype(np.float32).tobytes()}], MESSAGE)
+
+
+def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted means of every block's rows; the messages are sorted by block, and one block's sums are held."""
+    block, weight, sums = None, None, None
+
+    def result() -> pa.RecordBatch:
+        at = np.flatnonzero(weight)
+        return _sent(block, max(block, 0) * ROWS + at, weight[at], sums[at] / weight[at, None])
+
+    for batch in batches:
+        for m in batch.to_pylist():
+            rows, used = np.frombuffer(m["rows"], np.int64), np.frombuffer(m["used"], float)
+            x = np.frombuffer(m["x"], np.float32).reshape(len(rows), -1)
+            if m["block"] != block:
+                if block is not None:
+                    yield result()
+                block, weight, sums = m["block"], np.zeros(ROWS), np.zeros((ROWS if m["block"] >= 0 else 1, x.shape[1]))
+                weight = weight[:len(sums)]
+            at = rows - max(block, 0) * ROWS
+            weight[at] += used
+            sums[at] += x * used[:, None]
+    if block is not None:
+        yield result()
+
+
+def train(docs: DataFrame, max_rows: int | None = None) -> Model:
+    """Counts and network over all documents; ``max_rows`` fits the network on that many only (for trials)."""
+    model = Model(*symbol_counts(docs))
+    texts = docs.select("text")
+    if max_rows is not None:
+        texts = docs.select("doc_id", "text").join(F.broadcast(smallest(docs.select("doc_id"), "doc_id", max_rows)), "doc_id").select("text")
+    for turn in range(EPOCHS):
+        shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        model = Model(*shared.value)
-        pdf = pdf.sort_values(["doc_id", "text"])
-        model.fit(pa.array(pdf["text"], pa.string(), from_pandas=True))
-        return pd.DataFrame({"model": [pickle.dumps(model)]})
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
+            local = copy.deepcopy(shared.value)                # a worker keeps the broadcast value for its next task
+            rng = np.random.default_rng(turn)
+            for batch in batches:
+                for i in range(0, len(batch), 200):
+                    local.learn(batch.column(0).slice(i, 200), rng)
+            for m in local.messages():
+                yield _sent(*m)
 
-    found = sample.groupBy("one").applyInPandas(fit, "model binary").collect()             # one network, of fixed size
-    return pickle.loads(found[0]["model"]) if found else Model(vocab, counts)
+        schema = "block int, rows binary, used binary, x binary"
+        sent = texts.mapInArrow(learn, schema).repartition("block").sortWithinPartitions("block")
+        for m in stored(sent.mapInArrow(_means, schema), "network").toLocalIterator():      # one network, of fixed size
+            model.take(m["block"], np.frombuffer(m["rows"], np.int64), np.frombuffer(m["x"], np.float32))
+        shared.unpersist()
+    return model
 
 
-def score(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def score(docs: DataFrame, max_rows: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, log_prob, mean_log_prob."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, max_rows))
 

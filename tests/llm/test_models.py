@@ -192,3 +192,23 @@ def test_corpus_counts_cover_all_documents(spark, monkeypatch):
     vocab, counts = lm.symbol_counts(cases.frame(spark, ROWS))
     assert len(vocab) == 20 and (np.diff(vocab) > 0).all()
     assert counts.sum() == sum(len(cases.SPACES.findall(r[1] or "")) for r in ROWS)
+
+
+def test_network_learns_from_every_document(spark):
+    """More documents than the old sample had: each has a word of its own place, and that word's embedding is trained."""
+    df = cases.frame(spark, [(i, f"begin own{i} end", "en", "a", 0) for i in range(1_500)], clashing=False)
+    model, start = lm.train(df), lm.Model(*lm.symbol_counts(df))
+    own = words(pa.array([f"own{i}" for i in range(1_500)]), lower=True).hash.view(np.int64)
+    place = lm.PLACES.index(1)                                  # own words follow "begin"
+    moved = (model.embed[place] != start.embed[place]).any(axis=1)
+    assert moved[model.symbols(own)].all() and np.isfinite(model.embed).all()
+
+
+def test_one_partition_trains_as_the_driver_does(spark):
+    texts = ["the cat sat on the mat", "on the mat the cat sat"] * 40
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got, want = lm.train(df), lm.Model(*lm.symbol_counts(df))
+    for turn in range(lm.EPOCHS):
+        want.learn(pa.array(texts), np.random.default_rng(turn))
+    assert np.allclose(got.embed, want.embed, atol=1e-5) and np.allclose(got.out, want.out, atol=1e-5)
+    assert np.allclose(got.bias, want.bias, atol=1e-5) and np.allclose(got.base, want.base, atol=1e-5)
