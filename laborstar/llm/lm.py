@@ -5,6 +5,9 @@ sum of the conditional log-probabilities scores the text.
 
 * Symbols: the ``VOCAB`` most frequent words of the corpus, and ``RARE`` buckets that all other words
   hash to. Word counts are gathered over all documents.
+* Rare words: a bucket is a symbol like any other for the network, and a word of it has the share
+  (count + 1) / (words of the bucket + its distinct words + 1). What is left, one count, is the share of all words
+  that the corpus does not have. Counts are looked up by a shuffled join of (document, word, n).
 * Network: hidden = tanh(sum over places of an embedding per place and symbol + bias); a softmax over ``CLASSES``
   classes of symbols; inside a class a symbol has its corpus frequency (plus one). Classes have about
   equal shares of the square roots of the counts, so P(symbol | both sides) sums to one.
@@ -53,24 +56,35 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], names=["word", "n"])
 
 
-def symbol_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The VOCAB most frequent word hashes (ascending), and the corpus counts of all symbols."""
-    counts = stored(docs.select("text").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): how often the corpus has each word."""
+    return stored(docs.select("text").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def symbols_of(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The VOCAB most frequent word hashes (ascending), the corpus counts of all symbols, and the distinct words of every bucket."""
     top = counts.orderBy(F.col("n").desc(), "word").limit(VOCAB)
     known = top.toPandas().sort_values("word")                                              # VOCAB rows
     rest = counts.join(F.broadcast(top.select("word")), "word", "left_anti")                # VOCAB rows
-    rare = rest.groupBy(F.pmod("word", F.lit(RARE)).alias("bucket")).agg(F.sum("n").alias("n")).toPandas()   # RARE rows
-    n = np.zeros(len(known) + RARE)
+    rare = rest.groupBy(F.pmod("word", F.lit(RARE)).alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).toPandas()   # RARE rows
+    n, types = np.zeros(len(known) + RARE), np.zeros(RARE)
     n[:len(known)] = known["n"]
     n[len(known) + rare["bucket"].to_numpy(int)] = rare["n"]
-    return known["word"].to_numpy(np.int64), n
+    types[rare["bucket"].to_numpy(int)] = rare["types"]
+    return known["word"].to_numpy(np.int64), n, types
+
+
+def symbol_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The VOCAB most frequent word hashes (ascending), and the corpus counts of all symbols."""
+    return symbols_of(word_counts(docs))[:2]
 
 
 class Model:
     """Symbols, classes and the network."""
 
-    def __init__(self, vocab: np.ndarray, counts: np.ndarray):
+    def __init__(self, vocab: np.ndarray, counts: np.ndarray, types: np.ndarray | None = None):
         self.vocab = vocab
+        self.bucket = np.log(counts[len(vocab):] + (0 if types is None else types) + 1)
         self.size = len(counts)                               # one more embedding stands for "outside the text"
         order = np.argsort(-counts, kind="stable")
         mass = np.cumsum(np.sqrt(counts[order] + 1))
@@ -180,8 +194,9 @@ class Model:
             x[...] = values[:x.size].reshape(x.shape)
             values = values[x.size:]
 
-    def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Number of words and summed log-probability of every text."""
+    def score(self, column: pa.Array, with_rare: bool = False) -> tuple[np.ndarray, ...]:
+        """Number of words and summed log-probability of every text's symbols. ``with_rare`` takes the size of their buckets off
+        rare words, which then lack log(count + 1) alone, and adds the number of these."""
         found = words(column, lower=True)
         symbol = self.symbols(found.hash.view(np.int64))
         around, doc = self.contexts(symbol, found.first), found.doc
@@ -190,7 +205,22 @@ class Model:
             s = symbol[i:i + PIECE]
             _, z = self.forward(around[:, i:i + PIECE])
             total += np.bincount(doc[i:i + PIECE], z[np.arange(len(s)), self.classes[s]] + self.inside[s], len(total))
-        return np.diff(found.first), total
+        if not with_rare:
+            return np.diff(found.first), total
+        at = symbol >= len(self.vocab)
+        total -= np.bincount(doc[at], self.bucket[symbol[at] - len(self.vocab)], len(total))
+        return np.diff(found.first), total, np.bincount(doc[at], minlength=len(total))
+
+    def rare(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rare words of the texts, each once per text: text number, word, how often."""
+        found = words(column, lower=True)
+        word = found.hash.view(np.int64)
+        at = self.symbols(word) >= len(self.vocab)
+        doc, word = found.doc[at], word[at]
+        order = np.lexsort((word, doc))
+        doc, word = doc[order], word[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(doc), 1), bool), (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]))
+        return doc[first], word[first], np.diff(np.append(first, len(doc)))
 
 
 MESSAGE = pa.schema([("block", pa.int32()), ("rows", pa.binary()), ("used", pa.binary()), ("x", pa.binary())])
@@ -225,9 +255,9 @@ def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
-def train(docs: DataFrame, max_rows: int | None = None) -> Model:
+def train(docs: DataFrame, max_rows: int | None = None, counts: DataFrame | None = None) -> Model:
     """Counts and network over all documents; ``max_rows`` fits the network on that many only (for trials)."""
-    model = Model(*symbol_counts(docs))
+    model = Model(*symbols_of(word_counts(docs) if counts is None else counts))
     texts = docs.select("text")
     if max_rows is not None:
         texts = docs.select("doc_id", "text").join(F.broadcast(smallest(docs.select("doc_id"), "doc_id", max_rows)), "doc_id").select("text")
@@ -251,17 +281,38 @@ def train(docs: DataFrame, max_rows: int | None = None) -> Model:
     return model
 
 
-def score(docs: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """One row per document: doc_id, n_words, log_prob, mean_log_prob."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, max_rows))
+def rare_shares(docs: DataFrame, shared, counts: DataFrame) -> DataFrame:
+    """Per key of a row, for those with rare words: the summed log(count + 1) of their rare words, and how many these are.
+
+    Rows of one id and text have one key, so both sums have them all."""
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, len(batch), 200):
+                part = batch.slice(i, 200)
+                doc, word, n = shared.value.rare(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(doc)), pa.array(word), pa.array(n.astype(np.int32))], names=["key", "word", "times"])
+
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(pairs, "key long, word long, times int")
+    share = F.col("times") * F.log1p(F.coalesce("n", F.lit(0)).cast("double"))
+    return rows.join(counts, "word", "left").groupBy("key").agg(F.sum(share).alias("share"), F.sum("times").alias("times"))
 
-    @F.arrow_udf("n long, total double")
+
+def score(docs: DataFrame, max_rows: int | None = None, corpus: DataFrame | None = None) -> DataFrame:
+    """One row per document: doc_id, n_words, log_prob, mean_log_prob; counts and network from ``corpus`` (the documents themselves if None)."""
+    corpus = docs if corpus is None else corpus
+    counts = word_counts(corpus)
+    shared = docs.sparkSession.sparkContext.broadcast(train(corpus, max_rows, counts))
+
+    @F.arrow_udf("n long, total double, rare long")
     def pseudo_likelihood(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            few = [shared.value.score(part.slice(i, 200)) for i in range(0, len(part), 200)]
-            n, total = (np.concatenate([x[k] for x in few]) if few else np.zeros(0) for k in (0, 1))
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["n", "total"])
-
-    found = docs.select("doc_id", pseudo_likelihood(F.col("text")).alias("s"))
-    return found.select("doc_id", F.col("s.n").alias("n_words"), F.col("s.total").alias("log_prob"),
-                        F.when(F.col("s.n") > 0, F.col("s.total") / F.col("s.n")).otherwise(0.0).alias("mean_log_prob"))
+            few = [shared.value.score(part.slice(i, 200), with_rare=True) for i in range(0, len(part), 200)]
+            n, total, rare = (np.concatenate([x[k] for x in few]) if few else np.zeros(0) for k in (0, 1, 2))
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(rare, pa.int64())], ["n", "total", "rare"])
+
+    found = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), pseudo_likelihood(F.col("text")).alias("s"))
+    found = found.join(rare_shares(docs, shared, counts), "key", "left")
+    # The row's part of what all rows of its key have.
+    total = F.col("s.total") + F.when(F.col("s.rare") > 0, F.col("share") * F.col("s.rare") / F.col("times")).otherwise(0.0)
+    return found.select("doc_id", F.col("s.n").alias("n_words"), total.alias("log_prob"),
+                        F.when(F.col("s.n") > 0, total / F.col("s.n")).otherwise(0.0).alias("mean_log_prob"))

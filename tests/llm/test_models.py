@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -212,3 +213,36 @@ def test_one_partition_trains_as_the_driver_does(spark):
         want.learn(pa.array(texts), np.random.default_rng(turn))
     assert np.allclose(got.embed, want.embed, atol=1e-5) and np.allclose(got.out, want.out, atol=1e-5)
     assert np.allclose(got.bias, want.bias, atol=1e-5) and np.allclose(got.base, want.base, atol=1e-5)
+
+
+def test_rare_words_have_their_own_share(spark, monkeypatch):
+    """Against a loop; shares of a bucket's words and of what the corpus lacks sum to one; an unseen word is the least likely."""
+    monkeypatch.setattr(lm, "VOCAB", 20)
+    rows = ROWS + [(900, "gu " * 3 + "unheardofword", "en", "a", 0)]
+    corpus = cases.frame(spark, ROWS)
+    counts = lm.word_counts(corpus)
+    model = lm.train(corpus, counts=counts)
+    n = {r["word"]: r["n"] for r in counts.collect()}
+    types = Counter(w % lm.RARE for w in n if w not in set(model.vocab.tolist()))
+    got = Counter()
+    for r in lm.score(cases.frame(spark, rows), corpus=corpus).collect():
+        got[r["doc_id"], r["n_words"], round(r["log_prob"], 2)] += 1
+    want = Counter()
+    for r in rows:
+        text = pa.array([r[1]], pa.string())
+        word = words(text, lower=True).hash.view(np.int64)
+        size, total = model.score(text)
+        for w, s in zip(word.tolist(), model.symbols(word).tolist()):
+            if s >= len(model.vocab):
+                total[0] += np.log(n.get(w, 0) + 1) - np.log(model_count(n, w, model) + types[w % lm.RARE] + 1)
+        want[r[0], int(size[0]), round(float(total[0]), 2)] += 1
+    near = lambda c: sorted((k[0] or -1, k[1], k[2], v) for k, v in c.items())
+    assert len(got) == len(want) and all(a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-3) and a[3] == b[3] for a, b in zip(near(got), near(want)))
+    bucket = next(iter(types))
+    inside = [np.exp(np.log(c + 1) - model.bucket[bucket]) for w, c in n.items() if w % lm.RARE == bucket and w not in set(model.vocab.tolist())]
+    assert sum(inside) + np.exp(-model.bucket[bucket]) == pytest.approx(1)
+
+
+def model_count(n, word, model):
+    known = set(model.vocab.tolist())
+    return sum(c for w, c in n.items() if w % lm.RARE == word % lm.RARE and w not in known)
