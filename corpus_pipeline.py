@@ -35,8 +35,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
-    return mixing.report(docs)
+    """Writes the mix to the shared folder and tells how many words of each document it took."""
+    return mixing.report(docs, "pipeline-mix")
 
 
 STAGES = [("quality", quality_stage), ("line_dedup", line_stage), ("near_duplicates", near_duplicate_stage),

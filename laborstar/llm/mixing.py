@@ -13,7 +13,9 @@
 4. Slots. A source's slots are numbered through all shards. Slot j is in epoch j / blocks, and its
    place in the epoch goes through a pseudorandom permutation of the block numbers (swap-or-not
    rounds, a bijection for any number of blocks). Slots beyond ``MAX_EPOCHS`` epochs stay empty.
-5. Slots and documents are joined by source and block number.
+5. Every text is cut into its pieces of blocks once, inside the row; pieces are packed into blocks, which keep the document
+   and word count of each piece, and slots are joined with blocks by source and block number. The mix is written to
+   the shared folder, and what it took of each document is counted from there.
 
 Everything random is a hash of the seed, the source's rank and an index, so reruns agree. One row per
 source is collected to the driver: the number of sources is the only size that is held there.
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laborstar.llm._columns import blank_words, rows_of
+from laborstar.llm.fingerprint import let
 from laborstar.llm._store import stored
 
 BLOCK = 64
@@ -107,59 +110,83 @@ def slots(spark, sources: list[dict], shard: int = SHARD) -> DataFrame:
     return each.select("shard", "rank", "slot", place.alias("block"))
 
 
-def streams(sizes: DataFrame, sources: list[dict]) -> DataFrame:
-    """Every document with its place in its source's stream: rank, bucket, nth, offset."""
-    spark = sizes.sparkSession
-    known = rows_of(spark, [(s["source"], s["rank"], s["words"], s["target"]) for s in sources],
+def ranked(rows: DataFrame, sources: list[dict], buckets: int) -> DataFrame:
+    """Rows with id, h and source, with the source's rank and figures, and their bucket."""
+    known = rows_of(rows.sparkSession, [(s["source"], s["rank"], s["words"], s["target"]) for s in sources],
                     "src string, rank int, source_size long, target double")
-    docs = sizes.join(F.broadcast(known), sizes["source"].eqNullSafe(known["src"])).drop("source", "src")   # one row per source
-    buckets = 1 + sizes.count() // BUCKET_DOCS
-    docs = docs.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "id", "h"), F.lit(buckets)).cast("int"))
+    rows = rows.join(F.broadcast(known), rows["source"].eqNullSafe(known["src"])).drop("source", "src")   # one row per source
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "id", "h"), F.lit(buckets)).cast("int"))
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Words of a source before each of its buckets: rank, bucket, before."""
+    upto = Window.partitionBy("rank").orderBy("bucket")
+    return (rows.groupBy("rank", "bucket").agg(F.sum("size").alias("n"))
+            .select("rank", "bucket", (F.sum("n").over(upto) - F.col("n")).alias("before")))
+
+
+def streams(rows: DataFrame, before: DataFrame) -> DataFrame:
+    """Every ranked row with its place in its source's stream: nth in its bucket, offset."""
     inside = Window.partitionBy("rank", "bucket").orderBy("id", "h")
-    docs = docs.withColumns({"nth": F.row_number().over(inside),
+    rows = rows.withColumns({"nth": F.row_number().over(inside),
                              "inner": F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")})
-    upto = Window.partitionBy("rank").orderBy("bucket")
-    before = (docs.groupBy("rank", "bucket").agg(F.sum("size").alias("n"))
-              .select("rank", "bucket", (F.sum("n").over(upto) - F.col("n")).alias("before")))
-    return docs.join(before, ["rank", "bucket"]).withColumn("offset", F.col("before") + F.col("inner")).drop("before", "inner")
+    return rows.join(before, ["rank", "bucket"]).withColumn("offset", F.col("before") + F.col("inner")).drop("before", "inner")
 
 
 def pieces(placed: DataFrame) -> DataFrame:
-    """Documents cut at block ends: rank, bucket, nth, block, skip (words before the piece), words."""
+    """Texts cut at block ends: rank, block, and piece (offset in the stream, bucket, nth, id, words, text)."""
     end = F.col("offset") + F.col("size")
-    cut = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((end - 1) / BLOCK))))
-    start, stop = F.greatest("offset", F.col("block") * BLOCK), F.least(end, (F.col("block") + 1) * BLOCK)
-    return cut.select("rank", "bucket", "nth", "block", (start - F.col("offset")).alias("skip"), (stop - start).alias("words"))
+
+    def cut(w: Column) -> Column:
+        def piece(block: Column) -> Column:
+            start, stop = F.greatest(F.col("offset"), block * BLOCK), F.least(end, (block + 1) * BLOCK)
+            text = F.array_join(F.slice(w, (start - F.col("offset") + 1).cast("int"), (stop - start).cast("int")), " ")
+            return F.struct(block.alias("block"), F.struct(start.alias("offset"), "bucket", "nth", "id", (stop - start).alias("words"), text.alias("text")).alias("piece"))
+
+        return F.transform(F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((end - 1) / BLOCK)), piece)
+
+    each = placed.where("size > 0").select("rank", F.explode(let(blank_words(F.col("text")), cut)).alias("p"))
+    return each.select("rank", "p.block", "p.piece")
 
 
 def plan(docs: DataFrame) -> tuple[DataFrame, list[dict]]:
-    """Documents placed in streams (stored), and their sources."""
-    sizes = stored(docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.col("source").cast("string").alias("source"),
-                               F.size(blank_words(F.col("text"))).cast("long").alias("size")), "sizes")
-    sources = targets(sizes)
-    return stored(streams(sizes, sources), "streams"), sources
+    """The documents' sizes (stored: id, h, source, size) and their sources."""
+    sizes = stored(sized(docs).drop("text"), "sizes")
+    return sizes, targets(sizes)
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
-    placed, sources = plan(docs)
-    copies = slots(docs.sparkSession, sources).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("copies"))
-    # A merge join: the planner knows the generated slots by the size of their range only and would broadcast them.
-    taken = (pieces(placed).join(copies.hint("merge"), ["rank", "block"]).groupBy("rank", "bucket", "nth")
-             .agg(F.sum(F.col("words") * F.col("copies")).alias("taken")))
-    return placed.join(taken, ["rank", "bucket", "nth"], "left").select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+def sized(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.col("source").cast("string").alias("source"),
+                       F.size(blank_words(F.col("text"))).cast("long").alias("size"), "text")
 
 
-def mixed_blocks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
-    """The mix itself: one row per slot with its shard, source and the words of its block."""
-    placed, sources = plan(docs)
+def _mixed(docs: DataFrame, shard: int) -> tuple[DataFrame, DataFrame]:
+    """The mix, and the placed documents without their texts."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), blank_words(F.col("text")).alias("w")).dropDuplicates(["id", "h"])
-    cut = pieces(placed).join(placed.select("rank", "bucket", "nth", "id", "h", "offset"), ["rank", "bucket", "nth"])
-    cut = cut.join(texts, cut["id"].eqNullSafe(texts["id"]) & (cut["h"] == texts["h"])).select(
-        "rank", "block", "offset", F.slice("w", (F.col("skip") + 1).cast("int"), F.col("words").cast("int")).alias("w"))
-    block = cut.groupBy("rank", "block").agg(F.array_join(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("offset", "w"))), lambda x: x["w"])), " ").alias("text"))      # BLOCK words at most
+    sizes, sources = plan(docs)
+    buckets = 1 + sizes.count() // BUCKET_DOCS
+    rows = ranked(sizes, sources, buckets)
+    before = stored(starts(rows), "starts")
+    placed = streams(ranked(sized(docs), sources, buckets), before)
+    block = pieces(placed).groupBy("rank", "block").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))      # BLOCK words at most
+    block = block.select("rank", "block", F.array_join(F.transform("pieces", lambda x: x["text"]), " ").alias("text"),
+                         F.transform("pieces", lambda x: x.dropFields("offset", "text")).alias("pieces"))
     names = F.get(F.array(*[F.lit(s["source"]) for s in sources]).cast("array<string>"), F.col("rank"))
-    return slots(spark, sources, shard).hint("merge").join(block, ["rank", "block"]).select("shard", "slot", names.alias("source"), "block", "text")
+    # A merge join: the planner knows the generated slots by the size of their range only and would broadcast them.
+    mix = (slots(spark, sources, shard).hint("merge").join(block, ["rank", "block"])
+           .select("shard", "slot", "rank", names.alias("source"), "block", "text", "pieces"))
+    return mix, streams(rows, before)
+
+
+def mixed_blocks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
+    """The mix itself: one row per slot with its shard, source, the words of its block, and the pieces (bucket, nth, id, words) in it."""
+    return _mixed(docs, shard)[0]
+
+
+def report(docs: DataFrame, name: str = "mix", shard: int = SHARD) -> DataFrame:
+    """Writes the mix to the shared folder. One row per document: doc_id, size, source_size, target, taken (its words in the mix)."""
+    mix, placed = _mixed(docs, shard)
+    mix = stored(mix, name)
+    taken = (mix.select("rank", F.explode("pieces").alias("p")).groupBy("rank", "p.bucket", "p.nth").agg(F.sum("p.words").alias("taken")))
+    return placed.join(taken, ["rank", "bucket", "nth"], "left").select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

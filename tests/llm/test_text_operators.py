@@ -220,6 +220,31 @@ def test_mixed_blocks_hold_the_words_that_are_taken(spark):
     assert abs(sum(len(b["text"].split()) for b in blocks) - taken) <= mixing.BLOCK * 5 * (1 + len(blocks) // 50)
 
 
+def test_report_counts_the_written_mix(spark, monkeypatch):
+    """The report writes the mix; its blocks hold the words of their pieces, in the documents' order, and `taken` is their sum."""
+    rows = [r for r in dict.fromkeys(many(80) + ROWS) if r[0] is not None]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)] + [(0, *rows[0][1:])]                     # a repeated row
+    written = {}
+    monkeypatch.setattr(mixing, "stored", lambda df, name="table": written.setdefault(name, stored(df, name)))
+    got = mixing.report(cases.frame(spark, rows)).collect()
+    mix = written["mix"].collect()
+    text = {i: cases.SPACES.findall(x or "") for i, x, *_ in rows}
+    taken, first = Counter(), {}
+    for b in mix:
+        found = cases.SPACES.findall(b["text"])
+        assert len(found) == sum(p["words"] for p in b["pieces"]) <= mixing.BLOCK
+        for p in b["pieces"]:
+            part, found = found[:p["words"]], found[p["words"]:]
+            taken[p["id"]] += len(part)
+            whole = text[p["id"]]
+            assert any(whole[i:i + len(part)] == part for i in range(len(whole) - len(part) + 1))
+        assert first.setdefault((b["source"], b["block"]), b["text"]) == b["text"]
+    total = Counter()
+    for r in got:
+        total[r["doc_id"]] += r["taken"]
+    assert total == Counter({i: taken[i] for i in text}) and sum(taken.values()) > 1_000 and len(got) == len(rows)
+
+
 def test_mixing_of_nothing(spark):
     assert mixing.report(cases.frame(spark, [])).count() == 0
     assert [tuple(r) for r in mixing.report(cases.frame(spark, [(1, None, "x", None, None)])).collect()] == [(1, 0, 0, 0.0, 0)]
