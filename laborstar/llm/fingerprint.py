@@ -1,12 +1,16 @@
 """Document fingerprints by winnowing.
 
 A text's words (lower case, split at white space) are hashed; every ``GRAM`` consecutive words have a rolling
-polynomial hash modulo a prime, H(i) = x(i) B^3 + x(i+1) B^2 + x(i+2) B + x(i+3). Of every ``WINDOW``
+polynomial hash modulo a prime, H(i) = x(i) B + x(i+1). Of every ``WINDOW``
 consecutive gram hashes the least is chosen, the rightmost of equal ones; the chosen hashes with their positions are
-the fingerprint. Two texts that share WINDOW + GRAM - 1 words in a row share a chosen hash.
+the fingerprint. Two texts that share WINDOW + GRAM - 1 = 3 words in a row share a chosen hash.
+
+A text of fewer than GRAM words, or of more than ``UNBROKEN`` characters per word (no blanks, as in Chinese or a URL),
+goes by its code points instead: grams of ``CHARS``, the same window, so WINDOW + CHARS - 1 = 5 characters in a row. Where
+one of two texts goes by words and the other by code points, both are compared by code points.
 
 Hash and position are packed into one long, so a window's choice is a minimum, and the minima of all windows
-come from repeated halving: least of neighbours 1, 2, 4 and 8 apart. All of it runs on arrays inside the
+come from repeated halving: least of neighbours 1, 2, 4, ... apart. All of it runs on arrays inside the
 row; nothing is exploded. The fingerprint reads ``hash@position`` for every choice; likeness is the
 Jaccard index of the chosen hashes (both empty: 1).
 
@@ -14,7 +18,7 @@ The query also needs the next document in descending doc_id order. Rows are deal
 (approximate quantiles, ``RANGES`` per shuffle partition); a range also gets a copy of the first row of the range
 that follows. So one shuffle carries each text once and no task sees more than a range.
 
-Edge cases: null text is empty, with 0 characters and an empty fingerprint; fewer than GRAM words are one gram,
+Edge cases: null text is empty, with 0 characters and an empty fingerprint; fewer than CHARS characters are one gram,
 fewer than WINDOW grams one window; null ids come last, equal ids are ordered by text hash and text; a single
 document follows itself; other columns are ignored.
 """
@@ -26,8 +30,10 @@ from pyspark.sql import functions as F
 
 from laborstar.llm._columns import BLANKS
 
-GRAM = 4
-WINDOW = 16
+GRAM = 2
+WINDOW = 2
+CHARS = 4
+UNBROKEN = 16
 PRIME = (1 << 31) - 1
 BASE = 1_103_515_245 % PRIME
 LAST = (1 << 31) - 1        # positions are stored as LAST - position, so that the least packed value is the rightmost
@@ -52,14 +58,14 @@ def _roll(factor: int):
     return lambda a, b: (a * F.lit(factor) + b) % F.lit(PRIME)
 
 
-def _grams(x: Column) -> Column:
-    """Rolling hashes of GRAM consecutive word hashes; of all words if they are fewer."""
+def _grams(x: Column, gram: int) -> Column:
+    """Rolling hashes of ``gram`` consecutive hashes; of all of them if they are fewer."""
     whole = F.array(F.xxhash64(x).bitwiseAND(F.lit(PRIME - 1)))
     rolled, power = x, 1
-    while power < GRAM:                                     # hashes of 1, 2, 4, ... words
+    while power < gram:                                     # hashes of 1, 2, 4, ... words
         rolled = _halves(rolled, power, _roll(pow(BASE, power, PRIME)))
         power *= 2
-    return F.when(F.size(x) >= GRAM, rolled).when(F.size(x) > 0, whole).otherwise(x)
+    return F.when(F.size(x) >= gram, rolled).when(F.size(x) > 0, whole).otherwise(x)
 
 
 def _choices(v: Column) -> Column:
@@ -71,12 +77,32 @@ def _choices(v: Column) -> Column:
     return F.when(F.size(v) >= WINDOW, F.array_distinct(least)).when(F.size(v) > 0, F.array(F.array_min(v))).otherwise(v)
 
 
+def _packed(units: Column, gram: int) -> Column:
+    x = F.transform(units, lambda w: F.xxhash64(w).bitwiseAND(F.lit(PRIME - 1)))
+    v = F.transform(let(x, lambda y: _grams(y, gram)), lambda h, i: h * F.lit(1 << 31) + (F.lit(LAST) - i))
+    return let(v, _choices)
+
+
+def _lower(text: Column) -> Column:
+    return F.lower(F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS)))
+
+
+def by_chars(text: Column) -> Column:
+    """The packed choices of a text by its code points."""
+    return _packed(F.array_remove(F.split(_lower(text), ""), ""), CHARS)
+
+
+def unbroken(text: Column) -> Column:
+    """Whether a text goes by its code points."""
+    text = _lower(text)
+    n = F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""))
+    return let(n, lambda n: (n < GRAM) | (F.char_length(text) > UNBROKEN * n))
+
+
 def packed(text: Column) -> Column:
     """The packed choices of a text, in text order."""
-    words = F.array_remove(F.split(F.lower(F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))), r"[\x20\x09-\x0D]+"), "")
-    x = F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(PRIME - 1)))
-    v = F.transform(let(x, _grams), lambda h, i: h * F.lit(1 << 31) + (F.lit(LAST) - i))
-    return let(v, _choices)
+    words = F.array_remove(F.split(_lower(text), r"[\x20\x09-\x0D]+"), "")
+    return F.when(unbroken(text), by_chars(text)).otherwise(_packed(words, GRAM))
 
 
 def hashes(choices: Column) -> Column:
@@ -94,6 +120,12 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1)).cast("double"))
 
 
+def alike(text: Column, choices: Column, other_text: Column, other: Column) -> Column:
+    """Likeness of two texts, given their choices."""
+    return F.when(unbroken(text) == unbroken(other_text), likeness(hashes(choices), hashes(other))).otherwise(
+        likeness(hashes(by_chars(text)), hashes(by_chars(other_text))))
+
+
 def with_next(docs: DataFrame, build) -> DataFrame:
     """Rows (doc_id, text, ...) with ``next``: the struct of the columns that ``build`` made for the next document."""
     n = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -105,10 +137,11 @@ def with_next(docs: DataFrame, build) -> DataFrame:
     down = Window.orderBy(F.col("part").desc())
     every = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     guests = heads.select("head", F.coalesce(F.lag("part").over(down), F.min("part").over(every)).alias("guest"))   # the first row follows the last range
-    rows = build(ranged.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")), "left")).drop("head")
+    rows = ranged.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")), "left").drop("head")
     places = F.array_compact(F.array(F.struct("part", F.lit(False).alias("guest")),
                                      F.when(F.col("guest").isNotNull(), F.struct(F.col("guest").alias("part"), F.lit(True).alias("guest")))))
     rows = rows.withColumn("place", F.explode(places)).drop("part", "guest").select("*", "place.part", "place.guest").drop("place")
+    rows = build(rows.repartition("part"))                  # after the shuffle, which carries texts only
     order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
     return rows.withColumn("next", F.lead(F.struct("text", "own")).over(order)).where(~F.col("guest")).drop("part", "guest")
 
@@ -120,9 +153,8 @@ def report(docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
-    rows = rows.withColumns({"n_chars": n.cast("long"), "edited": edited}).select("doc_id", "n_chars", "own", "edited", F.col("next.own").alias("next_own"))
-    rows = rows.withColumn("other", packed(F.col("edited")))
-    rows = rows.withColumns({"a": hashes(F.col("own")), "b": hashes(F.col("other")), "c": hashes(F.col("next_own"))})
+    rows = rows.withColumns({"n_chars": n.cast("long"), "edited": edited}).withColumn("other", packed(F.col("edited")))
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), readable(F.col("own")).alias("fingerprint"),
-                       readable(F.col("other")).alias("edited_fingerprint"), likeness(F.col("a"), F.col("b")).alias("near_edited"),
-                       likeness(F.col("a"), F.col("c")).alias("near_next"))
+                       readable(F.col("other")).alias("edited_fingerprint"),
+                       alike(F.col("text"), F.col("own"), F.col("edited"), F.col("other")).alias("near_edited"),
+                       alike(F.col("text"), F.col("own"), F.col("next.text"), F.col("next.own")).alias("near_next"))

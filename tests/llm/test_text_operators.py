@@ -136,6 +136,15 @@ def test_winnowing_guarantee(spark):
     assert all(a & b for a in chosen for b in chosen)
 
 
+def test_short_and_unspaced_texts_are_near_their_edit(spark):
+    """Half of the text is unchanged: texts from eight words on, and texts without blanks from ten characters on."""
+    texts = [" ".join(f"t{n}w{j}" for j in range(n)) for n in range(8, 50)]
+    texts += ["".join(chr(0x4E00 + 97 * n + j) for j in range(n)) for n in range(10, 40)] + ["https://example.org/a/path/of/some/length?id=7", "token" * 200]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["near_edited"] for r in fingerprint.report(cases.frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and not [texts[i] for i, x in got.items() if x <= 0]
+
+
 def test_single_and_no_document(spark):
     one = fingerprint.report(cases.frame(spark, [(5, "abcd", "en", "a", 4)])).collect()
     assert one[0]["edited_sha256"] == cases.sha("abab") and one[0]["near_next"] == 1.0
