@@ -1,11 +1,13 @@
-"""Substring dedup: repeats of at least ``SIZE`` words, found in suffix groups split by prefixes.
+"""Substring dedup: repeats of at least ``SIZE`` words, found by hashing windows in groups split by minimizers.
 
 A window is SIZE consecutive words of one document (words without ASCII white space). Every word that is
 covered by a window whose words also start in a document with a smaller doc_id is removed; windows are
 judged on the input.
 
 A suffix tree over all suffixes only matters here down to depth SIZE: its nodes at that depth are the
-distinct windows, and those reached from several documents are the repeats. The tree is never whole:
+distinct windows, and those reached from several documents are the repeats. No tree is built, no suffix is ordered
+and no maximal repeat comes out: equal windows are found by their hashes. A "prefix" below is a minimizer, a gram
+anywhere inside the window, and a "subtree" is a sort of window hashes:
 
 1. Suffixes are dealt by a prefix of ``PREFIX`` words. Only one in about twenty prefixes is sampled:
    of the PREFIX-word grams inside a window, the one with the least hash (its anchor), which depends on
