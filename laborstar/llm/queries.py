@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laborstar.llm import chat, decontam, fingerprint, langid, linededup, lm, mixing, quality, simhash, substring
+from laborstar.llm import chat, decontam, fingerprint, langid, linededup, lm, mixing, quality, repair, simhash, substring, toxicity, whitening
 
 # Records of an Arrow batch: texts may be long, so batches have few rows.
 ARROW_ROWS = "1000"
@@ -54,8 +54,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_benchmark_decontamination, op3_simhash_near_dedup,
-                                  op4_chat_formatting, op5_document_fingerprints, op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op9_lm_scoring, op10_line_dedup)}
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_benchmark_decontamination, op3_simhash_near_dedup, op4_chat_formatting, op5_document_fingerprints,
+    op6_substring_dedup, op7_source_mixing, op8_quality_classifier, op9_lm_scoring, op10_line_dedup, op11_embedding_whitening,
+    op12_conversation_repair, op13_toxicity)}
 
 
 def queries() -> dict:
