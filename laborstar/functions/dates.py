@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from laborstar.functions._util import as_col
-
 # Accepted date layouts (month before day, as the reference's
 # reader assumes).
 MONTH_YEAR, US_DATE, SLASH_DATE = "M/yyyy", "M/d/yyyy", "yyyy/M/d"
@@ -16,27 +14,34 @@ ISO_DATE, ISO_TIME, YEAR_MONTH = "yyyy-M-d[ HH:mm:ss]", "yyyy-M-d'T'HH:mm:ss", "
 DATE_PATTERNS = (MONTH_YEAR, ISO_DATE, US_DATE, ISO_TIME, SLASH_DATE, YEAR_MONTH)
 
 
-def coerce_date(c) -> Column:
-    """Text -> timestamp at midnight; unparsable -> NULL.
+def date_sql(x: str) -> str:
+    """C12 over SQL text.
 
     'MM/yyyy' (month precision) becomes the first of that month. The
     separators tell which layout a text can have, so every value is parsed
     at most once, and a text without separators not at all.
     """
-    s = as_col(c).cast("string")
-    first = F.substring_index(s, "/", 1)
+    def parsed(pattern: str) -> str:
+        quoted = pattern.replace("'", "''")
+        return f"try_to_timestamp({x}, '{quoted}')"
+
+    def count(sign: str) -> str:
+        return f"length({x}) - length(replace({x}, '{sign}', ''))"
+
+    return f"""CASE {count('/')} WHEN 1 THEN {parsed(MONTH_YEAR)}
+        WHEN 2 THEN CASE WHEN length(substring_index({x}, '/', 1)) >= 4 THEN {parsed(SLASH_DATE)} ELSE {parsed(US_DATE)} END
+        ELSE CASE WHEN {count('-')} = 1 THEN {parsed(YEAR_MONTH)}
+                  WHEN {count('-')} >= 2 THEN CASE WHEN contains({x}, 'T') THEN {parsed(ISO_TIME)} ELSE {parsed(ISO_DATE)} END END END"""
+
+
+def coerce_date(name: str) -> Column:
+    """Text -> timestamp at midnight; unparsable -> NULL."""
+    return F.expr(date_sql(f"CAST(`{name}` AS STRING)"))
 
-    def parsed(pattern: str) -> Column:
-        return F.try_to_timestamp(s, F.lit(pattern))
 
-    slashes = F.length(s) - F.length(F.replace(s, F.lit("/"), F.lit("")))
-    dashes = F.length(s) - F.length(F.replace(s, F.lit("-"), F.lit("")))
-    return (F.when(slashes == 1, parsed(MONTH_YEAR))
-            .when((slashes == 2) & (F.length(first) >= 4), parsed(SLASH_DATE))
-            .when(slashes == 2, parsed(US_DATE))
-            .when(dashes == 1, parsed(YEAR_MONTH))
-            .when((dashes >= 2) & s.contains("T"), parsed(ISO_TIME))
-            .when(dashes >= 2, parsed(ISO_DATE)))
+def load_date_sql(as_of: dt.date | str | None = None) -> str:
+    """C17 as SQL text."""
+    return "CAST(current_date() AS TIMESTAMP)" if as_of is None else f"CAST(DATE '{as_of}' AS TIMESTAMP)"
 
 
 def load_date(as_of: dt.date | str | None = None) -> Column:
@@ -44,6 +49,4 @@ def load_date(as_of: dt.date | str | None = None) -> Column:
 
     ``as_of`` pins it (tests, re-runs); otherwise the current date.
     """
-    if as_of is None:
-        return F.current_date().cast("timestamp")
-    return F.lit(str(as_of)).cast("date").cast("timestamp")
+    return F.expr(load_date_sql(as_of))

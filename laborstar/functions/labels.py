@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from laborstar.functions._util import as_col
-
 # Category code -> label of the education-by-wage report.
 # Code 10 has no label; any code without a label yields NULL.
 EDUCATION_LABELS = {
@@ -33,22 +31,20 @@ EDUCATION_LABELS_SHORT = {
 }
 
 
-def case_label(c, labels: dict, otherwise=None) -> Column:
-    """Simple CASE c WHEN k THEN v ... [ELSE otherwise] END."""
-    c = as_col(c)
-    expr = None
-    for code, label in labels.items():
-        expr = F.when(c == code, label) if expr is None else expr.when(c == code, label)
-    if otherwise is not None:
-        expr = expr.otherwise(otherwise)
-    return expr
+def case_label(name: str, labels: dict[int, str], otherwise: str | None = None) -> Column:
+    """Simple CASE name WHEN k THEN v ... [ELSE otherwise] END."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    whens = " ".join(f"WHEN {code} THEN {quoted(label)}" for code, label in labels.items())
+    return F.expr(f"CASE `{name}` {whens}{f' ELSE {quoted(otherwise)}' if otherwise is not None else ''} END")
 
 
-def education_label(c) -> Column:
+def education_label(name: str) -> Column:
     """Full label set, no ELSE (NULL for unlisted codes)."""
-    return case_label(c, EDUCATION_LABELS)
+    return case_label(name, EDUCATION_LABELS)
 
 
-def education_label_short(c) -> Column:
+def education_label_short(name: str) -> Column:
     """Five labels, everything else 'Other'."""
-    return case_label(c, EDUCATION_LABELS_SHORT, "Other")
+    return case_label(name, EDUCATION_LABELS_SHORT, "Other")

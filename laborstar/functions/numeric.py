@@ -28,26 +28,39 @@ _SNAP = "decimal(38,12)"
 _MAX_DECIMAL_EXPONENT = 308
 
 
-def coerce_numeric(c) -> Column:
+def parsed_sql(x: str) -> str:
+    """First half of C9 as SQL text over the SQL text ``x``: number-shaped text -> double, not yet known to be finite."""
+    scale = (f"TRY_CAST(regexp_extract({x}, r'[eE]([+-]?\\d+)', 1) AS DOUBLE) - length(regexp_extract({x}, r'\\.(\\d*)', 1))")
+    return (f"CASE WHEN {x} RLIKE r'{_NUMBER_SHAPE}' AND (NOT (contains({x}, 'e') OR contains({x}, 'E')) "
+            f"OR coalesce({scale} <= {_MAX_DECIMAL_EXPONENT}, false)) THEN TRY_CAST({x} AS DOUBLE) END")
+
+
+def finite_sql(v: str) -> str:
+    """Second half of C9: an overflow is missing."""
+    return f"CASE WHEN abs({v}) < double('Infinity') THEN {v} END"
+
+
+def text_of(name: str) -> str:
+    """SQL text of a column as a string."""
+    return f"CAST(`{name}` AS STRING)"
+
+
+def coerce_numeric(name: str) -> Column:
     """Text -> double; anything not shaped like a number -> NULL.
 
     Out-of-range text (an overflowing value, or an exponent beyond the
     reader's decimal range) is missing as well, never +/-Infinity.
     """
-    s = as_col(c).cast("string")
-    value = s.try_cast("double")
-    scale = (F.regexp_extract(s, r"[eE]([+-]?\d+)", 1).try_cast("double")
-             - F.length(F.regexp_extract(s, r"\.(\d*)", 1)))
-    in_range = F.when(s.contains("e") | s.contains("E"), F.coalesce(scale <= _MAX_DECIMAL_EXPONENT, F.lit(False)))
-    finite = F.abs(value) != F.lit(float("inf"))
-    return F.when(s.rlike(_NUMBER_SHAPE) & F.coalesce(in_range, F.lit(True)) & finite, value)
+    return F.expr(finite_sql(parsed_sql(text_of(name))))
 
 
-def clip(x, lo: float, hi: float) -> Column:
-    """Clamp to [lo, hi]; a missing value stays missing.
+def clip_sql(x: str, lo: float, hi: float) -> str:
+    """C10 over SQL text. ``least``/``greatest`` skip NULLs, so the guard is required."""
+    return f"CASE WHEN {x} IS NOT NULL THEN least(greatest({x}, {float(lo)}D), {float(hi)}D) END"
 
-    ``least``/``greatest`` skip NULLs, so the guard is required.
-    """
+
+def clip(x, lo: float, hi: float) -> Column:
+    """Clamp to [lo, hi]; a missing value stays missing."""
     x = as_col(x)
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi))))
 
@@ -57,12 +70,14 @@ def round_value(x, digits: int = 2) -> Column:
     return F.bround(as_col(x), digits)
 
 
-def coerce_int(c, default: int | None = None) -> Column:
+def int_sql(v: str, default: int | None = None) -> str:
+    """C13 over the SQL text of a number."""
+    return f"TRY_CAST({v if default is None else f'coalesce({v}, {float(default)}D)'} AS INT)"
+
+
+def coerce_int(name: str, default: int | None = None) -> Column:
     """Number -> int, truncating toward zero; bad -> ``default`` (NULL); too large -> NULL."""
-    value = coerce_numeric(c)
-    if default is not None:
-        value = F.coalesce(value, F.lit(float(default)))
-    return value.try_cast("int")
+    return F.expr(int_sql(finite_sql(parsed_sql(text_of(name))), default))
 
 
 def sql_round(x, digits: int) -> Column:

@@ -24,6 +24,21 @@ _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 _CASED_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
 
 
+def strip_sql(x: str) -> str:
+    """C1 over SQL text."""
+    return f"trim(BOTH '{BLANKS}' FROM {x})"
+
+
+def title_sql(x: str) -> str:
+    """C4 over SQL text."""
+    return f"array_join(transform(regexp_extract_all({x}, r'{_CASED_RUNS}', 1), w -> initcap(w)), '')"
+
+
+def soc_sql(x: str) -> str:
+    """C3 over SQL text."""
+    return f"upper({strip_sql(x)})"
+
+
 def strip_text(c) -> Column:
     """Remove leading and trailing whitespace of any kind.
 

@@ -1,8 +1,9 @@
-"""Load audit: columns and rows read, rows dropped, malformed and loaded per table.
+"""Load audit: columns and rows read, rows dropped, malformed and loaded per table, and values lost to coercion.
 
-Two forms: ``load_audit``, a table of aggregates over the staged frames, and
-``measure``, the row of one load for the file pipeline, which stops at
-malformed rows before it writes.
+A value is lost where a row that is loaded had a text for a column and no
+value came of it (``#`` for a wage, ``unknown`` for a date). Two forms:
+``load_audit`` and ``load_losses``, tables of aggregates over the staged
+frames, and ``watched``, which counts the same while a load writes.
 """
 
 from __future__ import annotations
@@ -13,19 +14,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from laborstar.operators.transforms import DEFAULT_WAGE_YEAR, KEEP, TABLE_SPECS, TableSpec
-from laborstar.sources.files import MALFORMED
+from laborstar.operators.headers import MALFORMED
+from laborstar.operators.transforms import DEFAULT_WAGE_YEAR, KEEP, LOST, TABLE_SPECS, TableSpec
 
-
-def _audit_row(table: str, raw: DataFrame, staged: DataFrame) -> DataFrame:
-    counted = staged.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(~F.col(KEEP)).alias("rows_dropped"),
-        F.count_if(F.col(KEEP)).alias("rows_out"),
-    )
-    bad = raw.agg(F.count_if(MALFORMED).alias("n")).first()["n"] if MALFORMED in raw.columns else 0
-    return counted.select(F.lit(table).alias("table"), F.lit(len(columns(raw))).alias("columns_in"),
-                          "rows_in", F.lit(bad).cast("bigint").alias("rows_malformed"), "rows_dropped", "rows_out")
+AUDIT_SCHEMA = ("table string, columns_in int, rows_in bigint, rows_malformed bigint, rows_dropped bigint, rows_out bigint, "
+                "values_lost bigint")
+LOSS_SCHEMA = "table string, column string, texts bigint, lost bigint"
 
 
 def columns(raw: DataFrame) -> list[str]:
@@ -33,22 +27,65 @@ def columns(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c != MALFORMED]
 
 
+def counters(staged: DataFrame) -> dict[str, str]:
+    """Aggregates of the staged rows as SQL texts: rows, and per coerced column the texts and the losses of loaded rows."""
+    found = {"rows_in": "count(1)", "rows_out": f"count_if({KEEP})", "rows_malformed": f"count_if({MALFORMED})"}
+    lost = staged.schema[LOST].dataType
+    for column in lost.fieldNames():
+        for what in ("texts", "lost"):
+            found[f"{what}_{column}"] = f"count_if({KEEP} AND {LOST}.`{column}`.{what})"
+    return found
+
+
+def _counted(spec: TableSpec, raw: DataFrame, as_of=None) -> DataFrame:
+    """One row of counters of a raw frame, from one pass."""
+    staged = spec.staged(raw, as_of)
+    counted = staged.selectExpr(*[f"{text} AS `{name}`" for name, text in counters(staged).items()])
+    return counted.selectExpr(f"'{spec.table}' AS table", f"{len(columns(raw))} AS columns_in", "*")
+
+
 def load_audit(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
-    """(table, columns_in, rows_in, rows_malformed, rows_dropped, rows_out) for the six warehouse tables."""
-    parts = [_audit_row(spec.table, raw[spec.source], spec.staged(raw[spec.source], as_of))
-             for spec in TABLE_SPECS]
+    """(table, columns_in, rows_in, rows_malformed, rows_dropped, rows_out, values_lost) for the six warehouse tables."""
+    parts = []
+    for spec in TABLE_SPECS:
+        one = _counted(spec, raw[spec.source], as_of)
+        lost = " + ".join(["0L", *[f"`{c}`" for c in one.columns if c.startswith("lost_")]])
+        parts.append(one.selectExpr("table", "columns_in", "rows_in", "rows_malformed", "rows_in - rows_out AS rows_dropped", "rows_out", f"{lost} AS values_lost"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_losses(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
+    """(table, column, texts, lost) for every coerced column of the warehouse tables: texts of loaded rows, and those without a value."""
+    parts = []
+    for spec in TABLE_SPECS:
+        one = _counted(spec, raw[spec.source], as_of)
+        rows = ", ".join(f"named_struct('column', '{c[6:]}', 'texts', `{c}`, 'lost', `lost_{c[6:]}`)" for c in one.columns if c.startswith("texts_"))
+        if rows:
+            parts.append(one.selectExpr("table", f"inline(array({rows}))"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def measure(spec: TableSpec, raw: DataFrame, as_of=None, wage_year: int = DEFAULT_WAGE_YEAR) -> tuple[str, int, int, int, int, int]:
-    """The audit row of one load, from one pass over the raw file before anything is written.
+class Watched:
+    """The staged frame of one load, and its counters once an action has run over it.
 
-    The malformed rows are observed below the staging in the same job. (The
-    write itself is no place to observe: its range partitioning samples the
-    input in a job of its own and would count rows twice.)
+    Rows are counted where they are written, so a raw file is read once.
     """
-    read = Observation(f"read_{spec.table}_{uuid.uuid4().hex[:12]}")       # unique, so concurrent loads never share it
-    flag = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(False)
-    watched = raw.observe(read, F.count_if(flag).alias("rows_malformed")).drop(MALFORMED)
-    m = spec.staged(watched, as_of, wage_year).agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(KEEP).alias("rows_out")).first()
-    return (spec.table, len(columns(raw)), m["rows_in"], int(read.get["rows_malformed"]), m["rows_in"] - m["rows_out"], m["rows_out"])
+
+    def __init__(self, spec: TableSpec, raw: DataFrame, as_of=None, wage_year: int = DEFAULT_WAGE_YEAR):
+        self._columns, self._made = len(columns(raw)), Observation(f"load_{uuid.uuid4().hex[:12]}")    # unique: loads run side by side
+        staged = spec.staged(raw, as_of, wage_year)
+        self.rows = staged.observe(self._made, *[F.expr(text).alias(n) for n, text in counters(staged).items()])
+
+    def audit(self) -> dict[str, int]:
+        return {"columns_in": self._columns, **{k: int(v) for k, v in self._made.get.items()}}
+
+
+def audit_rows(audits: dict[str, dict[str, int]]) -> list[tuple]:
+    """Rows of AUDIT_SCHEMA from counters by table."""
+    return [(t, a["columns_in"], a["rows_in"], a["rows_malformed"], a["rows_in"] - a["rows_out"], a["rows_out"],
+             sum(v for k, v in a.items() if k.startswith("lost_"))) for t, a in audits.items()]
+
+
+def loss_rows(audits: dict[str, dict[str, int]]) -> list[tuple]:
+    """Rows of LOSS_SCHEMA from counters by table."""
+    return [(t, k[6:], v, a[f"lost_{k[6:]}"]) for t, a in audits.items() for k, v in a.items() if k.startswith("texts_")]

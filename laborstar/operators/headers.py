@@ -22,6 +22,11 @@ WAGE_NAMES = {
     "h_median": "hourly_median_wage",
 }
 
+# Raw frames of delimited files carry this flag: the row has more fields
+# than the header, so a reader that drops the surplus would damage it. It is
+# not a column of the file, and the header rules leave it as it is.
+MALFORMED = "_malformed"
+
 _NON_ALNUM = re.compile(r"[^a-z0-9]+")
 
 
@@ -41,7 +46,7 @@ def _rename_all(df: DataFrame, new_names: list[str]) -> DataFrame:
 
 def normalize_headers(df: DataFrame) -> DataFrame:
     """P1 + P2: normalised, canonical column names; fails on a collision."""
-    names = [normalize_name(c) for c in df.columns]
+    names = [c if c == MALFORMED else normalize_name(c) for c in df.columns]
     names = [CANONICAL_NAMES.get(n, n) for n in names]
     return _rename_all(df, names)
 

@@ -116,6 +116,55 @@ def validation_report(dim: DataFrame, skills: DataFrame, knowledge: DataFrame,
     return reduce(DataFrame.unionByName, parts).orderBy("check")
 
 
+# Declared keys and references ------------------------------------------------------
+# The declared key of a table, or the grain its rows are documented to have.
+KEYS = {
+    "dim_occupation": ("onetsoc_code",),
+    "dim_skill_element": ("element_id",),
+    "fact_skills": ("onetsoc_code", "element_id", "scale_id"),
+    "fact_knowledge": ("onetsoc_code", "element_id", "scale_id"),
+    "fact_education": ("onetsoc_code", "element_id", "scale_id", "category"),
+    "fact_tasks": ("onetsoc_code", "task_id"),
+}
+
+
+def _as_report(counts: DataFrame, names: list[str]) -> DataFrame:
+    """One row of counts -> rows (check, violations, passed)."""
+    rows = ", ".join(f"named_struct('check', '{n}', 'violations', coalesce(`{n}`, 0L), 'passed', coalesce(`{n}`, 0L) = 0)" for n in names)
+    return counts.selectExpr(f"inline(array({rows}))")
+
+
+def orphans(dim: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+    """Rows of every fact whose code has no occupation (a NULL code has none): one check per fact.
+
+    All tables are reduced to (code, rows per table) in one grouped aggregate, combined map-side: one
+    shuffle for any number of facts, a hot code is one row a task, and nothing is joined.
+    """
+    parts = [dim.selectExpr(CODE, "-1 AS t")] + [f.selectExpr(CODE, f"{i} AS t") for i, f in enumerate(facts.values())]
+    counted = [f"count_if(t = {i}) AS n{i}" for i in range(len(facts))]
+    per_code = (reduce(DataFrame.unionAll, parts).groupBy(CODE)
+                .agg(F.expr(f"count_if(t = -1 AND {CODE} IS NOT NULL) AS known"), *[F.expr(c) for c in counted]))
+    names = [f"orphans_{name}" for name in facts]
+    lost = per_code.where("known = 0").agg(*[F.expr(f"sum(n{i}) AS `{name}`") for i, name in enumerate(names)])
+    return _as_report(lost, names)
+
+
+def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows beyond the first of their key, per table with a declared key or grain; a NULL is a key like any other.
+
+    All tables go through one grouped aggregate of (table, key columns), combined map-side.
+    """
+    found = {t: df for t, df in tables.items() if t in KEYS}
+    width = max(len(KEYS[t]) for t in found)
+    parts = []
+    for i, (t, df) in enumerate(found.items()):
+        keys = [*KEYS[t], *[None] * (width - len(KEYS[t]))]
+        parts.append(df.selectExpr(f"{i} AS t", *[f"CAST({f'`{k}`' if k else 'NULL'} AS STRING) AS k{j}" for j, k in enumerate(keys)]))
+    per_key = reduce(DataFrame.unionAll, parts).groupBy("t", *[f"k{j}" for j in range(width)]).agg(F.expr("count(1) - 1 AS more"))
+    names = [f"unique_{t}" for t in found]
+    return _as_report(per_key.agg(*[F.expr(f"sum(CASE WHEN t = {i} THEN more END) AS `{name}`") for i, name in enumerate(names)]), names)
+
+
 # Staging checks ------------------------------------------------------------------
 # After cleaning, V1, V3 and V4 are zero by construction. The same checks run
 # on *staging* frames - headers normalised and numbers coerced, nothing

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborstar import functions as fn
-from laborstar.operators import cleaning, headers, releases
+from laborstar.operators import cleaning, headers, history, releases
 from laborstar.operators import transforms as T
 from laborstar.operators import validation as V
-from laborstar.operators.audit import load_audit
+from laborstar.operators.audit import load_audit, load_losses
 from laborstar.plans import marts
 from laborstar.sources import fixtures as fx
 from laborstar.sources.fixtures import Warehouse
+from laborstar.sources.warehouse import (StoredWarehouse, changed_shelves, publish, replace_shelves, shared_folder, write_table)
 
 # Occupation code of the profile query (Q6) that exists in the fixtures at
 # every scale (FIXTURES.md section 3); the published default is not there.
@@ -379,6 +380,11 @@ def k_load_audit(spark, sf_dir):
     return load_audit(Warehouse.of(spark, sf_dir).raw, as_of="2024-01-01")
 
 
+@register("load_losses")
+def k_load_losses(spark, sf_dir):
+    return load_losses(Warehouse.of(spark, sf_dir).raw, as_of="2024-01-01")
+
+
 # Releases and dimensions over all facts ---------------------------
 
 @register("snapshot_diff")
@@ -400,3 +406,60 @@ def k_dim_scale(spark, sf_dir):
 def k_dim_element(spark, sf_dir):
     w = Warehouse.of(spark, sf_dir)
     return releases.dim_element(skills=w.fact_skills, knowledge=w.fact_knowledge, education=w.fact_education)
+
+
+def _release(spark, sf_dir, n: int) -> DataFrame:
+    """The cleaned occupations of one release."""
+    return T.transform_occupations(fx.occupation_release(spark, sf_dir, n))
+
+
+@register("release_diff")
+def k_release_diff(spark, sf_dir):
+    return releases.snapshot_diff(_release(spark, sf_dir, 1), _release(spark, sf_dir, 2), ["onetsoc_code"])
+
+
+@register("change_load")
+def k_change_load(spark, sf_dir):
+    """The stored occupations after a load of release 2 that rewrote only the shelves whose codes changed since release 1."""
+    root = shared_folder(spark, "change-load")
+    first = write_table(_release(spark, sf_dir, 1), root, "dim_occupation", rows_per_shelf=2_000)
+    old, new = StoredWarehouse(spark, root).dim_occupation, _release(spark, sf_dir, 2)
+    hit = changed_shelves(first, releases.snapshot_diff(old, new, ["onetsoc_code"]))
+    publish(spark, root, {"dim_occupation": replace_shelves(new, root, first, hit)})
+    return StoredWarehouse(spark, root).dim_occupation
+
+
+def _history(spark, sf_dir) -> DataFrame:
+    return history.history({day: _release(spark, sf_dir, n) for day, n in fx.RELEASES.items()})
+
+
+@register("history_occupations")
+def k_history(spark, sf_dir):
+    return _history(spark, sf_dir)
+
+
+@register("as_of_occupations")
+def k_as_of(spark, sf_dir):
+    return history.as_of(_history(spark, sf_dir), "2022-06-30")
+
+
+@register("history_changes")
+def k_history_changes(spark, sf_dir):
+    return history.changes(_history(spark, sf_dir), "onetsoc_code")
+
+
+# Declared keys and references over all tables ---------------------------------------
+
+FACTS = ("fact_skills", "fact_knowledge", "fact_education", "fact_tasks", "fact_wages")
+
+
+@register("v_orphans_all")
+def k_orphans(spark, sf_dir):
+    w = Warehouse.of(spark, sf_dir)
+    return V.orphans(w.dim_occupation, {f: getattr(w, f) for f in FACTS})
+
+
+@register("v_unique_keys")
+def k_unique_keys(spark, sf_dir):
+    w = Warehouse.of(spark, sf_dir)
+    return V.unique_keys({t: getattr(w, t) for t in V.KEYS if t != "dim_skill_element"} | {"dim_skill_element": T.dim_skill_element(w.fact_skills)})

@@ -16,14 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborstar.operators.cleaning import null_tokens
+from laborstar.operators.headers import MALFORMED
 
 # Extensions tried for a logical file name, in order of
 # preference. A spreadsheet is recognised but not read.
 EXTENSIONS = (".csv", ".xlsx", ".txt", ".parquet")
 UNSUPPORTED = (".xlsx",)
-# Raw frames of delimited files carry this flag: the row has more fields
-# than the header, so a reader that drops the surplus would damage it.
-MALFORMED = "_malformed"
 _RECORD = "_record"
 
 
@@ -66,6 +64,13 @@ def resolve(spark: SparkSession, raw_dir: str, name: str) -> str:
     raise RawFileNotFound(f"could not find {base} ({', '.join(EXTENSIONS)}) in {root}; tried {tried}")
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """What tells a raw file (or folder of files) from a changed one: names, lengths and modification times, not contents."""
+    listed = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    found = listed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h")).first()
+    return f"{path}|{found['n']}|{found['h']}"
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The header line of a file, without a byte-order mark."""
     first = spark.read.text(path).limit(1).collect()

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from laborstar.operators import transforms as T
 
@@ -42,136 +41,98 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _base_code(key: str) -> str:
+    """'GG-DDDD': 22 major groups 11..53 (odd), four digits 1000..9999."""
+    return f"concat(CAST(11 + 2 * ({key} % 22) AS STRING), '-', CAST(1000 + {key} % 9000 AS STRING))"
 
 
-def _two_digits(c: Column) -> Column:
-    return F.lpad(_s(c), 2, "0")
+def _code(key: str) -> str:
+    """Base code plus the '.01' suffix on every tenth key, else '.00'."""
+    return f"concat({_base_code(key)}, CASE WHEN {key} % 10 = 8 THEN '.01' ELSE '.00' END)"
 
 
-def _base_code(key: Column) -> Column:
-    """'GG-DDDD': 22 major groups 11..53 (odd), four digits 1000..9999."""
-    return F.concat(_s(F.lit(11) + F.lit(2) * (key % 22)), F.lit("-"), _s(F.lit(1000) + key % 9000))
+def _month_year(day: str) -> str:
+    return f"concat(lpad(CAST(month({day}) AS STRING), 2, '0'), '/', CAST(year({day}) AS STRING))"
 
 
-def _code(key: Column) -> Column:
-    """Base code plus the '.01' suffix on every tenth key, else '.00'."""
-    return F.concat(_base_code(key), F.when(key % 10 == 8, ".01").otherwise(".00"))
+def _cents(key: str) -> str:
+    """'.' followed by key % 100 as two digits."""
+    return f"'.', lpad(CAST({key} % 100 AS STRING), 2, '0')"
+
+
+def _whole(x: str) -> str:
+    return f"CAST(CAST(floor({x}) AS BIGINT) AS STRING)"
+
+
+# Logical raw file name -> driver table and its raw columns, as SQL texts (one call into Spark per table).
+RAW_COLUMNS = {
+    "occupation_data": ("part", {
+        CODE_HEADER: f"CASE WHEN p_partkey % 50 = 49 THEN NULL WHEN p_partkey % 7 = 0 THEN concat('  ', {_code('p_partkey')}, ' ') ELSE {_code('p_partkey')} END",
+        "Title": "CASE WHEN p_partkey % 41 = 40 THEN NULL ELSE concat(' ', p_name, '-', p_type, ' (', lower(p_brand), ') ') END",
+        "Description": "CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE concat(' size ', CAST(p_size AS STRING), ' ') END",
+    }),
+    "skills": ("lineitem", {
+        CODE_HEADER: _code("l_partkey"),
+        "Element ID": "CASE WHEN l_orderkey % 101 = 100 THEN NULL ELSE concat('2.A.', CAST(l_linenumber AS STRING)) END",
+        "Element Name": " ".join(["CASE l_linenumber", *[f"WHEN {n} THEN '{name}'" for n, name in SKILL_NAMES.items()],
+                                  "ELSE concat('Skill ', CAST(l_linenumber AS STRING)) END"]),
+        "Scale ID": "CASE l_returnflag WHEN 'A' THEN ' im' WHEN 'N' THEN 'IM' ELSE 'Lv ' END",
+        "Data Value": "CASE WHEN l_orderkey % 97 = 0 THEN 'n/a' WHEN l_orderkey % 89 = 0 THEN '9.50' WHEN l_orderkey % 83 = 0 THEN '-1.00' "
+                      f"ELSE concat(CAST(CAST(l_quantity AS INT) % 7 AS STRING), {_cents('l_orderkey')}) END",
+        "Date": f"CASE WHEN l_orderkey % 61 = 0 THEN 'unknown' ELSE {_month_year('l_shipdate')} END",
+    }),
+    "knowledge": ("orders", {
+        CODE_HEADER: _code("o_custkey"),
+        "Element ID": "concat('2.C.', substring(o_orderpriority, 1, 1))",
+        "Element Name": "substring(o_orderpriority, 3, 20)",
+        "Scale ID": "CASE o_orderstatus WHEN 'P' THEN 'lv' ELSE 'IM' END",
+        "Data Value": f"concat(CAST(CAST(floor(o_totalprice) AS BIGINT) % 9 AS STRING), {_cents('o_orderkey')})",
+        "Date": _month_year("o_orderdate"),
+    }),
+    "education_training_experience": ("events", {
+        CODE_HEADER: _code("user_id"),
+        "Element ID": "'2.D.1'",
+        "Element Name": "CASE WHEN event_type = 'view' THEN 'On-Site Training' ELSE 'Required Level of Education' END",
+        "Scale ID": "' rl'",
+        "Category": "CASE WHEN event_id % 29 = 0 THEN 'n/a' ELSE CAST(event_id % 13 AS STRING) END",
+        "Data Value": f"concat({_whole('value')}, {_cents('event_id')})",
+    }),
+    "task_statements": ("conversations", {
+        CODE_HEADER: _code("conv_id"),
+        "Task ID": "conv_id * 100 + turn",
+        "Task": "CASE WHEN conv_id % 23 = 22 THEN NULL ELSE concat('  ', text, ' ') END",
+        "Task Type": "CASE role WHEN 'user' THEN 'Core' WHEN 'assistant' THEN 'Supplemental' END",
+        "Incumbents Responding": "CASE WHEN turn % 3 = 2 THEN 'n/a' ELSE CAST(conv_id + turn AS STRING) END",
+    }),
+    "wages": ("customer", {
+        "OCC_CODE": f"CASE WHEN c_custkey % 67 = 66 THEN NULL ELSE {_base_code('c_custkey')} END",
+        "AREA_TYPE": "CASE WHEN c_nationkey % 5 = 4 THEN 2 ELSE 1 END",
+        "A_MEDIAN": f"CASE WHEN c_custkey % 37 = 0 THEN '#' WHEN c_custkey % 31 = 0 THEN '*' ELSE {_whole('c_acctbal * 20')} END",
+        "A_PCT10": f"CASE WHEN c_custkey % 11 = 0 THEN '*' ELSE {_whole('c_acctbal * 10')} END",
+        "A_PCT90": f"CASE WHEN c_acctbal > 8000 THEN '#' ELSE {_whole('c_acctbal * 40')} END",
+        "H_MEDIAN": f"CASE WHEN c_custkey % 37 = 0 THEN '#' ELSE concat(CAST(CAST(floor(c_acctbal) AS BIGINT) % 120 AS STRING), {_cents('c_custkey')}) END",
+    }),
+}
 
 
-def _month_year(ts: Column) -> Column:
-    return F.concat(_two_digits(F.month(ts)), F.lit("/"), _s(F.year(ts)))
+def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw table over the driver's table."""
+    source, columns = RAW_COLUMNS[name]
+    return read_table(spark, sf_dir, source).selectExpr(*[f"{text} AS `{c}`" for c, text in columns.items()])
 
 
-def _null_when(cond: Column, value: Column) -> Column:
-    """CASE WHEN cond THEN NULL ELSE value END (a NULL condition keeps the value)."""
-    return F.when(cond, F.lit(None).cast("string")).otherwise(value)
+# Releases of the occupations, for what compares releases: day -> number.
+RELEASES = {"2021-01-01": 1, "2022-01-01": 2, "2023-01-01": 3}
 
 
-def _cents(key: Column) -> Column:
-    """'.' followed by key % 100 as two digits."""
-    return F.concat(F.lit("."), _two_digits(key % 100))
-
-
-def raw_occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    code = (F.when(k % 50 == 49, F.lit(None).cast("string"))
-            .when(k % 7 == 0, F.concat(F.lit("  "), _code(k), F.lit(" ")))
-            .otherwise(_code(k)))
-    title = _null_when(k % 41 == 40, F.concat(
-        F.lit(" "), F.col("p_name"), F.lit("-"), F.col("p_type"),
-        F.lit(" ("), F.lower("p_brand"), F.lit(") ")))
-    description = _null_when(k % 5 == 0, F.concat(F.lit(" size "), _s(F.col("p_size")), F.lit(" ")))
-    return p.select(code.alias(CODE_HEADER), title.alias("Title"), description.alias("Description"))
-
-
-def raw_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    name = F.concat(F.lit("Skill "), _s(ln))
-    for line, label in SKILL_NAMES.items():
-        name = F.when(ln == line, label).otherwise(name)
-    flag = F.col("l_returnflag")
-    scale = F.when(flag == "A", " im").when(flag == "N", "IM").otherwise("Lv ")
-    value = (F.when(ok % 97 == 0, "n/a").when(ok % 89 == 0, "9.50").when(ok % 83 == 0, "-1.00")
-             .otherwise(F.concat(_s(F.col("l_quantity").cast("int") % 7), _cents(ok))))
-    date = F.when(ok % 61 == 0, "unknown").otherwise(_month_year(F.col("l_shipdate")))
-    return li.select(
-        _code(F.col("l_partkey")).alias(CODE_HEADER),
-        _null_when(ok % 101 == 100, F.concat(F.lit("2.A."), _s(ln))).alias("Element ID"),
-        name.alias("Element Name"),
-        scale.alias("Scale ID"),
-        value.alias("Data Value"),
-        date.alias("Date"),
-    )
-
-
-def raw_knowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    prio = F.col("o_orderpriority")
-    return o.select(
-        _code(F.col("o_custkey")).alias(CODE_HEADER),
-        F.concat(F.lit("2.C."), F.substring(prio, 1, 1)).alias("Element ID"),
-        F.substring(prio, 3, 20).alias("Element Name"),
-        F.when(F.col("o_orderstatus") == "P", "lv").otherwise("IM").alias("Scale ID"),
-        F.concat(_s(F.floor("o_totalprice").cast("bigint") % 9), _cents(F.col("o_orderkey"))).alias("Data Value"),
-        _month_year(F.col("o_orderdate")).alias("Date"),
-    )
-
-
-def raw_education(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    name = F.when(F.col("event_type") == "view", "On-Site Training").otherwise("Required Level of Education")
-    return e.select(
-        _code(F.col("user_id")).alias(CODE_HEADER),
-        F.lit("2.D.1").alias("Element ID"),
-        name.alias("Element Name"),
-        F.lit(" rl").alias("Scale ID"),
-        F.when(eid % 29 == 0, "n/a").otherwise(_s(eid % 13)).alias("Category"),
-        F.concat(_s(F.floor("value").cast("bigint")), _cents(eid)).alias("Data Value"),
-    )
-
-
-def raw_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "conversations")
-    cid, turn, role = F.col("conv_id"), F.col("turn"), F.col("role")
-    return c.select(
-        _code(cid).alias(CODE_HEADER),
-        (cid * 100 + turn).alias("Task ID"),
-        _null_when(cid % 23 == 22, F.concat(F.lit("  "), F.col("text"), F.lit(" "))).alias("Task"),
-        F.when(role == "user", "Core").when(role == "assistant", "Supplemental").alias("Task Type"),
-        F.when(turn % 3 == 2, "n/a").otherwise(_s(cid + turn)).alias("Incumbents Responding"),
-    )
-
-
-def raw_wages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cu = read_table(spark, sf_dir, "customer")
-    ck, bal = F.col("c_custkey"), F.col("c_acctbal")
-
-    def whole(x: Column) -> Column:
-        return _s(F.floor(x).cast("bigint"))
-
-    return cu.select(
-        _null_when(ck % 67 == 66, _base_code(ck)).alias("OCC_CODE"),
-        F.when(F.col("c_nationkey") % 5 == 4, 2).otherwise(1).alias("AREA_TYPE"),
-        F.when(ck % 37 == 0, "#").when(ck % 31 == 0, "*").otherwise(whole(bal * 20)).alias("A_MEDIAN"),
-        F.when(ck % 11 == 0, "*").otherwise(whole(bal * 10)).alias("A_PCT10"),
-        F.when(bal > 8000, "#").otherwise(whole(bal * 40)).alias("A_PCT90"),
-        F.when(ck % 37 == 0, "#").otherwise(F.concat(_s(F.floor(bal).cast("bigint") % 120), _cents(ck))).alias("H_MEDIAN"),
-    )
-
-
-RAW_BUILDERS = {
-    "occupation_data": raw_occupation,
-    "skills": raw_skills,
-    "knowledge": raw_knowledge,
-    "education_training_experience": raw_education,
-    "task_statements": raw_tasks,
-    "wages": raw_wages,
-}
+def occupation_release(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The raw occupations of release n: some are missing, some titles change for good, some descriptions for one release only."""
+    source, columns = RAW_COLUMNS["occupation_data"]
+    title, description = columns["Title"], columns["Description"]
+    return read_table(spark, sf_dir, source).where(f"p_partkey % 13 <> {n}").selectExpr(
+        f"{columns[CODE_HEADER]} AS `{CODE_HEADER}`",
+        f"CASE WHEN p_partkey % 17 = 3 AND {n} >= 2 THEN concat({title}, ' ii') ELSE {title} END AS `Title`",
+        f"CASE WHEN p_partkey % 19 = 5 AND {n} = 2 THEN 'under review' WHEN p_partkey % 23 < {n} THEN 'edition {n}' ELSE {description} END AS `Description`")
 
 
 class _LazyRaw(dict):
@@ -182,7 +143,7 @@ class _LazyRaw(dict):
         self._spark, self._sf_dir = spark, sf_dir
 
     def __missing__(self, name: str) -> DataFrame:
-        df = self[name] = RAW_BUILDERS[name](self._spark, self._sf_dir)
+        df = self[name] = raw_frame(self._spark, self._sf_dir, name)
         return df
 
 

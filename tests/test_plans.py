@@ -103,7 +103,7 @@ def test_stored_files_hold_disjoint_ranges(spark, scratch):
     import pyarrow.parquet as pq
     from pyspark.sql import functions as F
     from laborstar import schemas
-    from laborstar.sources.warehouse import table_path
+    from laborstar.sources.warehouse import table_paths
 
     hot = F.when(F.col("id") % 3 == 0, F.lit("15-0500.00")).otherwise(F.format_string("15-%04d.00", F.col("id") % 1000))
     facts = (spark.range(30_000).select(hot.alias("onetsoc_code"), F.format_string("e%05d", F.col("id")).alias("element_id"))
@@ -113,10 +113,10 @@ def test_stored_files_hold_disjoint_ranges(spark, scratch):
     conf = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(conf, "false")
     try:
-        write_table(facts, os.path.join(scratch, "wh"), "fact_skills")
+        entry = write_table(facts, os.path.join(scratch, "wh"), "fact_skills")
     finally:
         spark.conf.set(conf, "true")
-    folder = table_path(spark, os.path.join(scratch, "wh"), "fact_skills")
+    (folder,) = table_paths(os.path.join(scratch, "wh"), entry)
     spans = []
     for name in os.listdir(folder):
         if name.endswith(".parquet"):
