@@ -106,6 +106,8 @@ def load_entries(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir:
         elements = T.dim_skill_element(read_entry(spark, run.root, entries["fact_skills"]))
         entries["dim_skill_element"] = Entry("dim_skill_element", (), write_shelves(elements, run.root, "dim_skill_element"))
         written["dim_skill_element"] = [0]
+    else:
+        entries["dim_skill_element"], written["dim_skill_element"] = run.old["dim_skill_element"], []
     if any(written.values()):
         publish(spark, run.root, entries)                       # only after all were written
     return entries, written
