@@ -11,16 +11,18 @@ sum of the conditional log-probabilities scores the text.
 * Network: hidden = tanh(sum over places of an embedding per place and symbol + bias); a softmax over ``CLASSES``
   classes of symbols; inside a class a symbol has its corpus frequency (plus one). Classes have about
   equal shares of the square roots of the counts, so P(symbol | both sides) sums to one.
-* Training: ``EPOCHS`` rounds over all documents. In a round every partition runs minibatch Adagrad in numpy over its
+* Training: ``EPOCHS`` round over all documents. In a round every partition runs minibatch Adagrad in numpy over its
   texts, from the network of the round before; every parameter row becomes the mean of the partitions' rows,
-  weighted by how many words of a partition used it. Scoring covers every word of every text, in pieces of bounded size.
+  weighted by how many words of a partition used it. A minibatch takes every k-th word of many texts, so it never sees one text
+  alone and needs no permutation. Scoring covers every word of every text, in pieces of bounded size.
 
 The driver holds the symbol counts (VOCAB + RARE rows) and the network (its size is fixed), which are broadcast; a
 partition sends the rows it used, so at most one network.
 
 Edge cases: null and empty texts have 0 words, log_prob 0 and mean 0; an empty table trains nothing and
 returns no rows; ties in counts go to the smaller hash; repeated rows are scored alike; other columns are ignored;
-the network depends a little on how the input is split into partitions.
+the network depends a little on how the input is split into partitions, and messages are added up in the order of these, so
+a run over the same partitions agrees to the last bit.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +46,12 @@ RARE = 4_096
 CLASSES = 64
 SIDE = 2
 HIDDEN = 32
-EPOCHS = 2
-BATCH = 4_096
-RATE = 0.02
-PIECE = 1 << 12
+EPOCHS = 1
+BATCH = 16_384
+RATE = 0.1
+PIECE = 1 << 14
+TEXTS = 1_000             # texts whose words a task deals into minibatches at once
+BYTES = 1 << 23           # or fewer, if they are longer than so many bytes together
 ROWS = 256                # embeddings of a message between the partitions and the combining tasks
 PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
 
@@ -119,41 +125,57 @@ class Model:
             around[i, ok] = symbol[at[ok] + k]
         return around
 
-    def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and class log-probabilities."""
-        h = self.bias + self.embed[0][around[0]]
+    def hidden(self, around: np.ndarray) -> np.ndarray:
+        h = self.embed[0][around[0]]
+        h += self.bias
         for e, a in zip(self.embed[1:], around[1:]):
             h += e[a]
-        np.tanh(h, out=h)
+        return np.tanh(h, out=h)
+
+    def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden layer and class log-probabilities."""
+        h = self.hidden(around)
         z = h @ self.out
         z += self.base
         z -= z.max(1, keepdims=True)
         z -= np.log(np.exp(z).sum(1, keepdims=True))
         return h, z
 
-    def fit(self, column: pa.Array) -> None:
-        rng = np.random.default_rng(1)
-        for _ in range(EPOCHS):
-            self.learn(column, rng)
+    def chosen(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log-probability of one class per word."""
+        z = self.hidden(around) @ self.out
+        z += self.base
+        z -= z.max(1, keepdims=True)
+        found = z[np.arange(len(target)), target]
+        return found - np.log(np.exp(z, out=z).sum(1))
+
+    def fit(self, column: pa.Array, rounds: int = 2) -> None:
+        for _ in range(rounds):
+            self.learn(column)
 
-    def learn(self, column: pa.Array, rng: np.random.Generator) -> None:
-        """One pass over the words of some texts, in random order."""
+    def learn(self, column: pa.Array) -> None:
+        """One pass over the words of some texts, every k-th word at a time."""
         found = words(column, lower=True)
         symbol = self.symbols(found.hash.view(np.int64))
         around = self.contexts(symbol, found.first)
         target = self.classes[symbol]
-        order = rng.permutation(len(symbol))
         self.learned += len(symbol)
-        for i in range(0, len(order), BATCH):
-            at = order[i:i + BATCH]
-            h, z = self.forward(around[:, at])
-            d = np.exp(z)
-            d[np.arange(len(at)), target[at]] -= 1
-            d /= np.float32(len(at) ** 0.5)
-            back = (d @ self.out.T) * (1 - h * h)
+        steps = -(-len(symbol) // BATCH)
+        short = np.uint16 if self.size < 1 << 16 else np.int64                    # short integers have a radix sort
+        for i in range(steps):
+            context, goal = around[:, i::steps], target[i::steps]
+            h = self.hidden(context)
+            d = h @ self.out
+            d += self.base
+            d -= d.max(1, keepdims=True)
+            np.exp(d, out=d)
+            d *= (1 / np.sqrt(np.float32(len(goal)))) / d.sum(1, keepdims=True)
+            d[np.arange(len(goal)), goal] -= 1 / np.sqrt(np.float32(len(goal)))
+            back = d @ self.out.T
+            back *= 1 - h * h
             self._step(self.out, self.seen["out"], np.arange(HIDDEN), h.T @ d)
-            for e, seen, used, a in zip(self.embed, self.seen["embed"], self.used, around[:, at]):
-                a = a.astype(np.uint16 if self.size < 1 << 16 else np.int64)      # short integers have a radix sort
+            for e, seen, used, a in zip(self.embed, self.seen["embed"], self.used, context):
+                a = a.astype(short)
                 by = np.argsort(a, kind="stable")
                 a = a[by]
                 first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
@@ -167,7 +189,7 @@ class Model:
     @staticmethod
     def _step(x: np.ndarray, seen: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
         seen[rows] += (g * g).mean(1)
-        x[rows] -= RATE * g / np.sqrt(seen[rows])[:, None]
+        x[rows] -= (RATE / np.sqrt(seen[rows]))[:, None] * g
 
     def _dense(self) -> list[np.ndarray]:
         return [self.out, self.bias, self.base, self.seen["out"], self.seen["bias"], self.seen["base"]]
@@ -203,8 +225,8 @@ class Model:
         total = np.zeros(len(found.first) - 1)
         for i in range(0, len(symbol), PIECE):
             s = symbol[i:i + PIECE]
-            _, z = self.forward(around[:, i:i + PIECE])
-            total += np.bincount(doc[i:i + PIECE], z[np.arange(len(s)), self.classes[s]] + self.inside[s], len(total))
+            of, known = doc[i:i + PIECE], self.chosen(around[:, i:i + PIECE], self.classes[s]) + self.inside[s]
+            total[of[0]:of[-1] + 1] += np.bincount(of - of[0], known, of[-1] - of[0] + 1)
         if not with_rare:
             return np.diff(found.first), total
         at = symbol >= len(self.vocab)
@@ -223,11 +245,11 @@ class Model:
         return doc[first], word[first], np.diff(np.append(first, len(doc)))
 
 
-MESSAGE = pa.schema([("block", pa.int32()), ("rows", pa.binary()), ("used", pa.binary()), ("x", pa.binary())])
+MESSAGE = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("rows", pa.binary()), ("used", pa.binary()), ("x", pa.binary())])
 
 
-def _sent(block: int, rows: np.ndarray, used: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([{"block": block, "rows": rows.astype(np.int64).tobytes(), "used": used.astype(float).tobytes(),
+def _sent(block: int, rows: np.ndarray, used: np.ndarray, x: np.ndarray, part: int = 0) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"block": block, "part": part, "rows": rows.astype(np.int64).tobytes(), "used": used.astype(float).tobytes(),
                                         "x": x.astype(np.float32).tobytes()}], MESSAGE)
 
 
@@ -255,26 +277,36 @@ def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
+def several(column: pa.Array) -> Iterator[pa.Array]:
+    """Slices of at most TEXTS texts and about BYTES bytes."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < len(column):
+        full = int(np.searchsorted(size, (size[i - 1] if i else 0) + BYTES, "right"))
+        j = min(max(full, i + 1), i + TEXTS, len(column))
+        yield column.slice(i, j - i)
+        i = j
+
+
 def train(docs: DataFrame, max_rows: int | None = None, counts: DataFrame | None = None) -> Model:
     """Counts and network over all documents; ``max_rows`` fits the network on that many only (for trials)."""
     model = Model(*symbols_of(word_counts(docs) if counts is None else counts))
     texts = docs.select("text")
     if max_rows is not None:
         texts = docs.select("doc_id", "text").join(F.broadcast(smallest(docs.select("doc_id"), "doc_id", max_rows)), "doc_id").select("text")
-    for turn in range(EPOCHS):
+    for _ in range(EPOCHS):
         shared = docs.sparkSession.sparkContext.broadcast(model)
 
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             local = copy.deepcopy(shared.value)                # a worker keeps the broadcast value for its next task
-            rng = np.random.default_rng(turn)
             for batch in batches:
-                for i in range(0, len(batch), 200):
-                    local.learn(batch.column(0).slice(i, 200), rng)
+                for few in several(batch.column(0)):
+                    local.learn(few)
             for m in local.messages():
-                yield _sent(*m)
+                yield _sent(*m, part=TaskContext.get().partitionId())
 
-        schema = "block int, rows binary, used binary, x binary"
-        sent = texts.mapInArrow(learn, schema).repartition("block").sortWithinPartitions("block")
+        schema = "block int, part int, rows binary, used binary, x binary"
+        sent = texts.mapInArrow(learn, schema).repartition("block").sortWithinPartitions("block", "part")
         for m in stored(sent.mapInArrow(_means, schema), "network").toLocalIterator():      # one network, of fixed size
             model.take(m["block"], np.frombuffer(m["rows"], np.int64), np.frombuffer(m["x"], np.float32))
         shared.unpersist()
@@ -287,10 +319,11 @@ def rare_shares(docs: DataFrame, shared, counts: DataFrame) -> DataFrame:
     Rows of one id and text have one key, so both sums have them all."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), 200):
-                part = batch.slice(i, 200)
-                doc, word, n = shared.value.rare(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(doc)), pa.array(word), pa.array(n.astype(np.int32))], names=["key", "word", "times"])
+            at = 0
+            for part in several(batch.column("text")):
+                key, at = batch.column("key").slice(at, len(part)), at + len(part)
+                doc, word, n = shared.value.rare(part)
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(doc)), pa.array(word), pa.array(n.astype(np.int32))], names=["key", "word", "times"])
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(pairs, "key long, word long, times int")
     share = F.col("times") * F.log1p(F.coalesce("n", F.lit(0)).cast("double"))
@@ -306,7 +339,7 @@ def score(docs: DataFrame, max_rows: int | None = None, corpus: DataFrame | None
     @F.arrow_udf("n long, total double, rare long")
     def pseudo_likelihood(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            few = [shared.value.score(part.slice(i, 200), with_rare=True) for i in range(0, len(part), 200)]
+            few = [shared.value.score(some, with_rare=True) for some in several(part)]
             n, total, rare = (np.concatenate([x[k] for x in few]) if few else np.zeros(0) for k in (0, 1, 2))
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(rare, pa.int64())], ["n", "total", "rare"])
 
