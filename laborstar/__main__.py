@@ -1,11 +1,12 @@
 """Command line.
 
-    python -m laborstar etl RAW_DIR WAREHOUSE_DIR [--as-of YYYY-MM-DD] [--wage-year N] [--splittable]
+    python -m laborstar etl RAW_DIR WAREHOUSE_DIR [--as-of YYYY-MM-DD] [--wage-year N] [--mode blocks|lines|whole] [--changes]
     python -m laborstar report WAREHOUSE_DIR [NAME ...] [--profile-code CODE] [--output DIR]
     python -m laborstar sql WAREHOUSE_DIR "SELECT ... FROM dim_occupation ..." [--rows N] [--output DIR]
 
-``etl`` replaces the warehouse from the raw files and prints the load audit
-and the validation report; ``report`` prints reports over a stored
+``etl`` loads the warehouse from the raw files (unchanged files are not read
+again, and with ``--changes`` only changed code ranges are rewritten) and prints the load audit, the
+values lost to coercion and the validation report; ``report`` prints reports over a stored
 warehouse (all of them when no name is given); ``sql`` runs one ad hoc
 statement over the stored tables, registered as views under their table
 names. Every row is printed, or written by Spark as Parquet with
@@ -22,6 +23,7 @@ from laborstar.plans import marts
 from laborstar.plans.pipeline import run_etl
 from laborstar.plans.reports import reports
 from laborstar.session import get_session
+from laborstar.sources import files
 from laborstar.sources.warehouse import StoredWarehouse
 
 
@@ -44,8 +46,9 @@ def main(argv=None) -> None:
     etl.add_argument("warehouse_dir")
     etl.add_argument("--as-of", default=None, help="load date for files without a date column")
     etl.add_argument("--wage-year", type=int, default=2023)
-    etl.add_argument("--splittable", action="store_true",
-                     help="read files in parallel, line by line; stops if a quoted field spans lines")
+    etl.add_argument("--mode", choices=files.MODES, default="blocks",
+                     help="how delimited files are read: by blocks (parallel), by lines (parallel, no field spans lines), whole (one task a file)")
+    etl.add_argument("--changes", action="store_true", help="rewrite only the code ranges that changed")
     rep = sub.add_parser("report", help="print reports over a stored warehouse")
     rep.add_argument("warehouse_dir")
     rep.add_argument("names", nargs="*")
@@ -61,8 +64,9 @@ def main(argv=None) -> None:
     spark = get_session()
     if args.command == "etl":
         result = run_etl(spark, args.raw_dir, args.warehouse_dir, as_of=args.as_of,
-                         wage_year=args.wage_year, splittable=args.splittable)
+                         wage_year=args.wage_year, mode=args.mode, changes=args.changes)
         emit(result.audit)
+        emit(result.losses)
         checks = result.report.collect()                        # six rows, evaluated once
         for row in checks:
             print(f"{row['check']}\t{row['violations']}\t{'passed' if row['passed'] else 'FAILED'}")

@@ -125,7 +125,7 @@ def load_tables(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir: s
 
 
 def run_etl(spark: SparkSession, raw_dir: str, warehouse_dir: str, as_of=None, wage_year: int = T.DEFAULT_WAGE_YEAR,
-            splittable: bool = False, changes: bool = False, rows_per_shelf: int = ROWS_PER_SHELF) -> EtlResult:
+            mode: str = "blocks", changes: bool = False, rows_per_shelf: int = ROWS_PER_SHELF) -> EtlResult:
     """Load the warehouse from the raw files in ``raw_dir``.
 
     Files that have not changed since they were loaded, with the same
@@ -133,7 +133,7 @@ def run_etl(spark: SparkSession, raw_dir: str, warehouse_dir: str, as_of=None, w
     codes changed; without it the tables of changed files are replaced.
     """
     configure(spark)
-    raw = {spec.source: files.extract(spark, raw_dir, spec.source, splittable) for spec in T.TABLE_SPECS}
+    raw = {spec.source: files.extract(spark, raw_dir, spec.source, mode) for spec in T.TABLE_SPECS}
     sources = {spec.source: files.fingerprint(spark, files.resolve(spark, raw_dir, spec.source)) for spec in T.TABLE_SPECS}
     entries, written = load_entries(spark, raw, warehouse_dir, as_of, wage_year, sources, changes, rows_per_shelf)
     wh = StoredWarehouse(spark, warehouse_dir)

@@ -115,7 +115,7 @@ def test_default_load_equals_the_fixtures(spark, scratch):
         assert rows(getattr(res.warehouse, spec.table)) == rows(getattr(w, spec.table)), spec.table
     assert {r.rows_malformed for r in res.audit.collect()} == {0}
     with pytest.raises(files.MalformedFile, match="task_statements.*unclosed quote"):
-        run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01", splittable=True)
+        run_etl(spark, raw_dir, os.path.join(scratch, "wh"), as_of="2024-01-01", mode="lines")
 
 
 def csv_file(scratch, name, text):
@@ -130,9 +130,9 @@ def test_quoted_newlines_short_and_surplus_rows(spark, scratch):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted([
         ("1", 'two\nlines, "quoted"', "3", False), ("4", "5", None, False), ("6", "7", "8", True), ("a,b", "c", "d", False)], key=repr)
     with pytest.raises(files.MalformedFile, match="a.csv: 2 lines"):
-        files.extract(spark, scratch, "a", splittable=True)
+        files.extract(spark, scratch, "a", mode="lines")
     csv_file(scratch, "b.csv", 'x,y\n"1, one",2\n3,4,5\n')
-    flagged = {r["x"]: r[files.MALFORMED] for r in files.extract(spark, scratch, "b", splittable=True).collect()}
+    flagged = {r["x"]: r[files.MALFORMED] for r in files.extract(spark, scratch, "b", mode="lines").collect()}
     assert flagged == {"1, one": False, "3": True}
 
 
