@@ -43,11 +43,11 @@ from laborstar.llm._tokens import words
 
 VOCAB = 16_384
 RARE = 4_096
-CLASSES = 64
+CLASSES = 48
 SIDE = 2
 HIDDEN = 32
 EPOCHS = 1
-BATCH = 16_384
+BATCH = 32_768
 RATE = 0.1
 PIECE = 1 << 14
 TEXTS = 1_000             # texts whose words a task deals into minibatches at once
@@ -141,15 +141,21 @@ class Model:
         z -= np.log(np.exp(z).sum(1, keepdims=True))
         return h, z
 
+    def scores(self, h: np.ndarray) -> np.ndarray:
+        """Class scores, safe to exponentiate: below 80 by the size of the weights, or else less their largest."""
+        z = h @ self.out
+        z += self.base
+        if np.abs(self.out).sum(0).max() + np.abs(self.base).max() > 80:              # |h| <= 1
+            z -= z.max(1, keepdims=True)
+        return z
+
     def chosen(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of one class per word."""
-        z = self.hidden(around) @ self.out
-        z += self.base
-        z -= z.max(1, keepdims=True)
+        z = self.scores(self.hidden(around))
         found = z[np.arange(len(target)), target]
         return found - np.log(np.exp(z, out=z).sum(1))
 
-    def fit(self, column: pa.Array, rounds: int = 2) -> None:
+    def fit(self, column: pa.Array, rounds: int = 4) -> None:
         for _ in range(rounds):
             self.learn(column)
 
@@ -161,27 +167,26 @@ class Model:
         target = self.classes[symbol]
         self.learned += len(symbol)
         steps = -(-len(symbol) // BATCH)
-        short = np.uint16 if self.size < 1 << 16 else np.int64                    # short integers have a radix sort
+        number = np.zeros(self.size + 1, np.int64)                                # of a symbol among those of a minibatch
         for i in range(steps):
             context, goal = around[:, i::steps], target[i::steps]
             h = self.hidden(context)
-            d = h @ self.out
-            d += self.base
-            d -= d.max(1, keepdims=True)
+            d = self.scores(h)
             np.exp(d, out=d)
             d *= (1 / np.sqrt(np.float32(len(goal)))) / d.sum(1, keepdims=True)
             d[np.arange(len(goal)), goal] -= 1 / np.sqrt(np.float32(len(goal)))
             back = d @ self.out.T
             back *= 1 - h * h
             self._step(self.out, self.seen["out"], np.arange(HIDDEN), h.T @ d)
+            columns = np.ascontiguousarray(back.T).astype(float)
             for e, seen, used, a in zip(self.embed, self.seen["embed"], self.used, context):
-                a = a.astype(short)
-                by = np.argsort(a, kind="stable")
-                a = a[by]
-                first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-                rows = a[first].astype(np.int64)
-                used[rows] += np.diff(np.append(first, len(a)))
-                self._step(e, seen, rows, np.add.reduceat(back[by], first, axis=0))
+                times = np.bincount(a, minlength=self.size + 1)
+                rows = np.flatnonzero(times)
+                used[rows] += times[rows]
+                number[rows] = np.arange(len(rows))
+                at = number[a]
+                g = np.stack([np.bincount(at, c, len(rows)) for c in columns], axis=1).astype(np.float32)
+                self._step(e, seen, rows, g)
             for x, seen, g in ((self.bias, self.seen["bias"], back.sum(0)), (self.base, self.seen["base"], d.sum(0))):
                 seen += (g * g).mean()
                 x -= RATE * g / np.sqrt(seen)
