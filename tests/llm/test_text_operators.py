@@ -198,7 +198,8 @@ def test_mixing_targets_and_sizes(spark):
 def test_water_level(spark, sizes):
     rows = [(f"s{i}", n) for i, n in enumerate(sizes)]
     got = mixing.targets(spark.createDataFrame(rows, "source string, size long"))
-    assert [s["target"] for s in got] == pytest.approx(fill(sizes, [(1, 2, 3)[i % 3] for i in range(len(sizes))]))
+    got = got.orderBy("rank").collect()
+    assert [s["rank"] for s in got] == list(range(len(sizes))) and [s["target"] for s in got] == pytest.approx(fill(sizes, [(1, 2, 3)[i % 3] for i in range(len(sizes))]))
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
@@ -209,7 +210,8 @@ def test_permutation_is_a_bijection(spark, n):
 
 def test_shards_follow_the_targets(spark):
     sources = [{"target": t, "blocks": b, "words": b * mixing.BLOCK} for t, b in ((64_000.0, 2000), (12_345.0, 500), (900.0, 30))]
-    rows = mixing.shard_counts(spark, sources, shard=100).collect()
+    table = spark.createDataFrame([(i, s["words"], s["blocks"], s["target"]) for i, s in enumerate(sources)], "rank int, source_size long, blocks long, target double")
+    rows = mixing.shard_counts(table, shard=100).collect()
     expected = sum(s["target"] for s in sources) / mixing.BLOCK
     per_shard, per_source = Counter(), Counter()
     for r in rows:
