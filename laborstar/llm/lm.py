@@ -93,7 +93,7 @@ class Model:
         self.bucket = np.log(counts[len(vocab):] + (0 if types is None else types) + 1)
         self.size = len(counts)                               # one more embedding stands for "outside the text"
         order = np.argsort(-counts, kind="stable")
-        mass = np.cumsum(np.sqrt(counts[order] + 1))
+        mass = np.cumsum(np.sqrt(counts[order])) + 1e-9                # buckets without words fall into the last class
         self.classes = np.empty(self.size, np.int64)
         self.classes[order] = np.minimum((mass / mass[-1] * CLASSES).astype(int), CLASSES - 1)
         total = np.bincount(self.classes, counts + 1, CLASSES)
