@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborstar import functions as fn
-from laborstar.operators import cleaning, headers, history, releases
+from laborstar.operators import cleaning, dimensions, headers, history, releases
 from laborstar.operators import transforms as T
 from laborstar.operators import validation as V
 from laborstar.operators.audit import load_audit, load_losses
@@ -448,6 +448,31 @@ def k_history_changes(spark, sf_dir):
     return history.changes(_history(spark, sf_dir), "onetsoc_code")
 
 
+# Elements and scales as dimensions with keys -------------------------------------
+
+def _dimensions(spark, sf_dir) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    w = Warehouse.of(spark, sf_dir)
+    facts = {t: getattr(w, t) for t in dimensions.SCORED}
+
+    def store(df: DataFrame) -> DataFrame:
+        path = shared_folder(spark, "keys")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return facts, *dimensions.dimensions(list(facts.values()), store)
+
+
+@register("element_keys")
+def k_element_keys(spark, sf_dir):
+    return _dimensions(spark, sf_dir)[1]
+
+
+@register("knowledge_by_key")
+def k_knowledge_by_key(spark, sf_dir):
+    facts, elements, scales = _dimensions(spark, sf_dir)
+    return _dated(dimensions.by_key(facts["fact_knowledge"], elements, scales))
+
+
 # Declared keys and references over all tables ---------------------------------------
 
 FACTS = ("fact_skills", "fact_knowledge", "fact_education", "fact_tasks", "fact_wages")

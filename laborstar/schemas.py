@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -85,6 +86,17 @@ TABLES = {
 }
 
 
+# The scored facts by keys, and the dimensions they refer to; optional tables of a warehouse.
+DIM_ELEMENT = _schema(("element_key", LongType()), ("element_id", StringType()), ("element_name", StringType()))
+DIM_SCALE = _schema(("scale_key", LongType()), ("scale_id", StringType()))
+_KEYS = (("onetsoc_code", StringType()), ("element_key", LongType()), ("scale_key", LongType()))
+_KEYED_ELEMENT = _schema(*_KEYS, ("data_value", DoubleType()), ("date_updated", TimestampType()))
+TABLES |= {
+    "dim_element": DIM_ELEMENT, "dim_scale": DIM_SCALE, "fact_skills_keyed": _KEYED_ELEMENT, "fact_knowledge_keyed": _KEYED_ELEMENT,
+    "fact_education_keyed": _schema(*_KEYS, ("category", IntegerType()), ("data_value", DoubleType())),
+}
+
+
 class ContractError(ValueError):
     pass
 

@@ -33,6 +33,7 @@ CLUSTER_COLUMN = "onetsoc_code"
 SECOND_COLUMN = {
     "dim_occupation": "title", "fact_skills": "element_id", "fact_knowledge": "element_id",
     "fact_education": "element_id", "fact_tasks": "task_id", "fact_wages": "annual_median_wage",
+    "fact_skills_keyed": "element_key", "fact_knowledge_keyed": "element_key", "fact_education_keyed": "element_key",
 }
 ROWS_PER_SHELF = 1_000_000
 MAX_SHELVES = 32            # folders that a reader lists without a job of its own
