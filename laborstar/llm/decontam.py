@@ -8,13 +8,13 @@ consecutive words of a benchmark item; an item of fewer words, but not none, is
 2. The index: postings (term, document, position) of the two rarest terms of every window, stored.
 3. Intersection from the rarest term: its postings, shifted by its offset in the window, give the
    possible starts; they are joined with the postings of the second rarest term at its own offset.
-4. The other terms of the few remaining starts are read from the words of their documents: exact
-   phrases at slop 0; with ``slop`` > 0 also proximity matches, in which every term of the window is
-   within ``slop`` words of the window's place.
+4. The other terms of the few remaining starts are read from the words of their documents, inside the row: exact
+   phrases at slop 0; with ``slop`` > 0 also proximity matches, in which every term of the window has a word of its own at
+   most ``slop`` words from its place (so a repeated term needs as many words), the window itself being inside the text.
 
-Documents are split into words inside the scan, and only postings are shuffled. Benchmark-side
-tables are broadcast if they have at most ``SMALL`` rows and are joined by shuffle otherwise (a
-frequent term is then split by AQE).
+Documents are split into words inside the scan, and only postings are shuffled. Whether a benchmark-side table or
+the keys of candidate documents are broadcast is left to Spark, which compares the bytes of the stored tables with
+``spark.sql.autoBroadcastJoinThreshold``; beyond it a frequent term is split by AQE.
 
 Edge cases: null and empty texts have no words and are never contaminated; rows are keyed by
 (doc_id, text hash), so repeated ids and null ids keep their own results; an item with a null id
@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborstar.llm._columns import ascii_lower, like
-from laborstar.llm._store import small, stored
+from laborstar.llm._store import stored
+from laborstar.llm.fingerprint import let
 
 WINDOW = 10
-SMALL = 200_000
 NO_ID = -(1 << 63)
 ROW = ["id", "h"]
 
@@ -56,12 +56,9 @@ def windows(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Occurrences of the terms in all documents: a few terms are looked up first, many after counting."""
+    """Occurrences of the terms in all documents."""
     tokens = docs.select(F.explode(words(F.col("text"))).alias("term"))
-    count = F.count(F.lit(1)).alias("n")
-    if terms.count() <= SMALL:
-        return tokens.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(count)
-    return tokens.groupBy("term").agg(count).join(terms, "term", "left_semi")
+    return tokens.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def seeds(wins: DataFrame, counts: DataFrame) -> DataFrame:
@@ -78,39 +75,55 @@ def seeds(wins: DataFrame, counts: DataFrame) -> DataFrame:
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The positional inverted index of the given terms: (term, id, h, pos)."""
     tokens = docs.select("id", "h", F.posexplode(words(F.col("text"))).alias("pos", "term"))
-    return tokens.join(small(terms, SMALL), "term", "left_semi").select("term", "id", "h", "pos")
+    return tokens.join(terms, "term", "left_semi").select("term", "id", "h", "pos")
 
 
 def candidates(index: DataFrame, seed: DataFrame, slop: int = 0) -> DataFrame:
-    """Offset-adjusted intersection of the lists of the two rarest terms: (id, h, w, start)."""
-    lookup = small(seed.select("w", "term", "offset", "term2", "offset2"), SMALL)
-    first = (index.join(lookup, "term").where(F.col("pos") >= F.col("offset"))
-             .select("id", "h", "w", (F.col("pos") - F.col("offset")).alias("start"), "term2", "offset2"))
-    second = index.select("id", "h", F.col("term").alias("term2"), F.col("pos").alias("pos2"))
+    """Offset-adjusted intersection of the lists of the two rarest terms, each up to ``slop`` words from its place: (id, h, w, start)."""
+    lookup = seed.select("w", "term", "offset", "term2", "offset2")
     shifts = F.array(*[F.lit(s) for s in range(-slop, slop + 1)])
-    both = (first.withColumn("shift", F.explode(shifts)).withColumn("pos2", F.col("start") + F.col("offset2") + F.col("shift"))
+    first = (index.join(lookup, "term").select("id", "h", "w", F.explode(F.transform(shifts, lambda s: F.col("pos") - F.col("offset") + s)).alias("start"),
+                                              "term2", "offset2").where("start >= 0").distinct())
+    second = index.select("id", "h", F.col("term").alias("term2"), F.col("pos").alias("pos2"))
+    both = (first.withColumn("pos2", F.explode(F.transform(shifts, lambda s: F.col("start") + F.col("offset2") + s)))
             .join(second, ["id", "h", "term2", "pos2"], "left_semi"))
     return both.select("id", "h", "w", "start").distinct()
 
 
+def _near(text: Column, terms: Column, start: Column, slop: int) -> Column:
+    """Every term has a word of its own within ``slop`` of its place. Terms take the first word that is left, in order of their
+    places, which finds such words if there are any: the reaches are equally long."""
+    def take(used: Column, i: Column) -> Column:
+        at = start + i
+        reach = F.sequence(F.greatest(at - slop, F.lit(0)), at + slop)
+        free = F.filter(reach, lambda p: (F.get(text, p) == F.get(terms, i)) & ~F.array_contains(used, p))
+        return F.concat(used, F.slice(free, 1, 1))
+
+    places = F.sequence(F.lit(0), F.size(terms) - 1)
+    return F.size(F.aggregate(places, F.array().cast("array<int>"), take)) == F.size(terms)
+
+
 def verified(rows: DataFrame, found: DataFrame, seed: DataFrame, slop: int = 0) -> DataFrame:
     """The candidates whose other terms are in place too: (id, h, win, start, len, exact).
 
-    Only documents with a candidate are shuffled: their keys (16 bytes each) are broadcast up to SMALL rows.
+    A document's candidates are tested against one array of its words; only documents with a candidate are moved.
     """
-    starts = stored(found.groupBy(*ROW).agg(F.collect_list(F.struct("w", "start")).alias("found")), "candidates")
-    texts = rows.join(small(starts.select(*ROW), SMALL), ROW, "left_semi").join(starts, ROW)
-    each = texts.select("id", "h", words(F.col("text")).alias("text"), F.explode("found").alias("m"))
-    start, room = F.col("m.start"), F.greatest(F.col("m.start") - slop, F.lit(0))
-    # Ten words, and ``slop`` more on both sides: a short window reads its first words of them.
-    cut = each.select("id", "h", "m.w", start.alias("start"), F.slice("text", start + 1, WINDOW).alias("there"),
-                      F.slice("text", room + 1, WINDOW + slop + start - room).alias("around"))
-    both = cut.join(small(seed.select("w", "win", "terms"), SMALL), "w")
-    size = F.size("terms")
-    exact = F.slice("there", 1, size) == F.col("terms")
-    near = F.size(F.array_except("terms", F.slice("around", 1, size + slop + F.least(F.col("start"), F.lit(slop))))) == 0
-    both = both.withColumn("exact", exact)
-    return both.where("exact" if slop == 0 else F.col("exact") | near).select("id", "h", "win", "start", size.alias("len"), "exact").distinct()
+    tested = found.join(seed.select("w", "win", "terms"), "w")
+    starts = stored(tested.groupBy(*ROW).agg(F.collect_list(F.struct("win", "terms", "start")).alias("found")), "candidates")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = rows.join(starts.select(*ROW), ROW, "left_semi").join(starts, ROW).repartition(tasks, *ROW)       # few bytes, much to test
+
+    def test(text: Column) -> Column:
+        def one(m: Column) -> Column:
+            exact = F.slice(text, m["start"] + 1, F.size(m["terms"])) == m["terms"]
+            inside = m["start"] + F.size(m["terms"]) <= F.size(text)
+            fits = exact if slop == 0 else exact | (inside & _near(text, m["terms"], m["start"], slop))
+            return F.struct(m["win"].alias("win"), m["start"].alias("start"), F.size(m["terms"]).alias("len"), exact.alias("exact"), fits.alias("fits"))
+
+        return F.filter(F.transform("found", one), lambda m: m["fits"])
+
+    each = texts.select("id", "h", F.explode(let(words(F.col("text")), test)).alias("m"))
+    return each.select("id", "h", "m.win", "m.start", "m.len", "m.exact").distinct()
 
 
 def matches(docs: DataFrame, items: DataFrame, slop: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -150,6 +163,6 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any benchmark window, with all their columns."""
     found, _ = matches(docs, items)
-    bad = small(stored(found.select(F.col("id").alias("__id"), F.col("h").alias("__h")).distinct(), "contaminated"), SMALL)
+    bad = stored(found.select(F.col("id").alias("__id"), F.col("h").alias("__h")).distinct(), "contaminated")
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__h": F.xxhash64("text")})
     return like(marked.join(bad, ["__id", "__h"], "left_anti"), docs)

@@ -1,6 +1,7 @@
 """Line dedup, SimHash groups, decontamination and substring dedup against brute force."""
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -105,10 +106,17 @@ def test_decontamination_equals_brute_force(spark):
     assert got == Counter(want) and sum(w[5] for w in want) >= 5
 
 
-def test_decontamination_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "SMALL", 0)
-    items = cases.frame(spark, ITEMS, "item_id long, text string")
-    assert cases.rows_of(decontam.report(cases.frame(spark, ROWS), items)) == Counter(cases.decontaminate(ROWS, ITEMS))
+def test_decontamination_without_broadcast(spark):
+    conf = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k in conf:
+            spark.conf.set(k, "-1")
+        items = cases.frame(spark, ITEMS, "item_id long, text string")
+        assert cases.rows_of(decontam.report(cases.frame(spark, ROWS), items)) == Counter(cases.decontaminate(ROWS, ITEMS))
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_decontamination_drops_contaminated_documents_only(spark):
@@ -132,6 +140,36 @@ def test_proximity_matches(spark):
     assert {(r["id"], r["exact"]) for r in near.collect()} == {(1, True), (2, False)}
 
 
+def assigned(text, terms, start, slop):
+    """Whether every term can have a word of its own within ``slop`` of its place, by trying all."""
+    def rest(j, used):
+        if j == len(terms):
+            return True
+        reach = range(max(0, start + j - slop), min(len(text), start + j + slop + 1))
+        return any(text[p] == terms[j] and p not in used and rest(j + 1, used | {p}) for p in reach)
+    return rest(0, frozenset())
+
+
+@pytest.mark.parametrize("slop", [0, 1, 2])
+def test_proximity_equals_brute_force(spark, slop):
+    """Windows with repeated terms, moved words, matches at the first word, on texts of few different words."""
+    rng = random.Random(slop)
+    items = [(1, "a b c d e f g h i j"), (2, "a a b a c"), (3, "b a a c c a b b a a d"), (4, "x"), (5, "c b a")]
+    texts = ["b a c d e f g h i j", "j a b c d e f g h i", "a b c d e f g h j i tail", "a b a a c", "a a a b c", "a a b b", "x y x", "c a b", "a b", ""]
+    for _ in range(60):
+        base = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randrange(max(1, len(base) - 1))
+            base[i:i + 2] = base[i:i + 2][::-1] if rng.random() < 0.7 else base[i:i + 1] + [rng.choice("abcxz")] + base[i + 1:i + 2]
+        texts.append(" ".join(rng.choices("abcz", k=rng.randint(0, 3)) + base + rng.choices("abcdz", k=rng.randint(0, 3))))
+    wins = {tuple(w[i:i + 10]) for _, t in items for w in [t.split()] for i in range(max(1, len(w) - 9))}
+    want = {(d, " ".join(w), s, tuple(text[s:s + len(w)]) == w) for d, t in enumerate(texts) for text in [t.split()] for w in wins
+            for s in range(len(text) - len(w) + 1) if assigned(text, w, s, slop)}
+    docs = cases.frame(spark, [(d, t, "en", "a", 1) for d, t in enumerate(texts)])
+    found, _ = decontam.matches(docs, spark.createDataFrame(items, "item_id long, text string"), slop=slop)
+    assert {(r["id"], r["win"], r["start"], r["exact"]) for r in found.collect()} == want and len(want) > 20
+
+
 @pytest.mark.parametrize("group", [5_000, 0])
 def test_substring_dedup_equals_brute_force(spark, group):
     """group=0 lengthens every shared prefix to the whole window."""
