@@ -1,13 +1,13 @@
 """Document fingerprints by winnowing.
 
-A text's words (lower case, split at white space) are hashed; every ``GRAM`` consecutive words have a rolling
+A text's tokens (lower case) are hashed; every ``GRAM`` consecutive tokens have a rolling
 polynomial hash modulo a prime, H(i) = x(i) B + x(i+1). Of every ``WINDOW``
 consecutive gram hashes the least is chosen, the rightmost of equal ones; the chosen hashes with their positions are
-the fingerprint. Two texts that share WINDOW + GRAM - 1 = 3 words in a row share a chosen hash.
+the fingerprint. Two texts that share WINDOW + GRAM - 1 = 3 tokens in a row share a chosen hash.
 
-A text of fewer than GRAM words, or of more than ``UNBROKEN`` characters per word (no blanks, as in Chinese or a URL),
-goes by its code points instead: grams of ``CHARS``, the same window, so WINDOW + CHARS - 1 = 5 characters in a row. Where
-one of two texts goes by words and the other by code points, both are compared by code points.
+Tokens are the words between white space, by one rule for all texts: code points from U+0800 on (scripts without blanks between
+words, as Chinese) are tokens of their own, and another word of more than ``LONG`` code points (a URL) is cut into
+pieces of ``PIECE``. So any two fingerprints can be compared, and likeness is always that of the returned hashes.
 
 Hash and position are packed into one long, so a window's choice is a minimum, and the minima of all windows
 come from repeated halving: least of neighbours 1, 2, 4, ... apart. All of it runs on arrays inside the
@@ -18,7 +18,7 @@ The query also needs the next document in descending doc_id order. Rows are deal
 (approximate quantiles, ``RANGES`` per shuffle partition); a range also gets a copy of the first row of the range
 that follows. So one shuffle carries each text once and no task sees more than a range.
 
-Edge cases: null text is empty, with 0 characters and an empty fingerprint; fewer than CHARS characters are one gram,
+Edge cases: null text is empty, with 0 characters and an empty fingerprint; fewer than GRAM tokens are one gram,
 fewer than WINDOW grams one window; null ids come last, equal ids are ordered by text hash and text; a single
 document follows itself; other columns are ignored.
 """
@@ -32,8 +32,10 @@ from laborstar.llm._columns import BLANKS
 
 GRAM = 2
 WINDOW = 2
-CHARS = 4
-UNBROKEN = 16
+LONG = 16
+PIECE = 4
+# One code point from U+0800 on, and one below.
+WIDE, NARROW = r"[^\x00-\x{7FF}]", r"[\x00-\x{7FF}]"
 PRIME = (1 << 31) - 1
 BASE = 1_103_515_245 % PRIME
 LAST = (1 << 31) - 1        # positions are stored as LAST - position, so that the least packed value is the rightmost
@@ -60,7 +62,7 @@ def _roll(factor: int):
 
 def _grams(x: Column, gram: int) -> Column:
     """Rolling hashes of ``gram`` consecutive hashes; of all of them if they are fewer."""
-    whole = F.array(F.xxhash64(x).bitwiseAND(F.lit(PRIME - 1)))
+    whole = F.array(_hash(F.xxhash64(x)))
     rolled, power = x, 1
     while power < gram:                                     # hashes of 1, 2, 4, ... words
         rolled = _halves(rolled, power, _roll(pow(BASE, power, PRIME)))
@@ -77,32 +79,35 @@ def _choices(v: Column) -> Column:
     return F.when(F.size(v) >= WINDOW, F.array_distinct(least)).when(F.size(v) > 0, F.array(F.array_min(v))).otherwise(v)
 
 
-def _packed(units: Column, gram: int) -> Column:
-    x = F.transform(units, lambda w: F.xxhash64(w).bitwiseAND(F.lit(PRIME - 1)))
-    v = F.transform(let(x, lambda y: _grams(y, gram)), lambda h, i: h * F.lit(1 << 31) + (F.lit(LAST) - i))
-    return let(v, _choices)
-
+def _hash(x: Column) -> Column:
+    """31 bits of a hash, modulo the prime."""
+    return F.pmod(x, F.lit(PRIME))
 
-def _lower(text: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS)))
 
+def _pieces(word: Column) -> Column:
+    """The tokens of one word."""
+    def cut(run: Column) -> Column:
+        n = F.char_length(run)
+        at = F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(PIECE))
+        return F.when(n > LONG, F.transform(at, lambda i: F.substring(run, i, F.lit(PIECE)))).otherwise(F.array(run))
 
-def by_chars(text: Column) -> Column:
-    """The packed choices of a text by its code points."""
-    return _packed(F.array_remove(F.split(_lower(text), ""), ""), CHARS)
+    runs = F.regexp_extract_all(word, F.lit(rf"({WIDE}|{NARROW}+)"), F.lit(1))
+    return F.when(word.rlike(WIDE), F.flatten(F.transform(runs, cut))).otherwise(cut(word))
 
 
-def unbroken(text: Column) -> Column:
-    """Whether a text goes by its code points."""
-    text = _lower(text)
-    n = F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""))
-    return let(n, lambda n: (n < GRAM) | (F.char_length(text) > UNBROKEN * n))
+def tokens(text: Column) -> Column:
+    """The tokens of a text; null has none."""
+    text = F.lower(F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS)))
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    # Most texts have no word to cut.
+    return F.when(text.rlike(rf"{WIDE}|[^\x20\x09-\x0D]{{{LONG + 1}}}"), F.flatten(F.transform(words, _pieces))).otherwise(words)
 
 
 def packed(text: Column) -> Column:
     """The packed choices of a text, in text order."""
-    words = F.array_remove(F.split(_lower(text), r"[\x20\x09-\x0D]+"), "")
-    return F.when(unbroken(text), by_chars(text)).otherwise(_packed(words, GRAM))
+    x = F.transform(tokens(text), lambda w: _hash(F.xxhash64(w)))
+    v = F.transform(let(x, lambda y: _grams(y, GRAM)), lambda h, i: h * F.lit(1 << 31) + (F.lit(LAST) - i))
+    return let(v, _choices)
 
 
 def hashes(choices: Column) -> Column:
@@ -120,12 +125,6 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1)).cast("double"))
 
 
-def alike(text: Column, choices: Column, other_text: Column, other: Column) -> Column:
-    """Likeness of two texts, given their choices."""
-    return F.when(unbroken(text) == unbroken(other_text), likeness(hashes(choices), hashes(other))).otherwise(
-        likeness(hashes(by_chars(text)), hashes(by_chars(other_text))))
-
-
 def with_next(docs: DataFrame, build) -> DataFrame:
     """Rows (doc_id, text, ...) with ``next``: the struct of the columns that ``build`` made for the next document."""
     n = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -156,5 +155,5 @@ def report(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns({"n_chars": n.cast("long"), "edited": edited}).withColumn("other", packed(F.col("edited")))
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), readable(F.col("own")).alias("fingerprint"),
                        readable(F.col("other")).alias("edited_fingerprint"),
-                       alike(F.col("text"), F.col("own"), F.col("edited"), F.col("other")).alias("near_edited"),
-                       alike(F.col("text"), F.col("own"), F.col("next.text"), F.col("next.own")).alias("near_next"))
+                       likeness(hashes(F.col("own")), hashes(F.col("other"))).alias("near_edited"),
+                       likeness(hashes(F.col("own")), hashes(F.col("next.own"))).alias("near_next"))

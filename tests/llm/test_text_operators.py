@@ -80,8 +80,14 @@ def test_chat_report_and_probe(spark):
 
 # ---- winnowing --------------------------------------------------------------------------------
 
+def cut(word):
+    runs = re.findall("[^\x00-\u07ff]|[\x00-\u07ff]+", word)
+    return [x[i:i + step] for x in runs for step in (fingerprint.PIECE if len(x) > fingerprint.LONG else len(x),) for i in range(0, len(x), step)]
+
+
 def winnow(text):
-    x = [xxhash.xxh64_intdigest(w.encode(), 42) & (fingerprint.PRIME - 1) for w in cases.SPACES.findall((text or "").lower())]
+    tokens = [t for w in cases.SPACES.findall((text or "").lower()) for t in cut(w)]
+    x = [cases.signed(xxhash.xxh64_intdigest(w.encode(), 42)) % fingerprint.PRIME for w in tokens]
     k, p = fingerprint.GRAM, fingerprint.PRIME
     if len(x) < k:
         return None
@@ -127,6 +133,18 @@ def test_equal_texts_have_equal_fingerprints(spark):
     assert got.count() == len(ROWS) and got.where("near_edited < 0 or near_edited > 1 or near_next < 0 or near_next > 1").count() == 0
 
 
+def test_likeness_is_that_of_the_returned_columns(spark):
+    """Also where one text has blanks and the other none."""
+    texts = [r[1] for r in ROWS] + ["漢字" * 30, "漢字 " * 20 + "word", "https://example.org/" + "path/" * 30, "two words", "x" * 40 + " and more words after it"]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in fingerprint.report(cases.frame(spark, rows)).collect()}
+    hashes = lambda x: {w.split("@")[0] for w in x.split()}
+    for i, r in got.items():
+        for other, near in ((r["edited_fingerprint"], r["near_edited"]), (got[(i - 1) % len(rows)]["fingerprint"], r["near_next"])):
+            a, b = hashes(r["fingerprint"]), hashes(other)
+            assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+
+
 def test_winnowing_guarantee(spark):
     """Two texts that share WINDOW + GRAM - 1 words in a row share a chosen hash."""
     shared = " ".join(f"s{i}" for i in range(fingerprint.WINDOW + fingerprint.GRAM - 1))
