@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laborstar.llm._columns import blank_words
-from laborstar.llm.fingerprint import let
 from laborstar.llm._store import stored
 
 BLOCK = 64
@@ -192,12 +191,15 @@ def _mixed(docs: DataFrame, shard: int) -> tuple[DataFrame, DataFrame]:
     sizes, sources, buckets = plan(docs)
     wanted = located(slots(sources, shard), buckets, ["rank"], "block", "before", "blocks").join(sources.select("rank", "source"), "rank")
     own = F.struct((F.col("block") - F.col("before")).alias("block"), F.struct("shard", "slot", "source", F.col("block").alias("index")).alias("slot"))
-    wanted = wanted.select("rank", "bucket", F.lit(1).alias("guest"), F.lit(0).cast("long").alias("size"), own.alias("own"))
-    texts = ranked(sized(docs), sources).where("size > 0").select("rank", "bucket", F.lit(0).alias("guest"), "id", "h", "size", "text")
-    met = placed(texts.unionByName(wanted, allowMissingColumns=True))
+    wanted = wanted.select("rank", "bucket", F.lit(1).alias("guest"), own.alias("own"))
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.col("source").cast("string").alias("source"), "text")
+    texts = ranked(rows, sources).select("rank", "bucket", F.lit(0).alias("guest"), "id", "h", "text")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = texts.unionByName(wanted, allowMissingColumns=True).repartition(tasks, "rank", "bucket").withColumn("w", blank_words(F.col("text"))).drop("text")
+    met = placed(met.withColumn("size", F.size("w").cast("long")).where("guest = 1 or size > 0"))
     kind = PIECE.format(id=docs.schema["doc_id"].dataType.simpleString())
     guest = F.array(F.struct(F.col("own.block").alias("block"), F.lit(None).cast(kind).alias("piece"), F.col("own.slot").alias("slot")))
-    each = met.select("rank", "bucket", F.explode(F.when(F.col("guest") == 1, guest).otherwise(let(blank_words(F.col("text")), pieces))).alias("x"))
+    each = met.select("rank", "bucket", F.explode(F.when(F.col("guest") == 1, guest).otherwise(pieces(F.col("w")))).alias("x"))
     block = each.groupBy("rank", "bucket", "x.block").agg(F.array_sort(F.collect_list("x.piece")).alias("pieces"), F.collect_list("x.slot").alias("slots"))
     block = block.select("rank", "bucket", F.array_join(F.transform("pieces", lambda x: x["text"]), " ").alias("text"),
                          F.transform("pieces", lambda x: x.dropFields("offset", "text")).alias("pieces"), F.inline("slots"))
