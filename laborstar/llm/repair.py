@@ -172,6 +172,11 @@ RUN = ("conv_id long, part int, run long, codes string, costs array<long>, blank
        "first string, last string")
 
 
+def _tasks(df: DataFrame) -> int:
+    """Rows of a few bytes that take long are dealt out by number, or adaptive execution would put them into one task."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def runs(rows: DataFrame) -> DataFrame:
     """One row per conversation and task of the sorted rows (stored). ``run`` is the first seq; costs are null for a run with others
     of its task on both sides, which is a whole conversation."""
@@ -198,7 +203,7 @@ def runs(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield closed(True)
 
-    dealt = rows.repartition("part").sortWithinPartitions("part", "seq").select("conv_id", "part", "seq", "initial", "fault")
+    dealt = rows.repartition(_tasks(rows), "part").sortWithinPartitions("part", "seq").select("conv_id", "part", "seq", "initial", "fault")
     return stored(dealt.mapInArrow(gather, RUN), "runs")
 
 
@@ -228,7 +233,7 @@ def walks(found: DataFrame) -> DataFrame:
                                               pa.array(states, pa.list_(pa.int64())), pa.array([f[START] for f in front], pa.int64())],
                                              names=["conv_id", "part", "run", "edits", "states", "cost"])
 
-    rows = found.select("conv_id", "part", "run", "codes").join(borders(found), "run")
+    rows = found.select("conv_id", "part", "run", "codes").join(borders(found), "run").repartition(_tasks(found), "run")
     return stored(rows.mapInArrow(step, "conv_id long, part int, run long, edits array<string>, states array<long>, cost long"), "walks")
 
 
