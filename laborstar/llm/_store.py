@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh local one where it is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a fresh local one if Spark itself is local (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else tempfile.mkdtemp(prefix="llm-")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="llm-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -14,8 +14,8 @@ first run that holds a key has its largest doc_id.
 A key is 96 bits of hash (xxhash64 and murmur3). A line in a third of all documents is one row per
 task before it is shuffled, and the join that finds its rows is an inner join that AQE may split.
 
-Edge cases: a null or empty text is one empty line; every row is a document of its own, also where
-ids repeat (rows with the largest doc_id all keep the line); a null doc_id is smaller than any other;
+Edge cases: a null or empty text is one empty line; a document is a doc_id, so rows that repeat an id count
+once (and all keep the line if theirs is the largest), and rows without an id are one document, smaller than any other;
 a text whose lines all go becomes empty and its row stays; other columns pass through untouched.
 """
 
@@ -120,7 +120,7 @@ def repeated_lines(rows: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
             part = part.where((F.col("id") <= bounds[i]) | F.col("id").isNull() if i == 0 else F.col("id") <= bounds[i])
         if i > 0:
             part = part.where(F.col("id") > bounds[i - 1])
-        runs.add(part.groupBy(*KEY, "id", "h").agg(F.lit(1).alias("one"))
+        runs.add(part.groupBy(*KEY, "id").agg(F.lit(1).alias("one"))
                  .groupBy(*KEY).agg(F.count("one").alias("n"), F.max("id").alias("holder")))
     found = stored(runs.merged().where(F.col("n") >= min_docs).select(*KEY, "holder"), "repeated-lines")
     runs.close()

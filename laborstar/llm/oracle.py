@@ -66,7 +66,7 @@ WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM d
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
 k AS (SELECT *, {LOWER.format(f"trim(line, {BLANKS})")} AS key FROM l),
 r AS (SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 20
-      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+      GROUP BY key HAVING count(DISTINCT coalesce(doc_id, -9223372036854775808)) >= 3),
 m AS (SELECT k.*, (r.key IS NOT NULL AND r.holder <> k.doc_id) AS gone FROM k LEFT JOIN r ON k.key = r.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256

@@ -73,16 +73,16 @@ def rows_of(df) -> Counter:
 def dedup_lines(rows, min_chars=20, min_docs=3):
     key = lambda s: s.strip(" \t\n\x0b\f\r").translate(UPPER)
     holders = defaultdict(list)
-    for i, r in enumerate(rows):
+    for r in rows:
         for k in {key(s) for s in (r[1] or "").split("\n")}:
-            if len(k) >= min_chars:
-                holders[k].append(i)
+            if len(k) >= min_chars and r[0] not in holders[k]:
+                holders[k].append(r[0])                       # a document is an id
     small = lambda d: (d is not None, d or 0)  # noqa: E731  a null id is the smallest
     out = []
     for r in rows:
         lines = (r[1] or "").split("\n")
         kept = [s for s in lines if not (len(h := holders.get(key(s), [])) >= min_docs
-                                         and max((rows[i][0] for i in h), key=small) != r[0])]
+                                         and max(h, key=small) != r[0])]
         out.append((r[0], len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
 

@@ -124,6 +124,35 @@ def test_ftrl_separates_and_is_sparse():
     assert p[:40].min() > 0.5 > p[40:].max() and (w != 0).sum() < quality.DIMS / 10
 
 
+def test_ftrl_equals_a_replay(monkeypatch):
+    """One update after the other, place by place, in plain numbers."""
+    monkeypatch.setattr(quality, "DIMS", 64)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcdefgh"), rng.integers(1, 12))) for _ in range(25)] + ["", "A B!"]
+    y = rng.integers(0, 2, len(texts)).astype(float)
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return (math.copysign(quality.L1, z[i]) - z[i]) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    rows = []
+    for t in texts:
+        blocks, words_of = quality._features(pa.array([t]))
+        count = Counter(int(p) for _, at in blocks for p in at)
+        rows.append({p: float(np.float32(quality.SCALE * c / max(words_of[0], 1))) for p, c in count.items()} | {64: 1.0})
+    for _ in range(quality.EPOCHS):
+        for row, label in zip(rows, y):
+            w = {i: weight(i) for i in row}
+            p = 1 / (1 + math.exp(-sum(w[i] * x for i, x in row.items())))
+            for i, x in row.items():
+                g = (p - label) * x
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w[i]
+                n[i] += g * g
+    assert quality.ftrl(pa.array(texts), y) == pytest.approx([weight(i) for i in range(65)], abs=1e-4)
+
+
 def test_quality_of_awkward_rows(spark):
     df = cases.frame(spark, ROWS)
     labels = cases.frame(spark, [(r[0], i % 2, None) for i, r in enumerate(ROWS)] + [(1, 1, 0), (4, None, 0), (7, 9, 0), (None, 1, 1)],

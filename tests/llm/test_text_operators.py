@@ -6,13 +6,14 @@ import io
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
-from laborstar.llm import chat, fingerprint, mixing, queries, simhash
+from laborstar.llm import chat, decontam, fingerprint, linededup, mixing, quality, queries, simhash
 from laborstar.llm._store import stored
 from tests.conftest import SF_SMALL
 from tests.llm import cases
@@ -294,7 +295,9 @@ def test_pipeline_stages(spark):
         if name != "mixing":
             assert out.columns == docs.columns and set(got) <= set(rows)
         if name == "quality":
-            assert all(labels.get(i, 0) == 0 for i in set(rows) - set(got)) or len(rows) - len(got) < 40
+            weights = quality.train(docs, queries.table(spark, SF_SMALL, "labels"))
+            score = {i: quality.sigmoid(quality.dot(pa.array([r["text"]], pa.string()), weights))[0] for i, r in rows.items()}
+            assert set(got) == {i for i, s in score.items() if s >= quality.THRESHOLD}
             assert sum(labels[i] == 1 and i not in got for i in labels) <= 2
         elif name == "line_dedup":
             want = {d: t for d, _, _, t in cases.dedup_lines(before)}
@@ -306,7 +309,15 @@ def test_pipeline_stages(spark):
             bad = {w[0] for w in cases.decontaminate(before, items) if w[5]}
             assert set(got) == set(rows) - bad and bad
         else:
-            assert set(got) == set(rows) and sum(r["taken"] for r in got.values()) > 0
+            size = {i: len(cases.SPACES.findall(r["text"] or "")) for i, r in rows.items()}
+            names = sorted({r["source"] for r in rows.values()}, key=lambda s: (s is None, s or ""))
+            whole = {s: sum(size[i] for i, r in rows.items() if r["source"] == s) for s in names}
+            target = dict(zip(names, fill([whole[s] for s in names], [(1, 2, 3)[i % 3] for i in range(len(names))])))
+            assert set(got) == set(rows) and all(got[i]["size"] == n and 0 <= got[i]["taken"] <= 3 * n for i, n in size.items())
+            for s in names:
+                mine = [i for i, r in rows.items() if r["source"] == s]
+                assert all(got[i]["source_size"] == whole[s] and got[i]["target"] == pytest.approx(target[s]) for i in mine)
+                assert abs(sum(got[i]["taken"] for i in mine) - target[s]) <= max(0.02 * target[s], 3 * mixing.BLOCK)
         docs, rows = out, got
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "decontamination", "mixing"]
 
@@ -317,13 +328,22 @@ def test_registered_queries_match_their_sql(spark):
     assert keys and all(v["match"] for v in found.values()), found
 
 
-def test_native_operators_run_no_python(spark):
-    """The operators that must be DataFrame operations have no Python node in any plan they return."""
-    for name in ("op2_benchmark_decontamination", "op4_chat_formatting", "op5_document_fingerprints", "op7_source_mixing", "op10_line_dedup"):
+def test_native_operators_run_no_python(spark, monkeypatch):
+    """The operators that must be DataFrame operations have no Python node in any plan they write or return."""
+    plans = []
+
+    def seen(df):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            E.queries()[name](spark, SF_SMALL).explain("formatted")
-        assert not re.search("Python|Pandas|Arrow", buf.getvalue()), name
+            df.explain("formatted")
+        plans.append(buf.getvalue())
+
+    for module in (decontam, mixing, linededup):
+        monkeypatch.setattr(module, "stored", lambda df, name="table": (seen(df), stored(df, name))[1])
+    for name in ("op2_benchmark_decontamination", "op4_chat_formatting", "op5_document_fingerprints", "op7_source_mixing", "op10_line_dedup"):
+        seen(E.queries()[name](spark, SF_SMALL))
+        assert plans and not [p for p in plans if re.search("Python|Pandas|Arrow", p)], name
+    assert len(plans) > 12
 
 
 def test_every_operator_and_the_pipeline_are_registered():
