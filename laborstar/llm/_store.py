@@ -29,8 +29,3 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` (a stored table) with a broadcast hint if it has at most ``rows`` rows; a join of a larger one is shuffled."""
-    return df.hint("broadcast") if df.count() <= rows else df

@@ -13,9 +13,9 @@ anywhere inside the window, and a "subtree" is a sort of window hashes:
    of the PREFIX-word grams inside a window, the one with the least hash (its anchor), which depends on
    the window's words alone. A prefix that is in one document only has no deeper shared node.
 2. For the other prefixes, documents send one row per run of windows with that anchor, with the hashes
-   of the windows. A prefix with at most ``GROUP`` rows is a memory-sized group: its subtree's nodes at
+   of the windows. A prefix with at most ``GROUP`` windows is a memory-sized group: its subtree's nodes at
    depth SIZE are found by sorting the group's windows, in batches, within one task.
-3. A prefix with more rows is lengthened to all SIZE words: each node is then a key of its own, whose
+3. A prefix with more windows is lengthened to all SIZE words: each node is then a key of its own, whose
    least doc_id is combined map-side, so a passage in a third of all documents is never gathered.
 4. Runs of covered words are cut from the texts.
 
@@ -37,13 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborstar.llm._columns import like
-from laborstar.llm._store import small, stored
+from laborstar.llm._store import stored
 from laborstar.llm._tokens import mix, powers, words
 
 SIZE = 50
 PREFIX = 16
-GROUP = 5_000
-SMALL = 500_000
+GROUP = 100_000           # windows of a group that one task sorts
 NO_ID = (1 << 63) - 1
 ROW = ["id", "h"]
 
@@ -115,7 +114,7 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.concatenate([[0], np.cumsum(np.concatenate(count))])
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(hashes)))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(anchor)), *rows.columns,
-                                              pa.array(np.concatenate(place)), lists], names=["anchor", *ROW, "place", "windows"])
+                                              pa.array(np.concatenate(place)), pa.array(np.concatenate(count)), lists], names=["anchor", *ROW, "place", "count", "windows"])
 
 
 def _merge(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,14 +166,15 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """Per document with repeats: id, h, spans (start, stop) of words that go."""
     rows = keyed(docs)
     sampled = stored(rows.mapInArrow(_anchor_rows, "anchor long, id long, h long"), "anchors")
-    shared = stored(sampled.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
-                    .where("a < b").select("anchor", "n"), "shared-prefixes")
-    alive = stored(sampled.join(shared.select("anchor"), "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared")), "alive")
-    texts = rows.join(small(alive.select(*ROW), SMALL), ROW, "left_semi").join(alive, ROW)
-    runs = stored(texts.mapInArrow(_run_rows, "anchor long, id long, h long, place long, windows array<long>").join(shared, "anchor"), "runs")
-    groups = (runs.where(F.col("n") <= group).drop("n").repartition("anchor").sortWithinPartitions("anchor", "id")
+    shared = stored(sampled.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"), "shared-prefixes")
+    alive = stored(sampled.join(shared, "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared")), "alive")
+    texts = rows.join(alive.select(*ROW), ROW, "left_semi").join(alive, ROW)
+    runs = stored(texts.mapInArrow(_run_rows, "anchor long, id long, h long, place long, count long, windows array<long>"), "runs")
+    # A group is large by its windows, not by its documents: one long text may repeat a passage any number of times.
+    large = stored(runs.groupBy("anchor").agg(F.sum("count").alias("n")).where(F.col("n") > group).select("anchor"), "large-groups")
+    groups = (runs.join(large, "anchor", "left_anti").drop("count").repartition("anchor").sortWithinPartitions("anchor", "id")
               .mapInArrow(_group_spans, "id long, h long, start long, stop long"))
-    each = runs.where(F.col("n") > group).select("anchor", *ROW, "place", F.posexplode("windows").alias("i", "w"))
+    each = runs.join(large, "anchor", "left_semi").select("anchor", *ROW, "place", F.posexplode("windows").alias("i", "w"))
     nodes = each.groupBy("anchor", "w").agg(F.min("id").alias("first"))
     single = each.join(nodes, ["anchor", "w"]).where(F.col("id") > F.col("first"))
     start = F.col("place") + F.col("i")
@@ -207,7 +207,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_removed``, ``__kept`` (the words that stay, joined by a space) and its SHA-256."""
     spans = stored(repeated_spans(docs, group), "spans").select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__h": F.xxhash64("text")})
-    keys = small(spans.select("__id", "__h"), SMALL)
+    keys = spans.select("__id", "__h")
     plain = marked.join(keys, ["__id", "__h"], "left_anti").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     some = marked.join(keys, ["__id", "__h"], "left_semi").join(spans, ["__id", "__h"])
     both = plain.unionByName(some).drop("__id", "__h")

@@ -179,6 +179,15 @@ def test_substring_dedup_equals_brute_force(spark, group):
     assert sum(w[2] for w in want) > 500
 
 
+def test_one_long_text_is_a_large_group(spark):
+    """Two documents, one of which repeats a passage so often that its windows are no memory-sized group."""
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(1, " ".join(passage * 40), "en", "a", 0), (2, " ".join(["x", *passage, "y"]), "en", "a", 0), (3, " ".join(passage[:49]), "en", "a", 0)]
+    for group in (100, 100_000):
+        out = substring.remove_repeats(cases.frame(spark, rows).select("doc_id", "text"), group)
+        assert cases.rows_of(out.select("doc_id", "__n_words", "__n_removed", "__sha")) == Counter(cases.remove_repeats(rows))
+
+
 def test_substring_dedup_keeps_columns(spark):
     df = cases.frame(spark, ROWS)
     out = substring.dedup(df)
