@@ -20,10 +20,10 @@ from laborstar import schemas
 from laborstar.plans import marts
 from tools.compare import digest
 
-CODES = ["15-1002.00", "15-1003.00", "11-1011.00", "29-1215.00", "15-1004.01", "17-2000.00", "15-1005.00"]
+CODES = ["15-1002.00", "15-1003.00", "11-1011.00", "29-1215.00", "15-1004.01", "17-2001.00", "15-1005.00"]
 HOT = "15-1002.00"
 SKILLS = ["Critical Thinking", "Programming", "Writing", "Reading"]
-DOMAINS = ["Mathematics", "Design", "Physics", None]
+DOMAINS = ["Mathematics", "Design", "Physics", ""]
 
 
 def _code(rng):
@@ -35,7 +35,7 @@ def make_warehouse(seed: int) -> dict[str, pd.DataFrame]:
     val = lambda hi: None if rng.random() < 0.08 else round(rng.choice([1.0, 2.5, 4.38, 4.38, hi]) * 1.0, 2)
     dim = [(c, f"Title {c[-4:]} {i}", "desc" if i % 2 else None, c[:2])
            for c in CODES[:-1] for i in range(1 + (3 if c == HOT else rng.randint(0, 1)))]
-    wages = [(_code(rng), rng.choice([None, 50000.0, 75000.0, 75000.0, 120000.0]), 1.0,
+    wages = [(_code(rng).replace(".01", ".00"), rng.choice([None, 50000.0, 75000.0, 75000.0, 120000.0]), 1.0,
               rng.choice([None, 2.0, 9.0]), rng.choice([None, 20.5, 36.06]), 2023) for _ in range(40)]
     skills = [(_code(rng), f"2.A.{i % 4}", rng.choice(SKILLS), rng.choice(["IM", "IM", "LV"]), val(7.0), None)
               for i in range(300)]
@@ -57,6 +57,17 @@ def spark_tables(spark, pdfs):
             for t, pdf in pdfs.items()}
 
 
+_SCORES = """SELECT onetsoc_code AS "O*NET-SOC Code", element_id AS "Element ID", element_name AS "Element Name", scale_id AS "Scale ID",
+CAST(data_value AS VARCHAR) AS "Data Value" """
+# Raw rows that clean to the warehouse's rows: the report SQL starts from raw texts.
+RAW_VIEWS = {
+    "raw_skills": f"{_SCORES} FROM fact_skills", "raw_knowledge": f"{_SCORES} FROM fact_knowledge",
+    "raw_education": f"{_SCORES}, CAST(category AS VARCHAR) AS \"Category\" FROM fact_education",
+    "raw_wages": """SELECT left(onetsoc_code, 7) AS "OCC_CODE", 1 AS "AREA_TYPE", CAST(annual_median_wage AS VARCHAR) AS "A_MEDIAN",
+                    CAST(hourly_median_wage AS VARCHAR) AS "H_MEDIAN" FROM fact_wages""",
+}
+
+
 def duck_result(pdfs, sql):
     con = duckdb.connect()
     for t, pdf in pdfs.items():
@@ -65,6 +76,8 @@ def duck_result(pdfs, sql):
             f"CAST({f.name} AS {'DOUBLE' if f.dataType.simpleString() == 'double' else 'INTEGER' if f.dataType.simpleString() == 'int' else 'TIMESTAMP' if f.dataType.simpleString() == 'timestamp' else 'VARCHAR'}) AS {f.name}"
             for f in schemas.TABLES[t])
         con.execute(f"CREATE VIEW {t} AS SELECT {casts} FROM {t}_pdf")
+    for view, text in RAW_VIEWS.items():
+        con.execute(f"CREATE VIEW {view} AS {text}")
     cur = con.execute(sql)
     return [d[0] for d in cur.description], cur.fetchall()
 
