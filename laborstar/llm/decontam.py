@@ -110,8 +110,9 @@ def verified(rows: DataFrame, found: DataFrame, seed: DataFrame, slop: int = 0)
     """
     tested = found.join(seed.select("w", "win", "terms"), "w")
     starts = stored(tested.groupBy(*ROW).agg(F.collect_list(F.struct("win", "terms", "start")).alias("found")), "candidates")
+    keys = stored(starts.select(*ROW), "candidate-keys")          # a table of its own: its bytes decide on a broadcast
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.join(starts.select(*ROW), ROW, "left_semi").join(starts, ROW).repartition(tasks, *ROW)       # few bytes, much to test
+    texts = rows.join(keys, ROW, "left_semi").join(starts, ROW).repartition(tasks, *ROW)       # few bytes, much to test
 
     def test(text: Column) -> Column:
         def one(m: Column) -> Column:

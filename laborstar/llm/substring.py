@@ -168,7 +168,8 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     sampled = stored(rows.mapInArrow(_anchor_rows, "anchor long, id long, h long"), "anchors")
     shared = stored(sampled.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"), "shared-prefixes")
     alive = stored(sampled.join(shared, "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared")), "alive")
-    texts = rows.join(alive.select(*ROW), ROW, "left_semi").join(alive, ROW)
+    keys = stored(alive.select(*ROW), "alive-keys")               # a table of its own: its bytes decide on a broadcast
+    texts = rows.join(keys, ROW, "left_semi").join(alive, ROW)
     runs = stored(texts.mapInArrow(_run_rows, "anchor long, id long, h long, place long, count long, windows array<long>"), "runs")
     # A group is large by its windows, not by its documents: one long text may repeat a passage any number of times.
     large = stored(runs.groupBy("anchor").agg(F.sum("count").alias("n")).where(F.col("n") > group).select("anchor"), "large-groups")
@@ -207,7 +208,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_removed``, ``__kept`` (the words that stay, joined by a space) and its SHA-256."""
     spans = stored(repeated_spans(docs, group), "spans").select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__h": F.xxhash64("text")})
-    keys = spans.select("__id", "__h")
+    keys = stored(spans.select("__id", "__h"), "span-keys")
     plain = marked.join(keys, ["__id", "__h"], "left_anti").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
     some = marked.join(keys, ["__id", "__h"], "left_semi").join(spans, ["__id", "__h"])
     both = plain.unionByName(some).drop("__id", "__h")
