@@ -422,8 +422,15 @@ def k_release_diff(spark, sf_dir):
 def k_change_load(spark, sf_dir):
     """The stored occupations after a load of release 2 that rewrote only the shelves whose codes changed since release 1."""
     root = shared_folder(spark, "change-load")
-    first = write_table(_release(spark, sf_dir, 1), root, "dim_occupation", rows_per_shelf=2_000)
-    old, new = StoredWarehouse(spark, root).dim_occupation, _release(spark, sf_dir, 2)
+
+    def staged(n: int) -> DataFrame:
+        """A release, cleaned once: shelves, ranges and comparisons read the staged rows, as in the load."""
+        release, path = _release(spark, sf_dir, n), f"{root}/staging/release-{n}"
+        release.write.parquet(path)
+        return spark.read.schema(release.schema).parquet(path)
+
+    first = write_table(staged(1), root, "dim_occupation", rows_per_shelf=2_000)
+    old, new = StoredWarehouse(spark, root).dim_occupation, staged(2)
     hit = changed_shelves(first, releases.snapshot_diff(old, new, ["onetsoc_code"]))
     publish(spark, root, {"dim_occupation": replace_shelves(new, root, first, hit)})
     return StoredWarehouse(spark, root).dim_occupation

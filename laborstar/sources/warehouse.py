@@ -87,8 +87,9 @@ def code_number(code: str = CLUSTER_COLUMN) -> str:
 
 
 def shelf_of(bounds: tuple[int, ...]) -> Column:
-    """The shelf of a row: how many bounds are at or below its code."""
-    return F.expr(f"CAST(size(filter(array({', '.join(f'{b}L' for b in bounds)}), b -> b <= {code_number()})) AS INT)" if bounds else "0")
+    """The shelf of a row: how many bounds are at or below its code. The code's number is made once a row, not once a bound."""
+    counted = f"CAST(size(filter(array({', '.join(f'{b}L' for b in bounds)}), b -> b <= n)) AS INT)"
+    return F.expr(f"transform(array({code_number()}), n -> {counted})[0]" if bounds else "0")
 
 
 def shelf_bounds(df: DataFrame, rows: int, rows_per_shelf: int) -> tuple[int, ...]:
@@ -106,7 +107,8 @@ def write_shelves(df: DataFrame, warehouse_dir: str, table: str, bounds: tuple[i
     path = f"{table}/v-{uuid.uuid4().hex}"
     if table in SECOND_COLUMN:
         keys = [CLUSTER_COLUMN, SECOND_COLUMN[table]]
-        df = df.withColumn("shelf", shelf_of(bounds)).repartitionByRange(*keys).sortWithinPartitions("shelf", *keys)
+        # After the exchange: the pass that samples the ranges needs no shelves, and a table in few files has few tasks before it.
+        df = df.repartitionByRange(*keys).withColumn("shelf", shelf_of(bounds)).sortWithinPartitions("shelf", *keys)
     else:
         df = df.withColumn("shelf", F.lit(0))
     folder = f"{warehouse_dir.rstrip('/')}/{path}"
@@ -145,7 +147,7 @@ def replace_shelves(new: DataFrame, warehouse_dir: str, old: Entry, hit: set[int
     """The entry after rewriting the hit shelves from the new rows; the other shelves keep their files."""
     kept = {s: p for s, p in old.shelves.items() if s not in hit}
     if hit:
-        rows = new.where(shelf_of(old.bounds).isin(*hit))
+        rows = new if len(hit) > len(old.bounds) else new.where(shelf_of(old.bounds).isin(*hit))
         kept |= write_shelves(rows, warehouse_dir, old.table, old.bounds)
     return replace(old, shelves=kept)
 

@@ -7,7 +7,7 @@ import pytest
 
 from laborstar.operators import transforms as T
 from laborstar.operators.releases import snapshot_diff
-from laborstar.plans import pipeline
+from laborstar.plans import pipeline, registry
 from laborstar.plans.pipeline import load_entries, run_etl
 from laborstar.sources import fixtures as fx
 from laborstar.sources import warehouse as W
@@ -76,6 +76,35 @@ def test_shelves_are_disjoint_ranges_of_codes(spark, scratch):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_the_shelf_of_a_code_takes_its_number_once(spark):
+    """The number is an argument of the count over the bounds, not made again for each bound."""
+    codes = ["11-1011.00", "11-1012.00", "", None, "53-7000.00", "11-1011"]
+    df = spark.createDataFrame([(c,) for c in codes], "onetsoc_code string")
+    number = {r[0]: r[1] for r in df.selectExpr("onetsoc_code", W.code_number()).collect()}
+    bounds = tuple(sorted({number["11-1012.00"], number["53-7000.00"], 0}))
+    found = df.select("onetsoc_code", W.shelf_of(bounds).alias("s"))
+    assert {r[0]: r[1] for r in found.collect()} == {c: sum(b <= number[c] for b in bounds) for c in codes}
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("conv(") == 1 and plan.index("conv(") < plan.index("lambdafunction(")
+
+
+def test_a_change_load_cleans_every_release_once(spark, monkeypatch):
+    cleaned = spark.sparkContext.accumulator(0)
+
+    def counted(session, sf_dir, n, release=registry._release):
+        def count(batches):
+            for batch in batches:
+                cleaned.add(len(batch))
+                yield batch
+        df = release(session, sf_dir, n)
+        return df.mapInArrow(count, df.schema)
+
+    want = [registry._release(spark, SF_SMALL, n) for n in (1, 2)]
+    monkeypatch.setattr(registry, "_release", counted)
+    assert rows(registry.QUERIES["change_load"](spark, SF_SMALL)) == rows(want[1])
+    assert cleaned.value == sum(df.count() for df in want)
+
+
 def test_a_second_load_reads_only_the_file_that_changed(spark, scratch, monkeypatch):
     raw_dir, wh = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
     os.makedirs(raw_dir)
