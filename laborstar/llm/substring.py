@@ -168,15 +168,15 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     sampled = stored(rows.mapInArrow(_anchor_rows, "anchor long, id long, h long"), "anchors")
     shared = stored(sampled.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"), "shared-prefixes")
     alive = stored(sampled.join(shared, "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared")), "alive")
-    keys = stored(alive.select(*ROW), "alive-keys")               # a table of its own: its bytes decide on a broadcast
-    texts = rows.join(keys, ROW, "left_semi").join(alive, ROW)
+    texts = rows.join(alive.hint("merge"), ROW)                   # texts move once at any size: no broadcast that ends as tables grow
     runs = stored(texts.mapInArrow(_run_rows, "anchor long, id long, h long, place long, count long, windows array<long>"), "runs")
     # A group is large by its windows, not by its documents: one long text may repeat a passage any number of times.
     large = stored(runs.groupBy("anchor").agg(F.sum("count").alias("n")).where(F.col("n") > group).select("anchor"), "large-groups")
     groups = (runs.join(large, "anchor", "left_anti").drop("count").repartition("anchor").sortWithinPartitions("anchor", "id")
               .mapInArrow(_group_spans, "id long, h long, start long, stop long"))
     each = runs.join(large, "anchor", "left_semi").select("anchor", *ROW, "place", F.posexplode("windows").alias("i", "w"))
-    nodes = each.groupBy("anchor", "w").agg(F.min("id").alias("first"))
+    # Nodes of several documents, as a table: both sides of the join are then plain exchanges, so Spark can split a passage that is in most documents.
+    nodes = stored(each.groupBy("anchor", "w").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last"), "nodes")
     single = each.join(nodes, ["anchor", "w"]).where(F.col("id") > F.col("first"))
     start = F.col("place") + F.col("i")
     hot = single.groupBy("anchor", *ROW, "place").agg(F.array_sort(F.collect_set(start)).alias("at"))      # one run's windows
@@ -208,10 +208,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_removed``, ``__kept`` (the words that stay, joined by a space) and its SHA-256."""
     spans = stored(repeated_spans(docs, group), "spans").select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__h": F.xxhash64("text")})
-    keys = stored(spans.select("__id", "__h"), "span-keys")
-    plain = marked.join(keys, ["__id", "__h"], "left_anti").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType))
-    some = marked.join(keys, ["__id", "__h"], "left_semi").join(spans, ["__id", "__h"])
-    both = plain.unionByName(some).drop("__id", "__h")
+    both = marked.join(spans.hint("merge"), ["__id", "__h"], "left").drop("__id", "__h")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),
                         "__n_words long, __n_removed long, __kept string, __sha string"])
     return both.mapInArrow(_cut, schema)

@@ -188,6 +188,24 @@ def test_one_long_text_is_a_large_group(spark):
         assert cases.rows_of(out.select("doc_id", "__n_words", "__n_removed", "__sha")) == Counter(cases.remove_repeats(rows))
 
 
+def test_substring_joins_do_not_change_with_size(spark, monkeypatch):
+    """Texts are moved once a join however small the other side is; the join that finds a hot passage is over plain exchanges."""
+    plans = {}
+
+    def kept(df, name, store=substring.stored):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(substring, "stored", kept)
+    out = substring.remove_repeats(cases.frame(spark, ROWS).select("doc_id", "text"), 0)
+    plans["out"] = out._jdf.queryExecution().executedPlan().toString()
+    for name in ("runs", "out"):
+        assert plans[name].count("SortMergeJoin") == 1 and "Broadcast" not in plans[name]
+    assert plans["out"].count("Scan ExistingRDD") == 1                   # texts are read once, not once for those with spans and once for the others
+    assert "nodes" in plans                                               # a table: an aggregate under the join would keep Spark from splitting a hot passage
+    assert cases.rows_of(out.select("doc_id", "__n_words", "__n_removed", "__sha")) == Counter(cases.remove_repeats(ROWS))
+
+
 def test_substring_dedup_keeps_columns(spark):
     df = cases.frame(spark, ROWS)
     out = substring.dedup(df)
