@@ -118,10 +118,19 @@ class Model:
     rate: float = 1.0
     log_k: float = 0.0
     law: tuple[float, float] | None = None          # a and b; None without labels
+    clean: np.ndarray | None = None                 # normalised best scores of the clean sample, ascending (at most MAX_ROWS)
 
     def normalised(self, n: int, sums: np.ndarray) -> np.ndarray:
         return self.rate * sums - self.log_k - np.log(max(n, 1))
 
+    def chance(self, n: int, sums: np.ndarray) -> np.ndarray:
+        """How often clean text of n tokens has a segment like each of these: by the law, but no less than the clean sample had."""
+        x = self.normalised(n, sums)
+        law = -np.expm1(-np.exp(-np.clip(x, -30, 700)))
+        if self.clean is None or not len(self.clean):
+            return law
+        return np.maximum(law, 1 - np.searchsorted(self.clean, x, "left") / len(self.clean))
+
     def evidence(self, n: int, sums: np.ndarray) -> float:
         """-ln of the chance that clean text of n tokens has segments like the best r of these, for the most telling r."""
         x = np.sort(self.normalised(n, sums))[::-1]
@@ -247,10 +256,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     parts = [Model(s, rate) for s, _ in (learned([q for q in range(PARTS) if q != p]) for p in range(PARTS))]
     best = _judged(rows.where("y = 0"), spark.sparkContext.broadcast(parts), "best")
     log_k = float(np.mean(rate * best["value"] - np.log(np.maximum(best["tokens"], 1)))) - EULER if len(best) else 0.0
+    clean = np.sort(rate * best["value"].to_numpy(float) - np.log(np.maximum(best["tokens"].to_numpy(float), 1)) - log_k)
     for m in parts:
         m.log_k = log_k
     seen = _judged(rows, spark.sparkContext.broadcast(parts), "evidence")
-    return Model(score, rate, log_k, logistic(np.log1p(seen["value"].to_numpy(float)), seen["y"].to_numpy(float)))
+    return Model(score, rate, log_k, logistic(np.log1p(seen["value"].to_numpy(float)), seen["y"].to_numpy(float)), clean)
 
 
 def _judged(rows: DataFrame, shared, what: str):
@@ -292,8 +302,7 @@ def passages(docs: DataFrame, labels: DataFrame, chance: float = 0.01, max_rows:
             model, rows = shared.value, []
             for i, score in model.texts(batch.column("text")):
                 found = segments(score)
-                x = model.normalised(len(score), np.array([s for _, _, s in found]))
-                p = -np.expm1(-np.exp(-np.clip(x, -30, 700)))
+                p = model.chance(len(score), np.array([s for _, _, s in found]))
                 rows += [(i, a, b - a, s, q) for (a, b, s), q in zip(found, p) if q <= chance]
             if rows and model.law is not None:
                 row, start, size, total, p = zip(*rows)

@@ -39,7 +39,7 @@ def corpus(seed: int = 1, n: int = 60) -> list[tuple]:
     for i in (3, 3, 10, 11):
         rows.append([500 + len(rows), rows[i][1], "en", "a"])                              # exact copies
     for i in (4, 20):
-        rows.append([600 + len(rows), rows[i][1] + " " + prose(rng, 1), "fr", "b"])          # near copies
+        rows.append([600 + len(rows), rows[i % len(rows)][1] + " " + prose(rng, 1), "fr", "b"])          # near copies
     rows += [[700, None, "en", "a"], [701, "", None, None], [702, " \t\n ", "en", "b"], [703, "!!! 12 ...", "fr", "a"],
              [704, "é ß Ünï x 漢字 \U0001f600", "fr", "é"], [705, "one", "en", "b"], [None, "a null id " + passage, "en", "a"],
              [None, None, None, None], [706, prose(rng, 9_000), "en", "b"], [707, "same " * 400, "fr", "a"],
